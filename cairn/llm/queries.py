@@ -7,8 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cairn.llm.html import extract_text
+from cairn.llm.lines import MIN_PAGES, RATIO, drop_boilerplate
 from cairn.llm.packing import pack_documents
+from cairn.llm.quality import score_quality
 from cairn.llm.simhash import simhash_components
+from cairn.llm.substrings import remove_repeats
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,14 +30,46 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op2_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_boilerplate(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_dropped", "text")
+
+
+OP2_SQL = f"""
+WITH d AS (SELECT doc_id, source, string_split(text, chr(10)) AS ls FROM documents),
+p AS (SELECT source, line, count(*) AS n FROM (SELECT source, unnest(list_distinct(ls)) AS line FROM d) WHERE line <> '' GROUP BY source, line),
+t AS (SELECT source, count(*) AS pages FROM documents GROUP BY source),
+b AS (SELECT p.source, list(p.line) AS bad FROM p JOIN t ON p.source = t.source WHERE p.n >= {MIN_PAGES} AND p.n > {RATIO} * t.pages GROUP BY p.source),
+k AS (SELECT d.doc_id, d.ls, list_filter(d.ls, x -> b.bad IS NULL OR NOT list_contains(b.bad, x)) AS kept FROM d LEFT JOIN b ON d.source = b.source)
+SELECT doc_id, CAST(len(ls) AS BIGINT) AS n_lines, CAST(len(ls) - len(kept) AS BIGINT) AS n_dropped, array_to_string(kept, chr(10)) AS text FROM k
+"""
+
+
+def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = simhash_components(table(spark, sf_dir, "documents"))
     return marked.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_lines": op2_lines,
+    "op3_substrings": op3_substrings,
     "op7_simhash": op7_simhash,
+    "op9_quality": op9_quality,
+    "op10_html": op10_html,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_lines": OP2_SQL,
+}
