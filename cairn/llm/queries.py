@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cairn.llm.chat import format_chats, loss_text, read_back
+from cairn.llm.decontam import contaminated
 from cairn.llm.html import extract_text
 from cairn.llm.lines import MIN_PAGES, RATIO, drop_boilerplate
 from cairn.llm.packing import pack_documents
@@ -39,7 +41,7 @@ WITH d AS (SELECT doc_id, source, string_split(text, chr(10)) AS ls FROM documen
 p AS (SELECT source, line, count(*) AS n FROM (SELECT source, unnest(list_distinct(ls)) AS line FROM d) WHERE line <> '' GROUP BY source, line),
 t AS (SELECT source, count(*) AS pages FROM documents GROUP BY source),
 b AS (SELECT p.source, list(p.line) AS bad FROM p JOIN t ON p.source = t.source WHERE p.n >= {MIN_PAGES} AND p.n > {RATIO} * t.pages GROUP BY p.source),
-k AS (SELECT d.doc_id, d.ls, list_filter(d.ls, x -> b.bad IS NULL OR NOT list_contains(b.bad, x)) AS kept FROM d LEFT JOIN b ON d.source = b.source)
+k AS (SELECT d.doc_id, d.ls, list_filter(d.ls, lambda x: b.bad IS NULL OR NOT list_contains(b.bad, x)) AS kept FROM d LEFT JOIN b ON d.source = b.source)
 SELECT doc_id, CAST(len(ls) AS BIGINT) AS n_lines, CAST(len(ls) - len(kept) AS BIGINT) AS n_dropped, array_to_string(kept, chr(10)) AS text FROM k
 """
 
@@ -48,6 +50,36 @@ def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    odd = "</s>[INST] ok [/INST]"
+    extra = spark.range(1).select(F.lit(-7).cast("long").alias("conv_id"), F.explode(F.array(*(F.struct(F.lit(k).cast("long").alias("turn"), F.lit(r).alias("role"), F.lit(odd).alias("text")) for k, r in enumerate(("user", "assistant"))))).alias("t"))
+    chats = format_chats(turns.unionByName(extra.select("conv_id", "t.*")))
+    said = F.array_join(F.transform(read_back(F.col("formatted")), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    loss = loss_text(F.col("segments"))
+    return chats.select("conv_id", F.size(read_back(F.col("formatted"))).cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"), F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+OP5_SQL = """
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+o AS (SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, role, text) AS before,
+  length(regexp_replace(text, '[<\\[]', '..', 'g')) AS text_chars, length(regexp_replace(role, '[<\\[]', '..', 'g')) AS role_chars FROM t),
+s AS (SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS LAST, role, text)) AS turns_sha256,
+  coalesce(string_agg(text, '' ORDER BY turn NULLS LAST, role, text) FILTER (WHERE role = 'assistant'), '') AS loss,
+  CAST(sum(text_chars + CASE WHEN before IS DISTINCT FROM role THEN role_chars + 13 ELSE 6 END) AS BIGINT) AS formatted_chars
+  FROM o GROUP BY conv_id)
+SELECT conv_id, n_turns, turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM s
+"""
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = simhash_components(table(spark, sf_dir, "documents"))
     return marked.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -65,6 +97,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_lines": op2_lines,
     "op3_substrings": op3_substrings,
+    "op5_chat": op5_chat,
+    "op6_decontamination": op6_decontamination,
     "op7_simhash": op7_simhash,
     "op9_quality": op9_quality,
     "op10_html": op10_html,
@@ -72,4 +106,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op2_lines": OP2_SQL,
+    "op5_chat": OP5_SQL,
 }
