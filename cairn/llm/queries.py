@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 from cairn.llm.chat import format_chats, loss_text, read_back
 from cairn.llm.decontam import contaminated
 from cairn.llm.html import extract_text
+from cairn.llm.licenses import scan_licenses
 from cairn.llm.lines import MIN_PAGES, RATIO, drop_boilerplate
 from cairn.llm.packing import pack_documents
 from cairn.llm.quality import score_quality
 from cairn.llm.simhash import simhash_components
 from cairn.llm.substrings import remove_repeats
+from cairn.llm.vectors import link_vectors
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,6 +52,10 @@ def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     odd = "</s>[INST] ok [/INST]"
@@ -85,6 +91,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op8_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -97,9 +107,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_lines": op2_lines,
     "op3_substrings": op3_substrings,
+    "op4_licenses": op4_licenses,
     "op5_chat": op5_chat,
     "op6_decontamination": op6_decontamination,
     "op7_simhash": op7_simhash,
+    "op8_vectors": op8_vectors,
     "op9_quality": op9_quality,
     "op10_html": op10_html,
 }

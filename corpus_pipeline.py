@@ -1,20 +1,48 @@
-"""The corpus pipeline: five operators in turn over documents, each stage's rows written and reread."""
+"""The corpus pipeline: five operators in turn over documents, each stage's rows written and reread.
+
+Every stage but the last returns the columns of documents. Rows without a doc_id can't be matched to
+a decision and stay; an empty table passes through empty.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from cairn.llm.decontam import contaminated
+from cairn.llm.lines import drop_boilerplate
 from cairn.llm.packing import pack_documents
+from cairn.llm.quality import score_quality
 from cairn.llm.queries import tokenizer_path
 from cairn.llm.simhash import simhash_components
-from cairn.llm.support import materialize
+from cairn.llm.support import bounded, materialize
+
+
+def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id isn't among the few ``dropped`` ones."""
+    return docs.join(bounded(materialize(dropped.select("doc_id").distinct())), "doc_id", "left_anti").select(*docs.columns)
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that the quality classifier predicts to be of label 0."""
+    scored = score_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return without(docs, scored.where("predicted = 0"))
+
+
+def boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cut boilerplate lines of each source; n_chars follows the text."""
+    cut = drop_boilerplate(docs)
+    return cut.select(*(F.length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest id of each SimHash component."""
-    found = simhash_components(docs)
-    dropped = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(materialize(dropped), "doc_id", "left_anti").select(*docs.columns)
+    return without(docs, simhash_components(docs).where("doc_id <> component_id"))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that hold a passage of the benchmark."""
+    return without(docs, contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,7 +51,10 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality", quality),
+    ("line dedup", boilerplate_lines),
     ("simhash near-dedup", near_duplicates),
+    ("decontamination", decontamination),
     ("packing", packing),
 ]
 
