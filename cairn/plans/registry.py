@@ -1,10 +1,8 @@
-"""Registry of the queries: name -> callable, and name -> equivalent SQL."""
+"""All registered queries; importing the plan modules fills the registry."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from cairn.plans import joins, quality, rollups, sets, stats, text, windows  # noqa: F401
+from cairn.plans.base import ORACLES, QUERIES
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
