@@ -76,3 +76,10 @@ def q_age_buckets(t):
     last = t.orders.where("o_orderkey % 9 = 0").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max("o_orderdate").cast("date").alias("last"))
     bucket = F.when(F.col("last") >= months_before(as_of, 12), "within_12").when(F.col("last") >= months_before(as_of, 24), "within_24").when(F.col("last").isNotNull(), "older").otherwise("undated")
     return t.customer.join(last, "c_custkey", "left").select("c_custkey", bucket.alias("bucket"))
+
+
+@query("SELECT date_trunc('hour', ts)::VARCHAR AS start, event_type, count(*) AS n FROM events GROUP BY ALL")
+def q_event_windows(t):
+    """An extension, not reference parity: tumbling windows over events, as a batch."""
+    counted = t.events.groupBy(F.window(F.col("ts").cast("timestamp"), "1 hour").alias("w"), "event_type").agg(F.count("*").alias("n"))
+    return counted.select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("start"), "event_type", "n")
