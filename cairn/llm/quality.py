@@ -111,7 +111,7 @@ def logistic_fit(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]
 
 
 def fit(rows: list[np.ndarray], labels: np.ndarray) -> Model:
-    """Every fourth row is for the logistic fit. With one class only, the score is that class's smoothed share."""
+    """Every fourth row is for the logistic fit, if it has both classes. With one class only, the score is its smoothed share."""
     calibrate = np.arange(len(rows)) % 4 == 3
     if len(rows) < 8 or min(np.bincount(labels[~calibrate], minlength=2)) == 0:
         share = (labels.sum() + 0.5) / (len(labels) + 1)
@@ -121,6 +121,9 @@ def fit(rows: list[np.ndarray], labels: np.ndarray) -> Model:
     ratios = log_count_ratios(chosen, labels[learn])
     w, bias = dual_coordinate_descent(chosen, labels[learn], ratios)
     model = Model((w * ratios).astype(np.float32), float(bias), 1.0, 0.0)
+    if min(np.bincount(labels[calibrate], minlength=2)) < 3:
+        model.slope = 2.0  # too few to fit on: the margin's sign decides
+        return model
     margins = np.array([model.margin(rows[i]) for i in np.flatnonzero(calibrate)])
     model.slope, model.offset = logistic_fit(margins, labels[calibrate])
     return model
