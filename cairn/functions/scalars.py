@@ -216,3 +216,57 @@ SQL_FUNCTIONS = (
 def register_sql_functions(spark: SparkSession) -> None:
     for text in SQL_FUNCTIONS:
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {text}")
+
+
+def month_span(start: Column, end: Column) -> tuple[Column, Column]:
+    """the fewest and most days between two partial dates; at least one."""
+    first = lambda s: F.concat(s, F.substring(F.lit("-01-01"), F.length(s) - 3, F.lit(6))).try_cast("date")
+    low = F.datediff(first(end), latest_day(start))
+    high = F.datediff(latest_day(end), first(start))
+    return F.greatest(low, F.lit(1)), F.greatest(high, F.lit(1))
+
+
+def group_key(name: Column) -> Column:
+    """an organisation's name without its article, legal form, lead-in and marks."""
+    low = F.regexp_replace(F.lower(F.trim(name)), r"[.,'’\"()]", "")
+    low = F.regexp_replace(low, r"^(the|citizens for|friends of)\s+", "")
+    return F.trim(F.regexp_replace(F.regexp_replace(low, r"\s+(inc|llc|ltd|corp)$", ""), r"\s+", " "))
+
+
+def decision_words(s: Column) -> Column:
+    """the words of a decision a text uses, sorted; none if it says the decision isn't final."""
+    found = F.array_sort(F.array_distinct(F.regexp_extract_all(F.lower(s), F.lit(r"\b(approved|denied|rejected|withdrawn|granted)\b"), F.lit(1))))
+    return F.when(F.lower(s).rlike(r"\b(pending|tabled|postponed|recommended)\b"), F.array().cast("array<string>")).otherwise(found)
+
+
+def bill_number(s: Column) -> Column:
+    """a bill's chamber and number, 'HB 12' for 'H.B. 0012'."""
+    pattern = r"\b([HS])\.?\s?([BRJ])\.?\s*0*(\d{1,5})\b"
+    return F.when(s.rlike(pattern), F.concat(F.regexp_extract(s, pattern, 1), F.regexp_extract(s, pattern, 2), F.lit(" "), F.regexp_extract(s, pattern, 3)))
+
+
+def dollars(mw: Column, per_mw: tuple[float, float], rate: float, years: Column) -> tuple[Column, Column]:
+    """an amount range per MW escalated over some years."""
+    grown = lambda v: F.round(mw * v * F.pow(F.lit(1 + rate), years), 2)
+    return grown(per_mw[0]), grown(per_mw[1])
+
+
+def plain_json(row: Column) -> Column:
+    """a struct as JSON, dates in ISO form, null fields left out."""
+    return F.to_json(row, {"ignoreNullFields": "true", "dateFormat": "yyyy-MM-dd"})
+
+
+def bin_for(x: Column, bins: tuple[tuple[float, float, str], ...]) -> Column:
+    """The first bin that holds a number."""
+    out = F.lit(None).cast("string")
+    for low, high, name in reversed(bins):
+        out = F.when(x.between(low, high), F.lit(name)).otherwise(out)
+    return out
+
+
+def all_equal(wanted: dict[str, str]) -> Column:
+    """A condition from a configuration's column -> value pairs."""
+    out = F.lit(True)
+    for c, v in wanted.items():
+        out = out & (F.col(c) == v)
+    return out

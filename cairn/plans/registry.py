@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cairn.plans import joins, quality, rollups, sets, stats, text, windows  # noqa: F401
+from cairn.plans import joins, quality, records, rollups, sets, stats, text, windows  # noqa: F401
 from cairn.plans.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
