@@ -12,11 +12,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairn.llm.support import materialize, shuffle_partitions
+from cairn.llm.support import shuffle_partitions
 
 WINDOW = 20
 #: Words of an anchor.
@@ -199,26 +200,28 @@ def repeated_windows(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM,
             h, check, doc, start = (np.concatenate(c) for c in zip(*found, strict=True))
             order, known = later(h, check, doc, start)
             mine, rest = order[known], np.sort(order[~known])
-            yield from rows(pack(doc[mine] % buckets, doc[mine], start[mine], names=["key", "doc_ids", "starts"], groups=buckets), settled=True)
-            yield from rows(pack((h[rest] >> np.uint64(64 - 8)).astype(np.int64), h[rest], check[rest], doc[rest], start[rest], names=["key", "hashes", "checks", "doc_ids", "starts"], groups=RANGES), settled=False)
+            yield from rows(pack(doc[mine] % buckets, doc[mine], start[mine], names=["bucket", "doc_ids", "starts"], groups=buckets))
+            yield from rows(pack((h[rest] >> np.uint64(64 - 8)).astype(np.int64), h[rest], check[rest], doc[rest], start[rest], names=["key", "hashes", "checks", "doc_ids", "starts"], groups=RANGES))
 
-    def rows(batch: pa.RecordBatch, settled: bool):
+    def rows(batch: pa.RecordBatch):
+        """Known repeats have a bucket; windows yet to be compared have their hashes, and a range of them as key."""
         if batch.num_rows:
-            blank = pa.nulls(batch.num_rows, pa.binary())
-            column = lambda n: batch.column(batch.schema.get_field_index(n)) if n in batch.schema.names else blank
-            yield pa.RecordBatch.from_arrays([pa.array([settled] * batch.num_rows), batch.column(0), *(column(n) for n in ("hashes", "checks", "doc_ids", "starts"))], names=["settled", "key", "hashes", "checks", "doc_ids", "starts"])
+            column = lambda n, t: batch.column(batch.schema.get_field_index(n)) if n in batch.schema.names else pa.nulls(batch.num_rows, t)
+            key = pa.array(batch.column(0).to_numpy() % RANGES, pa.int32())
+            yield pa.RecordBatch.from_arrays([key, column("bucket", pa.int32()), *(column(n, pa.binary()) for n in ("hashes", "checks", "doc_ids", "starts"))], names=["key", "bucket", "hashes", "checks", "doc_ids", "starts"])
 
     def compare(key: tuple, group: pa.Table) -> pa.Table:
-        gather = lambda n, t: np.concatenate([np.frombuffer(b.as_buffer(), t) for b in group.column(n)])
+        settled = group.filter(pc.is_valid(group.column("bucket"))).select(["bucket", "doc_ids", "starts"])
+        group = group.filter(pc.is_null(group.column("bucket")))
+        gather = lambda n, t: np.concatenate([np.zeros(0, t), *(np.frombuffer(b.as_buffer(), t) for b in group.column(n))])
         h, check, doc, start = gather("hashes", np.uint64), gather("checks", np.uint64), gather("doc_ids", np.int64), gather("starts", np.int32)
         order, known = later(h, check, doc, start)
         mine = order[known]
-        return pa.Table.from_batches([pack(doc[mine] % buckets, doc[mine], start[mine], names=["bucket", "doc_ids", "starts"], groups=buckets)])
+        new = pa.Table.from_batches([pack(doc[mine] % buckets, doc[mine], start[mine], names=["bucket", "doc_ids", "starts"], groups=buckets)])
+        return pa.concat_tables([settled, new])
 
-    shape = "bucket int, doc_ids binary, starts binary"
-    found = materialize(docs.mapInArrow(candidates, "settled boolean, key int, hashes binary, checks binary, doc_ids binary, starts binary"))
-    compared = found.where("NOT settled").groupBy("key").applyInArrow(compare, shape)
-    return found.where("settled").select(F.col("key").alias("bucket"), "doc_ids", "starts").unionByName(compared)
+    found = docs.mapInArrow(candidates, "key int, bucket int, hashes binary, checks binary, doc_ids binary, starts binary")
+    return found.groupBy("key").applyInArrow(compare, "bucket int, doc_ids binary, starts binary")
 
 
 def remove_repeats(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
