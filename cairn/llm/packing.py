@@ -111,9 +111,11 @@ class Packer:
             self.close(k)
 
     def add(self, piece: list) -> None:
-        while piece[2] >= self.window:
-            head, piece = cut(piece, self.window)
-            self.emit([head])
+        doc_id, start, length, total, ids = piece
+        size, end = 4 * self.window, length // self.window
+        for k in range(end):
+            self.emit([[doc_id, start + k * self.window, self.window, total, ids[k * size : (k + 1) * size]]])
+        piece = [doc_id, start + end * self.window, length - end * self.window, total, ids[end * size :]]
         while piece[2]:
             fits = [(g, k) for k, g in enumerate(self.gaps) if g >= piece[2]]
             if fits:

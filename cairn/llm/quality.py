@@ -21,6 +21,8 @@ SAMPLE_ROWS = 6000
 #: Features are n-gram hashes modulo 2^FEATURE_BITS.
 FEATURE_BITS = 18
 GRAMS = (2, 3, 4)
+#: Bytes of a text hashed at a time.
+SLICE = 1 << 20
 #: A text that says the same word twice in a row has indicators for how often, this many of each: one among
 #: thousands would weigh nothing.
 REPEAT_COPIES = 48
@@ -28,18 +30,22 @@ REPEAT_COPIES = 48
 
 def features(text: str | None) -> np.ndarray:
     """Sorted distinct feature numbers of a whole text."""
-    raw = np.frombuffer((text or "").encode("utf-8", "replace"), np.uint8).astype(np.uint32)
+    raw = np.frombuffer((text or "").encode("utf-8", "replace"), np.uint8)
     shift = np.uint32(32 - FEATURE_BITS)
     found = []
-    for n in GRAMS:
-        if len(raw) >= n:
-            h = np.full(len(raw) - n + 1, n, np.uint32)
-            for k in range(n):
-                h = h * np.uint32(0x01000193) + raw[k : k + len(h)]
-            found.append((h * np.uint32(0x9E3779B1)) >> shift)
+    for i in range(0, len(raw), SLICE):
+        part = raw[i : i + SLICE + max(GRAMS) - 1].astype(np.uint32)
+        for n in GRAMS:
+            # a gram belongs to the slice it starts in
+            size = min(SLICE, len(part) - n + 1)
+            if size > 0:
+                h = np.full(size, n, np.uint32)
+                for k in range(n):
+                    h = h * np.uint32(0x01000193) + part[k : k + size]
+                found.append(np.unique((h * np.uint32(0x9E3779B1)) >> shift))
     if not found:
         return np.zeros(0, np.uint32)
-    words = raw.astype(np.uint8).tobytes().split()
+    words = raw.tobytes().split()
     if len(words) > 1:
         same = sum(map(eq, words, words[1:])) / (len(words) - 1)
         level = np.uint32(int(np.searchsorted((0.0, 0.02, 0.1, 0.3), same)))

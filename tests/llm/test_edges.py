@@ -183,6 +183,13 @@ def test_quality(spark, docs, nothing):
     assert quality.score_quality(nothing, labels).count() == 0
 
 
+def test_features_dont_depend_on_slices(monkeypatch):
+    texts = ["", "a", "ab ab", LONG[:5000], "é" * 30]
+    whole = [quality.features(t) for t in texts]
+    monkeypatch.setattr(quality, "SLICE", 7)
+    assert all((quality.features(t) == w).all() for t, w in zip(texts, whole, strict=True))
+
+
 def test_html(spark):
     page = "<p>a <b>b</b>  c<br>d<ul><li>x<li>y<ol start=3><li>q<li>r</ol><li>z</ul><table><tr><td>aa<td>b<tr><td>c<td>dddd</table><pre>  k\n   l</pre><div hidden>no</div><div style='display:none'>no</div>tail &amp; end<details><summary>S</summary>no</details><style>.q{display:none}</style><i class=q>no</i>"
     assert html.page_text(page) == "a b c\nd\n\n- x\n- y\n  3. q\n  4. r\n- z\n\naa | b\nc  | dddd\n\n  k\n   l\n\ntail & end\nS"
