@@ -80,3 +80,10 @@ def test_other_sinks(spark, tmp_path):
     types = {r.field: r.type for r in sinks.inferred_types(spark.createDataFrame([("1", "2024-01-01", "x"), ("", "2024-02-01", "2.5")], "a string, b string, c string")).collect()}
     assert types == {"a": "integer", "b": "date", "c": "string"}
     assert sinks.record_index({"a": (df, "id", "st"), "b": (df, "v", "st")}).count() == 4
+
+
+def test_requests_and_feed(spark):
+    registry = spark.createDataFrame([("a", "http://x/{st}?p={p}", [{"st": "va", "p": "1"}, {"st": "md", "p": "2"}]), ("b", "http://y", None)], "source_id string, url string, params array<map<string,string>>")
+    assert sorted(r.url for r in readers.expand_requests(registry).collect()) == ["http://x/md?p=2", "http://x/va?p=1", "http://y"]
+    feed = spark.createDataFrame([(1, "h1"), (1, "h2"), (2, "h1")], "id int, hash string")
+    assert [(r.id, r.hash) for r in readers.unseen(feed, feed.where("hash = 'h1'"), ["id", "hash"]).collect()] == [(1, "h2")]
