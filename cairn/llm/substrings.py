@@ -28,8 +28,11 @@ MAX_BITS = 29
 MIN_BITS = 20
 #: A block ends after so many words, so a task's arrays stay bounded; one document is never split.
 BLOCK_WORDS = 1_000_000
-#: Cell ranges of the sketch, and hash ranges of the exact pass.
+#: Cell ranges of the sketch.
 RANGES = 256
+#: Hash ranges of the exact pass: so many at least, and one for so many characters of text, so that a range stays bounded.
+MIN_KEYS = 256
+KEY_CHARS = 16 << 20
 #: Bytes of text per group of the last pass.
 GROUP_CHARS = 4 << 20
 
@@ -130,13 +133,16 @@ def _repeated_cells(docs: DataFrame, bits: int, window: int, gram: int) -> list[
                     names=["sketch_row", "cell_range", "cells", "many"],
                 )
 
-    def merge(key: tuple, group: pa.Table) -> pa.Table:
+    def merge(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Blocks of one range of cells arrive a batch at a time: a task holds the range, not its blocks."""
         seen, many = np.zeros(1 << low, bool), np.zeros(1 << low, bool)
-        for mine, twice in zip(group.column("cells"), group.column("many"), strict=True):
-            at = np.frombuffer(mine.as_buffer(), np.uint32)
-            many[at] |= seen[at] | np.unpackbits(np.frombuffer(twice.as_buffer(), np.uint8), count=len(at)).astype(bool)
-            seen[at] = True
-        return pa.table([pa.array([key[0].as_py()], pa.int32()), pa.array([key[1].as_py()], pa.int32()), pa.array([np.packbits(many, bitorder="little").tobytes()], pa.binary())], names=["sketch_row", "cell_range", "bits"])
+        for batch in batches:
+            for mine, twice in zip(batch.column(2), batch.column(3), strict=True):
+                at = np.frombuffer(mine.as_buffer(), np.uint32)
+                many[at] |= seen[at] | np.unpackbits(np.frombuffer(twice.as_buffer(), np.uint8), count=len(at)).astype(bool)
+                seen[at] = True
+        packed = np.packbits(many, bitorder="little").tobytes()
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([key[1].as_py()], pa.int32()), pa.array([packed], pa.binary())], names=["sketch_row", "cell_range", "bits"])
 
     parts = docs.mapInArrow(sketch, "sketch_row int, cell_range int, cells binary, many binary")
     merged = parts.groupBy("sketch_row", "cell_range").applyInArrow(merge, "sketch_row int, cell_range int, bits binary")
@@ -163,6 +169,8 @@ def repeated_windows(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM,
     chars = text_chars(docs) if chars is None else chars
     # about one anchor in seven words of six characters; four cells for each
     bits = min(MAX_BITS, max(MIN_BITS, int(chars // 10).bit_length()))
+    key_bits = max(MIN_KEYS, chars // KEY_CHARS).bit_length() - 1
+    keys = 1 << key_bits
     sketch = spark.sparkContext.broadcast(_repeated_cells(docs, bits, window, gram))
 
     def estimated(least: np.ndarray) -> np.ndarray:
@@ -201,13 +209,13 @@ def repeated_windows(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM,
             order, known = later(h, check, doc, start)
             mine, rest = order[known], np.sort(order[~known])
             yield from rows(pack(doc[mine] % buckets, doc[mine], start[mine], names=["bucket", "doc_ids", "starts"], groups=buckets))
-            yield from rows(pack((h[rest] >> np.uint64(64 - 8)).astype(np.int64), h[rest], check[rest], doc[rest], start[rest], names=["key", "hashes", "checks", "doc_ids", "starts"], groups=RANGES))
+            yield from rows(pack((h[rest] >> np.uint64(64 - key_bits)).astype(np.int64), h[rest], check[rest], doc[rest], start[rest], names=["key", "hashes", "checks", "doc_ids", "starts"], groups=keys))
 
     def rows(batch: pa.RecordBatch):
         """Known repeats have a bucket; windows yet to be compared have their hashes, and a range of them as key."""
         if batch.num_rows:
             column = lambda n, t: batch.column(batch.schema.get_field_index(n)) if n in batch.schema.names else pa.nulls(batch.num_rows, t)
-            key = pa.array(batch.column(0).to_numpy() % RANGES, pa.int32())
+            key = pa.array(batch.column(0).to_numpy() % keys, pa.int32())
             yield pa.RecordBatch.from_arrays([key, column("bucket", pa.int32()), *(column(n, pa.binary()) for n in ("hashes", "checks", "doc_ids", "starts"))], names=["key", "bucket", "hashes", "checks", "doc_ids", "starts"])
 
     def compare(key: tuple, group: pa.Table) -> pa.Table:
