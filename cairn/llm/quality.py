@@ -16,8 +16,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cairn.llm.support import materialize
+
 #: At most so many labelled rows are fitted on: those with the smallest hashes of their ids.
 SAMPLE_ROWS = 6000
+#: Of these, the first whose indicators take at most so many bytes in all (four each) go to the driver.
+SAMPLE_BYTES = 256 << 20
 #: Features are n-gram hashes modulo 2^FEATURE_BITS.
 FEATURE_BITS = 18
 GRAMS = (2, 3, 4)
@@ -135,11 +139,11 @@ def fit(rows: list[np.ndarray], labels: np.ndarray) -> Model:
     return model
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Fit on the labelled rows of the learning fold, at most ``sample_rows`` of them.
+def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES) -> Model:
+    """Fit on the labelled rows of the learning fold, at most ``sample_rows`` of them and ``sample_bytes`` of indicators.
 
     Fold 1 of crc32(doc_id as text) mod 3 is held out. Rows without a 0/1 label or an id are left out; of
-    differing labels for one id the smaller counts.
+    differing labels for one id the smaller counts, and of differing texts the one whose indicators sort first.
     """
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
     labelled = labels.select(F.col("doc_id").cast("long"), F.col("quality").cast("int")).where("quality IN (0, 1) AND doc_id IS NOT NULL").where(fold != 1)
@@ -151,7 +155,11 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
             found = [features(batch.column(1)[i].as_py()).tobytes() for i in range(batch.num_rows)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found, pa.binary())], names=["doc_id", "quality", "found"])
 
-    rows = texts.join(F.broadcast(sample), "doc_id").select("doc_id", "text", "quality").mapInArrow(run, "doc_id long, quality int, found binary").collect()
+    drawn = texts.join(F.broadcast(sample), "doc_id").select("doc_id", "text", "quality").mapInArrow(run, "doc_id long, quality int, found binary")
+    drawn = materialize(drawn.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.min("found").alias("found")))
+    ordered = drawn.select(F.xxhash64("doc_id").alias("h"), F.length("found").alias("size")).orderBy("h").collect()
+    fits = int(np.searchsorted(np.cumsum([r.size for r in ordered]), sample_bytes, side="right"))
+    rows = drawn.where(F.xxhash64("doc_id") <= ordered[fits - 1].h).collect() if fits else []
     rows.sort(key=lambda r: (r.doc_id * 0x9E3779B97F4A7C15 % (1 << 64), r.found))
     return fit([np.frombuffer(r.found, np.uint32) for r in rows], np.array([r.quality for r in rows], dtype=np.int64))
 
