@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cairn.llm.support import bounded, materialize
+from cairn.llm.support import BROADCAST_ROWS, bounded, materialize
 
 #: A line on more than this share of a site's pages, and on at least MIN_PAGES of them, is boilerplate.
 RATIO = 0.08
@@ -40,7 +40,10 @@ def drop_boilerplate(docs: DataFrame, *, host: str = "source", text: str = "text
     blank line. A null host has no site: its rows stay whole. Ties at the ratio stay (the share must exceed
     it). An empty table gives no rows. A text all of whose lines go becomes empty; no row is dropped.
     """
-    found = bounded(materialize(boilerplate(docs, host=host, text=text, ratio=ratio, min_pages=min_pages).select(F.col("host").alias("__host"), F.col("keys").alias("__keys"))))
+    found = materialize(boilerplate(docs, host=host, text=text, ratio=ratio, min_pages=min_pages).select(F.col("host").alias("__host"), F.col("keys").alias("__keys")))
+    # a site's row may hold many keys: the keys are what is counted before a broadcast
+    if (found.agg(F.sum(F.size("__keys"))).first()[0] or 0) <= BROADCAST_ROWS:
+        found = F.broadcast(found)
     kept = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     lines = F.split(F.col(text).cast("string"), "\n")
     rest = F.when(F.col("__keys").isNull(), lines).otherwise(F.filter(lines, lambda x: ~F.array_contains("__keys", _key(x))))
