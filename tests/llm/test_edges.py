@@ -60,6 +60,13 @@ def test_lines(spark, docs, nothing):
     assert got[110] == "menu\nbody 110\nmenu\nend"
 
 
+def test_lines_without_a_broadcast(spark, sf, monkeypatch):
+    table = spark.read.parquet(f"{sf}/documents.parquet")
+    wanted = sorted(map(tuple, lines.drop_boilerplate(table).select("doc_id", "text", "n_dropped").collect()))
+    monkeypatch.setattr(lines, "BROADCAST_ROWS", -1)
+    assert sorted(map(tuple, lines.drop_boilerplate(table).select("doc_id", "text", "n_dropped").collect())) == wanted
+
+
 def test_substrings(spark, docs, nothing):
     out = {r.doc_id: (r.n_words, r.n_removed) for r in substrings.remove_repeats(docs).collect()}
     assert out == {1: (5, 0), 2: (0, 0), 3: (0, 0), None: (5, 0), 5: (30_000, 0), 6: (30_000, 30_000), 7: (0, 0)}
@@ -69,6 +76,14 @@ def test_substrings(spark, docs, nothing):
     assert {r.doc_id: (r.n_words, r.n_removed) for r in substrings.remove_repeats(same).collect()} == {1: (21, 20), 2: (20, 0)}
 
 
+def test_substrings_dont_depend_on_the_number_of_ranges(spark, sf, monkeypatch):
+    table = spark.read.parquet(f"{sf}/documents.parquet")
+    wanted = sorted(map(tuple, substrings.remove_repeats(table).collect()))
+    monkeypatch.setattr(substrings, "KEY_CHARS", 500)
+    monkeypatch.setattr(substrings, "BLOCK_WORDS", 5_000)
+    assert sorted(map(tuple, substrings.remove_repeats(table).collect())) == wanted
+
+
 def test_window_hashes_by_doubling():
     words = np.random.default_rng(0).integers(0, 3, 400).astype(np.uint64)
     for n in (1, 5, 8, 20):
@@ -183,6 +198,17 @@ def test_quality(spark, docs, nothing):
     assert quality.score_quality(nothing, labels).count() == 0
 
 
+def test_quality_sample_is_bounded_in_rows_and_bytes(spark):
+    texts = spark.createDataFrame([(k, ("fine words stand here " if k % 2 else "%%% !!! ### ") * 5) for k in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(40)], "doc_id long, quality int, toxic int")
+    whole = quality.train(texts, labels)
+    again = quality.train(texts.unionByName(texts), labels)  # repeated rows count once
+    assert (again.weights == whole.weights).all() and again.bias == whole.bias
+    few = quality.train(texts, labels, sample_bytes=2000)
+    assert np.count_nonzero(few.weights) < np.count_nonzero(whole.weights) or few.bias != whole.bias
+    assert quality.train(texts, labels, sample_bytes=1).slope == 0.0
+
+
 def test_features_dont_depend_on_slices(monkeypatch):
     texts = ["", "a", "ab ab", LONG[:5000], "é" * 30]
     whole = [quality.features(t) for t in texts]
