@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 
 from cairn.llm.decontam import contaminated
 from cairn.llm.lines import drop_boilerplate
+from cairn.llm.near import similar_components
 from cairn.llm.packing import pack_documents
 from cairn.llm.quality import score_quality
 from cairn.llm.queries import tokenizer_path
-from cairn.llm.simhash import simhash_components
 from cairn.llm.support import bounded, materialize
 
 
@@ -36,8 +36,8 @@ def boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each SimHash component."""
-    return without(docs, simhash_components(docs).where("doc_id <> component_id"))
+    """Keep the document with the smallest id of each component of five-word Jaccard similarity 0.8."""
+    return without(docs, similar_components(docs).where("doc_id <> component_id"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
