@@ -1,20 +1,23 @@
-"""Benchmark decontamination by spaced-seed hashing, in DataFrame functions only.
+"""Benchmark decontamination by short seeds, in DataFrame functions only.
 
-A seed hashes ``SPAN`` consecutive tokens but for those its mask ignores. Together the masks
-ignore every position once, so whatever single token was substituted, one of them doesn't see it. Hashes
-of test and training tokens are joined, and the alignments that hits name are verified token by token.
+Of 13 tokens at most two may differ, and then at least RUN neighbouring ones are equal, wherever the two are: every
+passage that verification accepts holds RUN-token seeds of its item on one alignment. Hashes of test and training
+seeds are joined, and the alignments with enough hits are verified token by token.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cairn.llm.support import bounded, materialize
 
+#: Items of fewer tokens are matched whole, every token equal.
 SPAN = 12
-#: Positions of a span that count; each mask ignores every third one.
-MASKS = tuple(tuple(j for j in range(SPAN) if j % 3 != k) for k in range(3))
+#: Tokens of a seed. Two substitutions cut 11 equal tokens of 13 into three runs, of which the longest has 4 at least.
+RUN = 4
 #: An overlap is so many tokens (a whole item if that is shorter) of which at least this share agree.
 OVERLAP = 13
 AGREE = 0.8
@@ -25,34 +28,46 @@ def tokens(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
-def seeds(texts: DataFrame, key: str, words: Column, at: str) -> DataFrame:
-    """(key, at, hash): for every position ``at`` the hashes of the masks there; none for fewer than SPAN tokens.
+def seeds(texts: DataFrame, key: str, words: Column, at: str, lengths: list[int]) -> DataFrame:
+    """(key, at, hash): for every position ``at`` the hashes of the runs of ``lengths`` tokens that start there.
 
     The token hashes are a column of their own, read often, so that they are computed once; outer
     explodes, as Spark would compute an inner one's array a second time to filter out empty ones.
     """
     hashed = texts.select(key, F.transform(words, lambda w: F.xxhash64(w)).alias("hashes"))
-    places = F.when(F.size("hashes") >= SPAN, F.sequence(F.lit(0), F.size("hashes") - SPAN))
-    masked = lambda i: F.array(*(F.xxhash64(F.lit(k), *(F.get("hashes", i + j) for j in mask)) for k, mask in enumerate(MASKS)))
-    placed = hashed.select(key, F.posexplode_outer(F.transform(places, masked)).alias(at, "found"))
+    places = F.when(F.size("hashes") >= min(lengths), F.sequence(F.lit(0), F.size("hashes") - min(lengths)))
+    run = lambda i, n: F.when(i + n <= F.size("hashes"), F.xxhash64(F.lit(n), *(F.get("hashes", i + j) for j in range(n))))
+    placed = hashed.select(key, F.posexplode_outer(F.transform(places, lambda i: F.array(*(run(i, n) for n in lengths)))).alias(at, "found"))
     return placed.select(key, at, F.explode_outer("found").alias("hash")).where("hash IS NOT NULL")
 
 
+def item_seeds(items: DataFrame) -> tuple[DataFrame, list[int]]:
+    """(item_id, item_at, hash, need) and the seeds' lengths; need: hits that an accepted alignment has at least.
+
+    By counting: 13 tokens hold 10 seeds, of which two substitutions spoil 8; 12 tokens hold 9.
+    """
+    size = F.size("item")
+    short = [r[0] for r in items.where((size > 0) & (size < SPAN)).select(size).distinct().orderBy(size).collect()]
+    kinds = [(size >= OVERLAP, RUN, 2), ((size >= SPAN) & (size < OVERLAP), RUN, 1), *((size == n, n, 1) for n in short)]
+    found = [seeds(items.where(which), "item_id", F.col("item"), "item_at", [n]).withColumn("need", F.lit(need)) for which, n, need in kinds]
+    return functools.reduce(DataFrame.unionByName, found), sorted({RUN, *short})
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, n_matched, item_tokens, doc_start): items of which a document holds an overlap.
 
     One row per document and item: the alignment with most equal tokens, the earliest of equal ones.
     doc_start is the token of the document at which the item would start (it may be negative).
 
-    Null and empty texts hold nothing. Items of fewer than SPAN tokens are too short to tell from chance
-    and match nothing. Rows without an id are left out, on either side. Repeated rows give one result; rows that share
+    Null and empty texts hold nothing, and items without a token match nothing. Items of fewer than SPAN tokens must stand whole. Rows without an id are left out, on either side. Repeated rows give one result; rows that share
     a doc_id are searched each. No documents or no items: no rows. Other columns are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id IS NOT NULL AND text IS NOT NULL")
     items = materialize(benchmark.select(F.col("item_id").cast("long"), tokens(F.col("text").cast("string")).alias("item")).where("item_id IS NOT NULL AND item IS NOT NULL").distinct())
-    wanted = bounded(materialize(seeds(items, "item_id", F.col("item"), "item_at")))
-    hits = seeds(docs, "doc_id", tokens(F.col("text")), "doc_at").join(wanted, "hash")
-    aligned = materialize(hits.select("doc_id", "item_id", (F.col("doc_at") - F.col("item_at")).alias("doc_start")).distinct())
+    wanted, lengths = item_seeds(items)
+    hits = seeds(docs, "doc_id", tokens(F.col("text")), "doc_at", lengths).join(bounded(materialize(wanted)), "hash")
+    counted = hits.groupBy("doc_id", "item_id", (F.col("doc_at") - F.col("item_at")).alias("doc_start")).agg(F.count("*").alias("n"), F.min("need").alias("need"))
+    aligned = materialize(counted.where("n >= need").select("doc_id", "item_id", "doc_start"))
 
     texts = docs.join(bounded(aligned), "doc_id").join(bounded(items), "item_id")
     start = F.col("doc_start")
@@ -61,7 +76,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     equal = F.zip_with("item", facing, lambda w, x: F.when(w == x, 1).otherwise(0))
     length = F.least(F.size("equal"), F.lit(OVERLAP))
     stretch = F.transform(F.sequence(F.lit(1), F.size("equal") - length + 1), lambda i: F.aggregate(F.slice("equal", i, length), F.lit(0), lambda a, x: a + x))
-    checked = texts.select("doc_id", "item_id", "doc_start", F.size("item").alias("item_tokens"), equal.alias("equal")).withColumn("best", F.array_max(stretch)).where(F.col("best") >= F.lit(AGREE) * length)
+    checked = texts.select("doc_id", "item_id", "doc_start", F.size("item").alias("item_tokens"), equal.alias("equal")).withColumn("best", F.array_max(stretch)).where(F.col("best") >= F.when(F.size("equal") < SPAN, F.lit(1.0)).otherwise(AGREE) * length)
     summed = checked.withColumn("n_matched", F.aggregate("equal", F.lit(0), lambda a, x: a + x))
     best = summed.groupBy("doc_id", "item_id").agg(F.max_by(F.struct("n_matched", "item_tokens", "doc_start"), F.struct("n_matched", -F.col("doc_start"))).alias("m"))
     return best.select("doc_id", "item_id", *(F.col(f"m.{c}").cast("long").alias(c) for c in ("n_matched", "item_tokens", "doc_start")))
