@@ -1,8 +1,9 @@
-"""Benchmark decontamination by short seeds, in DataFrame functions only.
+"""Benchmark decontamination by spaced seeds, in DataFrame functions only.
 
-Of 13 tokens at most two may differ, and then at least RUN neighbouring ones are equal, wherever the two are: every
-passage that verification accepts holds RUN-token seeds of its item on one alignment. Hashes of test and training
-seeds are joined, and the alignments with enough hits are verified token by token.
+A fixed mask names the tokens of a short span that are hashed; the others are ignored. Of 13 tokens at most two may
+differ, and wherever the two are, MASK_13 has a place among the 13 where it reads none of them (likewise the two masks
+of MASKS_12 among 12 tokens). Hashes of test and training seeds are joined, and every alignment with a hit is
+verified token by token, so candidate search reaches every overlap that verification accepts.
 """
 
 from __future__ import annotations
@@ -16,8 +17,9 @@ from cairn.llm.support import bounded, materialize
 
 #: Items of fewer tokens are matched whole, every token equal.
 SPAN = 12
-#: Tokens of a seed. Two substitutions cut 11 equal tokens of 13 into three runs, of which the longest has 4 at least.
-RUN = 4
+#: Offsets of the tokens that a mask reads.
+MASK_13 = (0, 1, 3, 6, 7)
+MASKS_12 = ((0, 1, 2, 4, 5), (0, 1, 2, 3, 4))
 #: An overlap is so many tokens (a whole item if that is shorter) of which at least this share agree.
 OVERLAP = 13
 AGREE = 0.8
@@ -28,29 +30,31 @@ def tokens(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
-def seeds(texts: DataFrame, key: str, words: Column, at: str, lengths: list[int]) -> DataFrame:
-    """(key, at, hash): for every position ``at`` the hashes of the runs of ``lengths`` tokens that start there.
+def masks_for(size: int) -> tuple[tuple[int, ...], ...]:
+    """The masks of an item of ``size`` tokens; a short one is a single mask that ignores nothing."""
+    return (MASK_13,) if size >= OVERLAP else MASKS_12 if size >= SPAN else (tuple(range(size)),)
 
-    The token hashes are a column of their own, read often, so that they are computed once; outer
+
+def seeds(texts: DataFrame, key: str, words: str, at: str, masks: list[tuple[int, ...]]) -> DataFrame:
+    """(key, at, hash): for every position ``at`` of the array ``words`` the hash of what each mask reads there.
+
+    The array is zipped with its own shifts, exploded, and hashed row by row, which stays in generated code; outer
     explodes, as Spark would compute an inner one's array a second time to filter out empty ones.
     """
-    hashed = texts.select(key, F.transform(words, lambda w: F.xxhash64(w)).alias("hashes"))
-    places = F.when(F.size("hashes") >= min(lengths), F.sequence(F.lit(0), F.size("hashes") - min(lengths)))
-    run = lambda i, n: F.when(i + n <= F.size("hashes"), F.xxhash64(F.lit(n), *(F.get("hashes", i + j) for j in range(n))))
-    placed = hashed.select(key, F.posexplode_outer(F.transform(places, lambda i: F.array(*(run(i, n) for n in lengths)))).alias(at, "found"))
-    return placed.select(key, at, F.explode_outer("found").alias("hash")).where("hash IS NOT NULL")
+    found = []
+    for mask in masks:
+        shifted = [F.slice(words, o + 1, F.greatest(F.size(words), F.lit(1))).alias(f"w{o}") for o in mask]
+        placed = texts.select(key, F.posexplode_outer(F.arrays_zip(*shifted)).alias(at, "z")).where(F.col(f"z.w{mask[-1]}").isNotNull())
+        found.append(placed.select(key, at, F.xxhash64(F.lit(str(mask)), *(F.col(f"z.w{o}") for o in mask)).alias("hash")))
+    return functools.reduce(DataFrame.unionByName, found)
 
 
-def item_seeds(items: DataFrame) -> tuple[DataFrame, list[int]]:
-    """(item_id, item_at, hash, need) and the seeds' lengths; need: hits that an accepted alignment has at least.
-
-    By counting: 13 tokens hold 10 seeds, of which two substitutions spoil 8; 12 tokens hold 9.
-    """
+def item_seeds(items: DataFrame) -> tuple[DataFrame | None, list[tuple[int, ...]]]:
+    """(item_id, item_at, hash) of ``items(item_id, item)`` and the masks in use; no seeds without items."""
     size = F.size("item")
-    short = [r[0] for r in items.where((size > 0) & (size < SPAN)).select(size).distinct().orderBy(size).collect()]
-    kinds = [(size >= OVERLAP, RUN, 2), ((size >= SPAN) & (size < OVERLAP), RUN, 1), *((size == n, n, 1) for n in short)]
-    found = [seeds(items.where(which), "item_id", F.col("item"), "item_at", [n]).withColumn("need", F.lit(need)) for which, n, need in kinds]
-    return functools.reduce(DataFrame.unionByName, found), sorted({RUN, *short})
+    sizes = [r[0] for r in items.where(size > 0).select(F.least(size, F.lit(OVERLAP))).distinct().collect()]
+    found = [seeds(items.where(F.least(size, F.lit(OVERLAP)) == n), "item_id", "item", "item_at", list(masks_for(n))) for n in sizes]
+    return functools.reduce(DataFrame.unionByName, found) if found else None, sorted({m for n in sizes for m in masks_for(n)})
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -59,15 +63,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     One row per document and item: the alignment with most equal tokens, the earliest of equal ones.
     doc_start is the token of the document at which the item would start (it may be negative).
 
-    Null and empty texts hold nothing, and items without a token match nothing. Items of fewer than SPAN tokens must stand whole. Rows without an id are left out, on either side. Repeated rows give one result; rows that share
-    a doc_id are searched each. No documents or no items: no rows. Other columns are ignored.
+    Null and empty texts hold nothing, and items without a token match nothing. Items of fewer than SPAN tokens
+    must stand whole. Rows without an id are left out, on either side. Repeated rows give one result; rows that
+    share a doc_id are searched each. No documents or no items: no rows. Other columns are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id IS NOT NULL AND text IS NOT NULL")
     items = materialize(benchmark.select(F.col("item_id").cast("long"), tokens(F.col("text").cast("string")).alias("item")).where("item_id IS NOT NULL AND item IS NOT NULL").distinct())
-    wanted, lengths = item_seeds(items)
-    hits = seeds(docs, "doc_id", tokens(F.col("text")), "doc_at", lengths).join(bounded(materialize(wanted)), "hash")
-    counted = hits.groupBy("doc_id", "item_id", (F.col("doc_at") - F.col("item_at")).alias("doc_start")).agg(F.count("*").alias("n"), F.min("need").alias("need"))
-    aligned = materialize(counted.where("n >= need").select("doc_id", "item_id", "doc_start"))
+    wanted, masks = item_seeds(items)
+    if wanted is None:
+        return docs.limit(0).select("doc_id", *(F.lit(None).cast("long").alias(c) for c in ("item_id", "n_matched", "item_tokens", "doc_start")))
+    split = docs.select("doc_id", tokens(F.col("text")).alias("words"))
+    hits = seeds(split, "doc_id", "words", "doc_at", masks).join(bounded(materialize(wanted)), "hash")
+    aligned = materialize(hits.select("doc_id", "item_id", (F.col("doc_at") - F.col("item_at")).alias("doc_start")).distinct())
 
     texts = docs.join(bounded(aligned), "doc_id").join(bounded(items), "item_id")
     start = F.col("doc_start")

@@ -6,17 +6,21 @@ import tempfile
 import uuid
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: A side of a join is broadcast only after its rows were counted and found to be at most this many.
-BROADCAST_ROWS = 500_000
+#: A side of a join is broadcast only after its rows and bytes were counted and found to be at most this many.
+BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 << 20
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder named in spark.checkpoint.dir; a temporary one only where that is unset, as in tests."""
+    """The shared folder named in spark.checkpoint.dir. Where that is unset a local session, as in tests, gets a temporary one; a cluster has to name one."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="cairn-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -45,9 +49,22 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def bounded(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a materialized ``table`` for broadcasting if a count shows it small; else leave the join to the shuffle."""
-    return F.broadcast(table) if table.count() <= rows else table
+def _width(name: str, kind: T.DataType) -> Column:
+    """About the bytes that a value takes."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(name), F.lit(0)) + 8
+    if isinstance(kind, T.ArrayType):
+        each = F.lit(8) if not isinstance(kind.elementType, (T.StringType, T.StructType)) else F.lit(24)
+        return F.greatest(F.size(name), F.lit(0)) * each + 16
+    return F.lit(8)
+
+
+def bounded(table: DataFrame, rows: int | None = None, max_bytes: int | None = None) -> DataFrame:
+    """Mark a materialized ``table`` for broadcasting if a count shows its rows and bytes small; else leave the join to the shuffle."""
+    width = sum((_width(f"`{f.name}`", f.dataType) for f in table.schema), F.lit(0))
+    n, size = table.agg(F.count("*"), F.sum(width.cast("long"))).first()
+    small = n <= (BROADCAST_ROWS if rows is None else rows) and (size or 0) <= (BROADCAST_BYTES if max_bytes is None else max_bytes)
+    return F.broadcast(table) if small else table
 
 
 def rows_of(batch: pa.RecordBatch, names: list[str]):
