@@ -2,13 +2,14 @@
 
 Two fingerprints at most ``2 * r`` bits apart share a variant that is at most ``r`` flips from
 both. Every fingerprint therefore emits all its variants within ``r`` flips, variants meet by
-shuffle, and each collision is a link. A variant is dealt by its leading bits: a fingerprint
+shuffle, and each colliding pair is verified. A variant is dealt by its leading bits: a fingerprint
 goes once to every prefix within ``r`` flips of its own, and the variants of the remaining
 bits are spread out where they meet, so 137 small rows travel for 2,081 variants.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cairn.llm.components import connected_components
-from cairn.llm.support import Out, materialize, shuffle_partitions
+from cairn.llm.support import materialize, shuffle_partitions
 
 SHINGLE = 4
 SEED = 42
@@ -73,55 +74,96 @@ def _prefix_bits(fps: DataFrame) -> int:
     return 32
 
 
+def variants_under(prefix: np.ndarray, bits: int, fp: np.ndarray, radius: int, most: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(variant, row, flips) for the variants of ``fp`` within ``radius`` flips that begin with their row's prefix of ``bits`` bits.
+
+    Every variant comes in one piece with all its rows. A piece has about ``most`` variants: a larger one is
+    divided by the variants' next bit, so that memory stays bounded however many rows a prefix has.
+    """
+    todo = [(bits, prefix, np.arange(len(fp)))]
+    while todo:
+        bits, prefix, rows = todo.pop()
+        low = BITS - bits
+        used = np.bitwise_count((fp[rows] >> np.uint64(low)) ^ prefix).astype(np.int64)
+        rows, prefix, used = rows[used <= radius], prefix[used <= radius], used[used <= radius]
+        sizes = np.cumsum([math.comb(low, r) for r in range(radius + 1)])
+        if len(rows) > 1 and sizes[radius - used].sum() > most and low:
+            todo += [(bits + 1, (prefix << np.uint64(1)) | np.uint64(bit), rows) for bit in (1, 0)]
+            continue
+        body = (fp[rows] & np.uint64((1 << low) - 1)) | (prefix << np.uint64(low))
+        found, of, far = [], [], []
+        for left in range(radius + 1):
+            at, masks = np.flatnonzero(radius - used == left), np.array(flips(low, left), np.uint64)
+            found.append((body[at][:, None] ^ masks[None, :]).ravel())
+            of.append(np.repeat(rows[at], len(masks)))
+            far.append((used[at][:, None] + np.bitwise_count(masks)[None, :].astype(np.int64)).ravel())
+        yield np.concatenate(found), np.concatenate(of), np.concatenate(far)
+
+
+def colliding_pairs(variant: np.ndarray, row: np.ndarray, far: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs of rows (hub, member): in each variant's group the first row within ``radius`` flips, and every other row.
+
+    Any two rows of a group of which one is within ``radius`` are joined by such pairs, so groups aren't paired up.
+    """
+    order = np.lexsort((row, far > radius, variant))
+    variant, row, far = variant[order], row[order], far[order]
+    first = np.r_[True, variant[1:] != variant[:-1]][: len(variant)]
+    start = np.maximum.accumulate(np.where(first, np.arange(len(variant)), 0))
+    pair = ~first & (far[start] <= radius)
+    codes = np.unique((row[start][pair].astype(np.uint64) << np.uint64(32)) | row[pair].astype(np.uint64))
+    return (codes >> np.uint64(32)).astype(np.int64), (codes & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
+
+def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Indexes of pairs (a, b) that join the same rows as all of them and close no ring."""
+    label, kept = np.arange(n), []
+    alive = np.arange(len(a))
+    while True:
+        alive = alive[label[a[alive]] != label[b[alive]]]
+        if not len(alive):
+            return np.unique(np.concatenate(kept)) if kept else alive
+        least = np.full(n, len(a), np.int64)
+        np.minimum.at(least, label[a[alive]], alive)
+        np.minimum.at(least, label[b[alive]], alive)
+        chosen = np.unique(least[least < len(a)])
+        kept.append(chosen)
+        while True:
+            before, low = label.copy(), np.minimum(label[a[chosen]], label[b[chosen]])
+            np.minimum.at(label, label[a[chosen]], low)
+            np.minimum.at(label, label[b[chosen]], low)
+            label = label[label]
+            if (label == before).all():
+                break
+
+
 def fingerprint_links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """Links (a, b) that connect distinct fingerprints ``fps(fp)`` at most ``distance`` bits apart.
+    """Links (a, b) between distinct fingerprints ``fps(fp)``, each at most ``distance`` bits apart.
 
-    Two fingerprints share a component of the links exactly if a chain of such pairs joins them:
-    within a prefix each component is returned as a star, not as all its pairs.
+    Two fingerprints share a component of the links exactly if a chain of such pairs joins them. Pairs that
+    collide in a variant are made distinct and verified by their Hamming distance; of the verified pairs found
+    under one prefix those that close a ring are left out. For an odd distance one end is reached within half of
+    it, rounded down, and the other within half, rounded up.
     """
-    radius = distance // 2
+    inner, radius = distance // 2, (distance + 1) // 2
     bits = _prefix_bits(fps)
     low = BITS - bits
-    near = {r: np.array(flips(low, r), np.uint64) for r in range(radius + 1)}
     copies = F.explode(F.array(*(F.lit(m) for m in flips(bits, radius)))).alias("mask")
     dealt = fps.select("fp", copies).select("fp", F.shiftrightunsigned("fp", low).bitwiseXOR(F.col("mask")).alias("prefix"))
 
-    def expand(keys: np.ndarray, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The variants under their prefixes, and which row each is of."""
-        left = radius - np.bitwise_count((fp >> np.uint64(low)) ^ keys).astype(np.int64)
-        body = (fp & np.uint64((1 << low) - 1)) | (keys << np.uint64(low))
-        variants, rows = [], []
-        for r, masks in near.items():
-            at = np.flatnonzero(left == r)
-            variants.append((body[at][:, None] ^ masks[None, :]).ravel())
-            rows.append(np.repeat(at, len(masks)))
-        return np.concatenate(variants), np.concatenate(rows)
-
-    def stars(keys: np.ndarray, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        variants, rows = expand(keys, fp)
-        ordered = np.sort(variants)
-        shared = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
-        if not len(shared):
-            return fp[:0], fp[:0]
-        at = np.searchsorted(shared, variants)
-        hit = shared[np.minimum(at, len(shared) - 1)] == variants
-        group, member = at[hit], rows[hit]
-        order = np.argsort(group, kind="stable")
-        group, member = group[order], member[order]
-        first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
-        size = np.diff(np.r_[first, len(group)])
-        label = fp.view(np.int64).copy()
-        while True:
-            least = np.repeat(np.minimum.reduceat(label[member], first), size)
-            before = label.copy()
-            np.minimum.at(label, member, least)
-            if (label == before).all():
-                break
-        hung = label != fp.view(np.int64)
-        return fp.view(np.int64)[hung], label[hung]
+    def verified(keys: np.ndarray, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        pairs = []
+        for piece in variants_under(keys, bits, fp, radius, CHUNK_VARIANTS):
+            hub, member = colliding_pairs(*piece, inner)
+            near = np.bitwise_count(fp[hub] ^ fp[member]) <= distance
+            hub, member = hub[near], member[near]
+            if len(hub):
+                kept = forest(len(fp), hub, member)
+                pairs.append((fp[hub[kept]], fp[member[kept]]))
+        a, b = (np.concatenate(x) for x in zip(*pairs, strict=True)) if pairs else (fp[:0], fp[:0])
+        return a.view(np.int64), b.view(np.int64)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows arrive ordered by prefix; whole prefixes are spread out a bounded number at a time."""
+        """Rows arrive ordered by prefix; whole prefixes are spread out a bounded number of rows at a time."""
         most = max(1, CHUNK_VARIANTS // 16)
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
@@ -133,7 +175,7 @@ def fingerprint_links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
             while at < end:
                 stop = min(end, at + most)
                 stop = end if stop == end else max(int(np.searchsorted(keys, keys[stop])), int(np.searchsorted(keys, keys[at], side="right")))
-                a, b = stars(keys[at:stop], fp[at:stop])
+                a, b = verified(keys[at:stop], fp[at:stop])
                 if len(a):
                     yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
                 at = stop
@@ -147,8 +189,7 @@ def fingerprint_links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
             yield from whole(True)
 
     parts = shuffle_partitions(fps.sparkSession)
-    met = dealt.select("prefix", "fp").repartition(parts, "prefix").sortWithinPartitions("prefix").mapInArrow(meet, "a long, b long")
-    return met.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= BITS).distinct()
+    return dealt.select("prefix", "fp").repartition(parts, "prefix").sortWithinPartitions("prefix").mapInArrow(meet, "a long, b long").distinct()
 
 
 def simhash_components(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:

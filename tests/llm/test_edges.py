@@ -130,10 +130,10 @@ def test_simhash(spark, docs, nothing):
     assert simhash.simhash_components(nothing).count() == 0
 
 
-@pytest.mark.parametrize("rows_per_prefix", [20_000, 3])
-def test_ball_links_equal_brute_force(spark, monkeypatch, rows_per_prefix):
+@pytest.mark.parametrize(("rows_per_prefix", "distance"), [(20_000, 4), (3, 4), (20_000, 3), (20_000, 1)])
+def test_ball_links_equal_brute_force(spark, monkeypatch, rows_per_prefix, distance):
     monkeypatch.setattr(simhash, "PREFIX_ROWS", rows_per_prefix)
-    monkeypatch.setattr(simhash, "CHUNK_VARIANTS", 400)
+    monkeypatch.setattr(simhash, "CHUNK_VARIANTS", 20_000)
     rng = np.random.default_rng(1)
     base = rng.integers(0, 2**63, 40, dtype=np.uint64) * np.uint64(2)
     fps = set(base.tolist())
@@ -143,16 +143,32 @@ def test_ball_links_equal_brute_force(spark, monkeypatch, rows_per_prefix):
             for bit in rng.choice(64, flips, replace=False):
                 x ^= 1 << int(bit)
             fps.add(x)
+    fps |= {base.tolist()[30] ^ (1 << i) ^ (1 << j) for i in range(12) for j in range(i)}  # one crowded ball
     values = np.array(sorted(fps), np.uint64)
     df = spark.createDataFrame([(int(v),) for v in values.view(np.int64)], "fp long")
-    got = {r.node: r.component for r in components.connected_components(simhash.fingerprint_links(df)).collect()}
+    links = simhash.fingerprint_links(df, distance)
+    found = links.collect()
+    assert all(0 < ((r.a ^ r.b) & (1 << 64) - 1).bit_count() <= distance for r in found)
+    assert len(found) < 200 * 137  # forests, not all pairs
+    got = {r.node: r.component for r in components.connected_components(links).collect()}
     label = values.view(np.int64).copy()
-    near = np.bitwise_count(values[:, None] ^ values[None, :]) <= 4
+    near = np.bitwise_count(values[:, None] ^ values[None, :]) <= distance
     for _ in range(len(values)):
         label = np.where(near, label[None, :], np.iinfo(np.int64).max).min(axis=1)
     assert {int(v): int(c) for v, c in zip(values.view(np.int64), label, strict=True) if (label == c).sum() > 1} == got
 
 
+def test_variants_come_once_whatever_the_pieces():
+    rng = np.random.default_rng(2)
+    fp = np.unique(rng.integers(0, 2**63, 50, dtype=np.uint64))
+    prefix = np.full(len(fp), fp[0] >> np.uint64(48))
+    fp = (fp & np.uint64((1 << 48) - 1)) | (prefix << np.uint64(48)) ^ np.uint64(1 << 50)
+    whole = [sorted(zip(*(c.tolist() for c in piece), strict=True)) for piece in simhash.variants_under(prefix, 16, fp, 2, 10**9)]
+    pieces = list(simhash.variants_under(prefix, 16, fp, 2, 300))
+    assert len(whole) == 1 and len(pieces) > 5 and max(len(p[0]) for p in pieces) <= 300
+    assert sorted(r for p in pieces for r in zip(*(c.tolist() for c in p), strict=True)) == whole[0]
+
+
 def test_components(spark):
     links = [(1, 2), (2, 3), (3, 4), (9, 8), (5, 5), (None, 1), (2, 1)] + [(100 + k, 101 + k) for k in range(40)]
     got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
