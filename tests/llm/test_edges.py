@@ -76,12 +76,18 @@ def test_substrings(spark, docs, nothing):
     assert {r.doc_id: (r.n_words, r.n_removed) for r in substrings.remove_repeats(same).collect()} == {1: (21, 20), 2: (20, 0)}
 
 
-def test_substrings_dont_depend_on_the_number_of_ranges(spark, sf, monkeypatch):
-    table = spark.read.parquet(f"{sf}/documents.parquet")
+def test_substrings_dont_depend_on_blocks_and_ranges(spark, sf, monkeypatch):
+    table = spark.read.parquet(f"{sf}/documents.parquet").withColumn("doc_id", F.col("doc_id") * 64)
     wanted = sorted(map(tuple, substrings.remove_repeats(table).collect()))
-    monkeypatch.setattr(substrings, "KEY_CHARS", 500)
-    monkeypatch.setattr(substrings, "BLOCK_WORDS", 5_000)
-    assert sorted(map(tuple, substrings.remove_repeats(table).collect())) == wanted
+    for name, value in (("KEY_BYTES", 500), ("SKETCH_BYTES", 700), ("BLOCK_BYTES", 20_000)):
+        monkeypatch.setattr(substrings, name, value)
+    assert sorted(map(tuple, substrings.remove_repeats(table.repartition(7)).collect())) == wanted
+
+
+def test_substrings_spread_rows_without_an_id(spark):
+    rows = [(None, "z " * 30)] * 5 + [(1, "z " * 30), (2, "z " * 30), (2, "z " * 30)]
+    got = sorted((str(r.doc_id), r.n_words, r.n_removed) for r in substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == [("1", 30, 29)] + [("2", 30, 30)] * 2 + [("None", 30, 0)] * 5
 
 
 def test_window_hashes_by_doubling():
