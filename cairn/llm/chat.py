@@ -30,11 +30,12 @@ def format_chats(turns: DataFrame) -> DataFrame:
     true on exactly the escaped texts of the assistant's turns.
 
     Null texts and roles count as empty. Turns with equal numbers are ordered by role, then text;
-    repeated rows are turns of their own; null turn numbers come last. Rows without a conv_id form one conversation
-    with a null id. An empty table gives no rows. Other columns are ignored.
+    repeated rows are turns of their own; null turn numbers come last. A row without a conv_id is a conversation
+    of its own with a null id. An empty table gives no rows. Other columns are ignored.
     """
     clean = turns.select(F.col("conv_id").cast("long"), F.struct(F.col("turn").isNull().alias("last"), F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).alias("t"))
-    chats = clean.groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("turns")).withColumn("n_turns", F.size("turns").cast("long"))
+    grouped = clean.where("conv_id IS NOT NULL").groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("turns"))
+    chats = grouped.unionByName(clean.where("conv_id IS NULL").select("conv_id", F.array("t").alias("turns"))).withColumn("n_turns", F.size("turns").cast("long"))
     # No lambda refers to an array outside itself: the optimizer would build that array again for every element.
     roles = F.transform(F.slice("turns", 1, F.size("turns") - 1), lambda t: t["role"])
     zipped = F.arrays_zip(F.col("turns").alias("t"), F.concat(F.array(F.lit(None).cast("string")), roles).alias("before"))

@@ -1,8 +1,10 @@
-"""Near-duplicates by the Jaccard similarity of word shingles: MinHash proposes, an exact comparison decides.
+"""Near-duplicates by the Jaccard similarity of word shingles: SimHash balls and MinHash bands propose, exact sets decide.
 
-Documents of equal shingle sets are one node. Nodes that share a band of their MinHash signatures are
-joined to candidate components, as stars; a component of links at the threshold lies within one of them, but
-for pairs that share no band. Within a candidate component shared shingles are counted for every pair.
+Documents of equal shingle sets are one node. Nodes whose SimHash fingerprints are links of the ball hashing, or that
+share a band of their MinHash signatures, are joined to candidate components, as stars; a component of links
+at the threshold lies within one of them, but for pairs that neither proposes. First the stars' own pairs are
+verified, which settles most components. In those that still fall apart, the nodes outside the largest part are dealt
+into blocks of bounded size, and every node is compared with every block. No task holds more sets than a block.
 """
 
 from __future__ import annotations
@@ -12,10 +14,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cairn.llm.components import connected_components
+from cairn.llm.simhash import DISTANCE, bit_counts, fingerprint_links, majority
 from cairn.llm.support import bounded, materialize, shuffle_partitions
 
 SHINGLE = 5
@@ -29,6 +32,9 @@ _XOR, _ODD = (_rng.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64) for _ in ra
 _ODD = _ODD * np.uint64(2) + np.uint64(1)
 #: Shingles whose permuted values are held at a time.
 SLICE = 4096
+#: Nodes of a block that others are compared with, and nodes that one task compares with one block.
+BLOCK = 64
+SLOT = 128
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -54,39 +60,43 @@ def node(grams: np.ndarray) -> str:
     return xxhash.xxh128_hexdigest(grams.tobytes())
 
 
-def similar_groups(sets: list[np.ndarray]) -> np.ndarray:
-    """For each set the index of the first one that a chain of pairs at the threshold joins it to, by an inverted index."""
-    m, size = len(sets), np.array([len(s) for s in sets])
-    label, ends = np.arange(m), np.cumsum(size)
-    _, gram, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    holders = np.repeat(np.arange(m), size)[np.argsort(gram, kind="stable")]
-    starts = np.cumsum(count) - count
-    least, most = SIMILAR
-    for i in range(m - 1):
-        g = gram[ends[i] - size[i] : ends[i]]
-        g = g[count[g] > 1]
-        if not len(g):
-            continue
-        n = count[g]
-        at = np.repeat(starts[g] - np.cumsum(n) + n, n) + np.arange(n.sum())
-        shared = np.bincount(holders[at], minlength=m)
-        near = (most + least) * shared >= least * (size[i] + size)
-        for other in np.unique(label[near]):
-            a, b = sorted((label[i], other))
-            label[label == b] = a
-        if not label.any():
-            break
-    return label
+class Hubs:
+    """An inverted index of some nodes' sets, with which other sets are compared one at a time."""
+
+    def __init__(self, names: list[str], labels: list[str], sets: list[np.ndarray]):
+        self.names, self.labels = names, labels
+        self.size = np.array([len(s) for s in sets])
+        self.gram, at = np.unique(np.concatenate(sets), return_inverse=True)
+        order = np.argsort(at, kind="stable")
+        self.holder = np.repeat(np.arange(len(sets)), self.size)[order]
+        self.start = np.searchsorted(at[order], np.arange(len(self.gram) + 1))
+
+    def similar(self, name: str, label: str, grams: np.ndarray) -> list[str]:
+        """The hubs at the threshold, one for each label that isn't the set's own."""
+        at = np.searchsorted(self.gram, grams)
+        at = at[self.gram[np.minimum(at, len(self.gram) - 1)] == grams] if len(self.gram) else at[:0]
+        n = self.start[at + 1] - self.start[at]
+        places = np.repeat(self.start[at] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        shared = np.bincount(self.holder[places], minlength=len(self.names))
+        least, most = SIMILAR
+        found = {}
+        for k in np.flatnonzero((shared > 0) & ((most + least) * shared >= least * (self.size + len(grams)))):
+            if self.names[k] != name and self.labels[k] != label:
+                found.setdefault(self.labels[k], self.names[k])
+        return list(found.values())
 
 
 def _sketches(docs: DataFrame) -> DataFrame:
+    """(doc_id, node, fp, bands): fp is the SimHash of the distinct shingles."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = (shingles(batch.column(1)[i].as_py()) for i in range(batch.num_rows))
-            nodes, keys = zip(*((node(s), bands(s)) for s in sets), strict=True) if batch.num_rows else ((), ())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes, pa.string()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "node", "bands"])
+            rows = [(node(s), np.uint64(majority(bit_counts(s), len(s))).view(np.int64), bands(s)) for s in sets]
+            nodes, fps, keys = zip(*rows, strict=True) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes, pa.string()), pa.array(fps, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "node", "fp", "bands"])
 
-    return docs.mapInArrow(run, "doc_id long, node string, bands array<long>")
+    return docs.mapInArrow(run, "doc_id long, node string, fp long, bands array<long>")
 
 
 def _sets(docs: DataFrame) -> DataFrame:
@@ -99,31 +109,68 @@ def _sets(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "node string, grams binary")
 
 
-def _verified(grouped: DataFrame) -> DataFrame:
-    """(node, label) of every row of ``grouped(candidate, node, grams)``, which arrives ordered by candidate and node."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, names, sets = None, [], []
+def _verified(hubs: DataFrame, members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) at the threshold between the members and hubs of each cell; both are (cell, node, label), few hubs to a cell.
 
-        def flush() -> pa.RecordBatch:
-            label = similar_groups(sets)
-            return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([names[k] for k in label], pa.string())], names=["node", "label"])
+    Pairs of one label are left out, and a member gets one link for each label among its cell's hubs.
+    """
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, names, labels, own, index = None, [], [], [], None
         for batch in batches:
+            links = []
             for i in range(batch.num_rows):
-                candidate, name, grams = (batch.column(k)[i].as_py() for k in range(3))
-                if candidate != held:
-                    if sets:
-                        yield flush()
-                    held, names, sets = candidate, [], []
-                if not names or names[-1] != name:
+                cell, role, name, label = (batch.column(k)[i].as_py() for k in range(4))
+                grams = np.frombuffer(batch.column(4)[i].as_buffer(), np.uint64)
+                if cell != held:
+                    held, names, labels, own, index = cell, [], [], [], None
+                if role == 0:
                     names.append(name)
-                    sets.append(np.frombuffer(grams, np.uint64))
-        if sets:
-            yield flush()
+                    labels.append(label)
+                    own.append(grams.copy())
+                elif names:
+                    index = index or Hubs(names, labels, own)
+                    links += [(name, hub) for hub in index.similar(name, label, grams)]
+            a, b = zip(*links, strict=True) if links else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.string()), pa.array(b, pa.string())], names=["a", "b"])
+
+    rows = hubs.withColumn("role", F.lit(0)).unionByName(members.withColumn("role", F.lit(1))).join(sets, "node").select("cell", "role", "node", "label", "grams")
+    parts = shuffle_partitions(sets.sparkSession)
+    return rows.repartition(parts, "cell").sortWithinPartitions("cell", "role").mapInArrow(run, "a string, b string")
+
+
+def _dealt(column: str, n: str, size: int) -> Column:
+    """A number below ceil(n / size) for each row."""
+    return F.pmod(F.xxhash64(column), F.ceil(F.col(n) / size)).cast("int")
+
+
+def _spread(n: str, size: int) -> Column:
+    """All the numbers that ``_dealt`` gives."""
+    return F.explode(F.sequence(F.lit(0), F.ceil(F.col(n) / size).cast("int") - 1))
+
+
+def _star_links(stars: DataFrame, sets: DataFrame) -> DataFrame:
+    """Verified links of ``stars(a, b)``, where b is the hub; a crowded hub meets its members in several cells."""
+    sizes = materialize(stars.groupBy("b").agg(F.count("*").alias("n")))
+    cell = F.concat_ws("/", "b", "slot").alias("cell")
+    members = stars.join(sizes, "b").withColumn("slot", _dealt("a", "n", SLOT)).select(cell, F.col("a").alias("node"), F.col("a").alias("label"))
+    hubs = sizes.withColumn("slot", _spread("n", SLOT)).select(cell, F.col("b").alias("node"), F.col("b").alias("label"))
+    return _verified(hubs, members, sets)
+
 
-    parts = shuffle_partitions(grouped.sparkSession)
-    return grouped.select("candidate", "node", "grams").repartition(parts, "candidate").sortWithinPartitions("candidate", "node").mapInArrow(run, "node string, label string")
+def _open_links(candidates: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """Verified links between nodes of one candidate component and different labels."""
+    named = candidates.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    parts = materialize(named.groupBy("candidate", "label").agg(F.count("*").alias("n")))
+    whole = parts.groupBy("candidate").agg(F.sum("n").alias("n"), F.count("*").alias("labels"), F.max_by("label", F.struct("n", "label")).alias("largest"), F.max("n").alias("most"))
+    open_ = materialize(whole.where("labels > 1").select("candidate", "largest", "n", (F.col("n") - F.col("most")).alias("outer_n")))
+    inside = named.join(open_, "candidate")
+    # every node meets every block of nodes outside the largest part; blocks are copied to slots of nodes
+    placed = inside.withColumn("slot", _dealt("node", "n", SLOT)).withColumn("block", _spread("outer_n", BLOCK))
+    cell = F.concat_ws("/", "candidate", "block", "slot").alias("cell")
+    members = placed.select(cell, "node", "label")
+    outer = inside.where("label <> largest").withColumn("block", _dealt("node", "outer_n", BLOCK)).withColumn("slot", _spread("n", SLOT))
+    return _verified(outer.select(cell, "node", "label"), members, sets)
 
 
 def similar_components(docs: DataFrame) -> DataFrame:
@@ -136,15 +183,29 @@ def similar_components(docs: DataFrame) -> DataFrame:
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     marked = materialize(_sketches(docs))
-    nodes = materialize(marked.groupBy("node").agg(F.min("doc_id").alias("first"), F.first("bands").alias("bands")))
+    nodes = materialize(marked.groupBy("node").agg(F.min("doc_id").alias("first"), F.first("fp").alias("fp"), F.first("bands").alias("bands")).where("size(bands) > 0"))
     placed = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     heads = placed.groupBy("band", "key").agg(F.min("node").alias("head"), F.count("*").alias("n")).where("n > 1")
-    met = materialize(placed.join(heads, ["band", "key"]).where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct())
-    candidates = materialize(connected_components(met).withColumnRenamed("component", "candidate"))
+    banded = placed.join(heads, ["band", "key"]).select(F.col("node").alias("a"), F.col("head").alias("b"))
+    leads = materialize(nodes.groupBy("fp").agg(F.min("node").alias("lead")))
+    balls = fingerprint_links(leads.select("fp"), DISTANCE).withColumnsRenamed({"a": "x", "b": "y"})
+    near = balls.join(leads.select(F.col("fp").alias("x"), F.col("lead").alias("a")), "x").join(leads.select(F.col("fp").alias("y"), F.col("lead").alias("b")), "y")
+    equal = nodes.join(leads, "fp").select(F.col("node").alias("a"), F.col("lead").alias("b"))
+    stars = materialize(banded.unionByName(near.select("a", "b")).unionByName(equal).where("a <> b").distinct())
+
+    candidates = materialize(connected_components(stars).withColumnRenamed("component", "candidate"))
     wanted = bounded(materialize(nodes.join(candidates, "node").select(F.col("first").alias("doc_id")).where("doc_id IS NOT NULL").distinct()))
     texts = docs.join(wanted, "doc_id", "left_semi").unionByName(docs.where("doc_id IS NULL"))
-    found = materialize(_verified(_sets(texts).join(bounded(candidates), "node")))
-    named = materialize(nodes.join(found, "node", "left").select("node", "first", F.coalesce("label", "node").alias("component")))
+    sets = materialize(_sets(texts).join(bounded(candidates.select("node")), "node", "left_semi").dropDuplicates(["node"]))
+    labels = materialize(connected_components(_star_links(stars, sets)).withColumnRenamed("component", "label"))
+    more = materialize(_open_links(candidates, labels, sets))
+    label_of = lambda end: labels.select(F.col("node").alias(end), F.col("label").alias(f"label_{end}"))
+    joined = more.join(label_of("a"), "a", "left").join(label_of("b"), "b", "left").select(F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b"))
+    merged = materialize(connected_components(joined).select(F.col("node").alias("label"), F.col("component").alias("merged")))
+
+    all_nodes = marked.groupBy("node").agg(F.min("doc_id").alias("first"))
+    named = all_nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")).join(merged, "label", "left")
+    named = materialize(named.select("node", "first", F.coalesce("merged", "label").alias("component")))
     least = materialize(named.groupBy("component").agg(F.min("first").alias("component_id")))
     lookup = materialize(named.join(least, "component").select("node", "component_id"))
     return marked.join(lookup, "node").select("doc_id", "component_id")

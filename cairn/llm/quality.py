@@ -1,6 +1,6 @@
-"""Quality classifier: naive Bayes support vectors over byte n-grams.
+"""Quality classifier: naive Bayes support vectors over n-grams of bytes and of words.
 
-Indicators of the byte n-grams of a text are scaled by the log-ratio of their smoothed class
+Indicators of the byte n-grams of a text, and of which words of a word n-gram are equal, are scaled by the log-ratio of their smoothed class
 counts, and a linear hinge-loss model of the scaled, length-normalised indicators is fitted by
 dual coordinate descent. Margins become probabilities by a logistic fit on rows kept out of it.
 """
@@ -27,9 +27,23 @@ FEATURE_BITS = 18
 GRAMS = (2, 3, 4)
 #: Bytes of a text hashed at a time.
 SLICE = 1 << 20
-#: A text that says the same word twice in a row has indicators for how often, this many of each: one among
-#: thousands would weigh nothing.
-REPEAT_COPIES = 48
+#: Word n-grams count by their pattern alone: which of their words are equal.
+PATTERN_WORDS = 4
+
+
+def patterns(words: list[bytes]) -> np.ndarray:
+    """A number for every equality pattern that runs of 2 to PATTERN_WORDS words show."""
+    same = {d: np.fromiter(map(eq, words, words[d:]), np.int64, max(0, len(words) - d)) for d in range(1, PATTERN_WORDS)}
+    found = []
+    for n in range(2, PATTERN_WORDS + 1):
+        size = len(words) - n + 1
+        if size > 0:
+            code = np.full(size, n, np.int64)
+            for i in range(1, n):
+                for j in range(i):
+                    code = 2 * code + same[i - j][j : j + size]
+            found.append(np.unique(code))
+    return np.concatenate(found) if found else np.zeros(0, np.int64)
 
 
 def features(text: str | None) -> np.ndarray:
@@ -49,11 +63,7 @@ def features(text: str | None) -> np.ndarray:
                 found.append(np.unique((h * np.uint32(0x9E3779B1)) >> shift))
     if not found:
         return np.zeros(0, np.uint32)
-    words = raw.tobytes().split()
-    if len(words) > 1:
-        same = sum(map(eq, words, words[1:])) / (len(words) - 1)
-        level = np.uint32(int(np.searchsorted((0.0, 0.02, 0.1, 0.3), same)))
-        found.append((np.arange(REPEAT_COPIES, dtype=np.uint32) + level * np.uint32(64)) * np.uint32(0x9E3779B1) >> shift)
+    found.append(patterns(raw.tobytes().split()).astype(np.uint32) * np.uint32(0x85EBCA6B) >> shift)
     ordered = np.sort(np.concatenate(found))
     return ordered[np.r_[True, ordered[1:] != ordered[:-1]]]
 

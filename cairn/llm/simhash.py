@@ -32,6 +32,16 @@ PREFIX_ROWS = 20_000
 CHUNK_VARIANTS = 1_500_000
 
 
+def bit_counts(hashes: np.ndarray) -> np.ndarray:
+    """How many of the 64-bit hashes have each bit."""
+    return np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+
+
+def majority(counts: np.ndarray, n: int) -> int:
+    """The bits that more than half of ``n`` hashes have."""
+    return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
+
+
 def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
     """64-bit SimHash of ASCII-lower-cased word shingles, repeats included; no words: zero."""
     words = (text or "").encode("utf-8", "replace").lower().split()
@@ -44,9 +54,8 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
     digest = xxhash.xxh64_intdigest
     counts = np.zeros(BITS, np.int64)
     for i in range(0, n, 65536):
-        h = np.array([digest(body[s:e], seed) for s, e in zip(starts[i : i + 65536], stops[i : i + 65536], strict=True)], "<u8")
-        counts += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
+        counts += bit_counts(np.array([digest(body[s:e], seed) for s, e in zip(starts[i : i + 65536], stops[i : i + 65536], strict=True)], np.uint64))
+    return majority(counts, n)
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:

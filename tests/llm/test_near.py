@@ -56,10 +56,25 @@ def test_stage_finds_worn_copies_and_spares_lesser_ones(spark, sf):
     assert P.near_duplicates(spark, table.limit(0), sf).count() == 0
 
 
-def test_groups_follow_chains():
+def test_chains_across_small_blocks(spark, sf, monkeypatch):
+    """Chains whose ends aren't similar, compared in blocks and slots of two."""
+    monkeypatch.setattr(near, "BLOCK", 2)
+    monkeypatch.setattr(near, "SLOT", 2)
+    rng = random.Random(9)
+    texts = {}
+    for k in range(12):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(160)]
+        for step in range(9):  # neighbours share 138 to 149 of 156 shingles, ends none
+            texts[100 * k + step] = " ".join(words[7 * step :] + [f"n{k}x{i}" for i in range(7 * step)])
+    table = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert sorted(r.doc_id for r in P.near_duplicates(spark, table, sf).collect()) == sorted(kept(texts)) == [100 * k for k in range(12)]
+
+
+def test_hubs_count_shared_shingles():
     base = np.arange(100, dtype=np.uint64)
-    sets = [base, base[10:], base[20:], np.arange(500, 520, dtype=np.uint64), base[:50]]
-    assert near.similar_groups(sets).tolist() == [0, 0, 0, 3, 4]
+    hubs = near.Hubs(["a", "b", "c"], ["a", "b", "a"], [base, base[10:], np.arange(500, 520, dtype=np.uint64)])
+    assert hubs.similar("x", "x", base[5:]) == ["a", "b"] and hubs.similar("a", "a", base) == ["b"]
+    assert hubs.similar("x", "x", base[50:]) == [] and hubs.similar("x", "x", base[:0]) == []
 
 
 def test_later_stages_follow_the_near_duplicates(spark, sf):
