@@ -1,7 +1,7 @@
 """The corpus pipeline: five operators in turn over documents, each stage's rows written and reread.
 
-Every stage but the last returns the columns of documents. Rows without a doc_id can't be matched to
-a decision and stay; an empty table passes through empty.
+Every stage but the last returns the columns of documents. A null text counts as empty. Rows without a doc_id can't
+be matched to a decision and stay; rows that share a doc_id share its decisions. An empty table passes through empty.
 """
 
 from __future__ import annotations
@@ -36,8 +36,15 @@ def boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each component of five-word Jaccard similarity 0.8."""
-    return without(docs, similar_components(docs).where("doc_id <> component_id"))
+    """Keep the document with the smallest id of each component of five-word Jaccard similarity 0.8.
+
+    Operator 7's ball hashing proposes links between SimHash fingerprints of five-word shingles; as few pairs near the
+    threshold lie within its 4 bits, MinHash bands propose the rest, and exact sets decide. Of rows that share id and
+    text one stays.
+    """
+    stay = materialize(without(docs, similar_components(docs).where("doc_id <> component_id")))
+    again = bounded(materialize(stay.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select("doc_id")))
+    return stay.join(again, "doc_id", "left_anti").unionByName(stay.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])).select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
