@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from collections import defaultdict
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
+from pyspark.sql import types as T
 
 # Fixed values of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -26,12 +28,13 @@ IMPLIED_END = {
 }
 SCOPE = frozenset({"table", "td", "th", "html", "button", "caption"})
 
-#: Cells are padded to their column's width up to so many characters.
+# Fixed values of the HTML standard: the most columns and rows that a cell spans.
+MOST_COLUMNS, MOST_ROWS = 1000, 65534
+
+#: Cells are padded to their column's width up to so many characters, so that one long cell doesn't pad a whole column.
 CELL_WIDTH = 40
-#: Tables nested deeper are rendered as plain blocks.
-NESTED_TABLES = 8
-_HIDDEN_STYLE = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
-_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
+#: Tables nested deeper are rendered as plain blocks: their text stays, its columns don't, as every level indents all within.
+NESTED_TABLES = 64
 _SIMPLE = re.compile(r"[a-zA-Z][\w-]*|[.#][\w-]+")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 
@@ -44,19 +47,24 @@ class Node:
 
 
 class TreeBuilder(HTMLParser):
+    """Nodes with implied end tags. Where every tag is open is known, so that no end is searched for in the open nodes."""
+
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = Node("#root", {})
         self.open = [self.root]
+        self.at: defaultdict[str, list[int]] = defaultdict(list)
         self.styles: list[str] = []
 
-    def end_until(self, tags: set, scope: frozenset | set) -> None:
-        for k in range(len(self.open) - 1, 0, -1):
-            if self.open[k].tag in tags:
-                del self.open[k:]
-                return
-            if self.open[k].tag in scope:
-                return
+    def last(self, tags: frozenset | set) -> int:
+        return max((at[-1] for at in map(self.at.get, tags) if at), default=0)
+
+    def end_until(self, tags: frozenset | set, scope: frozenset | set) -> None:
+        k = self.last(tags)
+        if k and k >= self.last(scope):
+            for node in self.open[k:]:
+                self.at[node.tag].pop()
+            del self.open[k:]
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in CLOSES_P:
@@ -67,6 +75,7 @@ class TreeBuilder(HTMLParser):
         node = Node(tag, dict(attrs))
         self.open[-1].children.append(node)
         if tag not in VOID:
+            self.at[tag].append(len(self.open))
             self.open.append(node)
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
@@ -85,22 +94,52 @@ class TreeBuilder(HTMLParser):
             self.open[-1].children.append(data)
 
 
-def hidden_selectors(styles: list[str]) -> frozenset[str]:
-    """Tags, .classes and #ids that the page's own style sheets hide; other selectors are ignored."""
-    found = set()
-    for selectors, rules in _RULE.findall(" ".join(styles)):
-        if _HIDDEN_STYLE.search(rules):
-            found.update(s for s in map(str.strip, selectors.split(",")) if _SIMPLE.fullmatch(s))
-    return frozenset(found)
+class Shown(NamedTuple):
+    """What a style says: whether the element is rendered at all, and whether its own text shows; None where it says nothing."""
+
+    rendered: bool | None = None
+    visible: bool | None = None
+
+    def then(self, other: Shown) -> Shown:
+        return Shown(*(a if b is None else b for a, b in zip(self, other, strict=True)))
+
+
+def declared(style: str) -> Shown:
+    rendered = visible = None
+    for part in style.split(";"):
+        name, _, value = part.partition(":")
+        name, value = name.strip().lower(), value.partition("!")[0].strip().lower()
+        if name == "display" and value:
+            rendered = value != "none"
+        elif name == "visibility" and value in ("visible", "hidden", "collapse"):
+            visible = value == "visible"
+    return Shown(rendered, visible)
 
 
-def is_hidden(node: Node, selectors: frozenset[str]) -> bool:
+def style_rules(styles: list[str]) -> dict[str, Shown]:
+    """What the page's own style sheets say of tags, .classes and #ids; other selectors are ignored. Of equal selectors the later counts."""
+    found: dict[str, Shown] = {}
+    for chunk in " ".join(styles).split("}")[:-1]:
+        before, brace, rules = chunk.rpartition("{")
+        said = declared(rules)
+        if brace and said != Shown():
+            for selector in map(str.strip, before.rpartition("{")[2].split(",")):
+                if _SIMPLE.fullmatch(selector):
+                    found[selector] = found.get(selector, Shown()).then(said)
+    return found
+
+
+def shown(node: Node, rules: dict[str, Shown]) -> Shown:
+    """rendered: False if neither the element nor anything in it is. visible: None if as its parent."""
     a, tag = node.attrs, node.tag
-    if tag in NEVER_SHOWN or "hidden" in a or (tag == "dialog" and "open" not in a) or (tag == "input" and (a.get("type") or "").lower() == "hidden"):
-        return True
-    if a.get("style") and _HIDDEN_STYLE.search(a["style"]):
-        return True
-    return bool(selectors) and (tag in selectors or f"#{a.get('id')}" in selectors or any(f".{c}" in selectors for c in (a.get("class") or "").split()))
+    if tag in NEVER_SHOWN or (tag == "input" and (a.get("type") or "").lower() == "hidden"):
+        return Shown(False)
+    out = Shown(False) if "hidden" in a or (tag == "dialog" and "open" not in a) else Shown()
+    if rules:
+        for selector in (tag, *(f".{c}" for c in (a.get("class") or "").split()), f"#{a.get('id')}"):
+            if selector in rules:
+                out = out.then(rules[selector])
+    return out.then(declared(a["style"])) if a.get("style") else out
 
 
 class Flow:
@@ -139,16 +178,17 @@ class Flow:
         self.gap = max(self.gap, 2 if spaced else 1)
 
 
-def render(root: Node, selectors: frozenset[str], depth: int = 0) -> list[str]:
+def render(root: Node, rules: dict[str, Shown], depth: int = 0, visible: bool = True) -> list[str]:
     """The visible lines below ``root``; nesting of any depth is walked without recursion, but for tables."""
     flow = Flow()
     pre = 0
     lists: list[list] = []
-    todo: list = [(0, c) for c in reversed(root.children)]
+    todo: list = [(False, c, visible) for c in reversed(root.children)]
     while todo:
-        leaving, node = todo.pop()
+        leaving, node, visible = todo.pop()
         if isinstance(node, str):
-            flow.text(node, pre > 0)
+            if visible:
+                flow.text(node, pre > 0)
             continue
         tag = node.tag
         if leaving:
@@ -162,8 +202,10 @@ def render(root: Node, selectors: frozenset[str], depth: int = 0) -> list[str]:
             elif tag == "li":
                 flow.marker = ""
             continue
-        if is_hidden(node, selectors):
+        said = shown(node, rules)
+        if said.rendered is False:
             continue
+        visible = visible if said.visible is None else said.visible
         if tag == "br":
             flow.line() if "".join(flow.parts).strip() else flow.block(False)
             continue
@@ -174,7 +216,7 @@ def render(root: Node, selectors: frozenset[str], depth: int = 0) -> list[str]:
             continue
         if tag == "table" and depth < NESTED_TABLES:
             flow.block(True)
-            for line in table_lines(node, selectors, depth):
+            for line in table_lines(node, rules, depth, visible):
                 flow.parts.append(line)
                 flow.line(pre=True)
             flow.block(True)
@@ -193,10 +235,10 @@ def render(root: Node, selectors: frozenset[str], depth: int = 0) -> list[str]:
                 kind[1] += 1
             elif tag == "pre":
                 pre += 1
-            todo.append((1, node))
+            todo.append((True, node, visible))
         elif tag in ("td", "th"):
             flow.text(" ", False)
-        todo.extend((0, c) for c in reversed(children))
+        todo.extend((False, c, visible) for c in reversed(children))
     flow.line()
     return flow.lines
 
@@ -205,40 +247,86 @@ def _number(value: str | None, default: int) -> int:
     return int(value) if value and value.strip().isascii() and value.strip().isdigit() and len(value) < 6 else default
 
 
-def table_lines(table: Node, selectors: frozenset[str], depth: int) -> list[str]:
-    """Rows of cells padded to common widths; a caption comes first, stray content before the rows."""
+def grid(rows: list[list[Node]]) -> list[list[tuple[int, int, Node]]]:
+    """(first column, column behind the last, cell) of every row's cells: a cell that spans rows pushes later ones aside."""
+    out = []
+    taken: list[list[int]] = []  # [first, behind, rows left], ordered
+    for i, row in enumerate(rows):
+        placed, spans, column, k = [], [], 0, 0
+        for cell in row:
+            while k < len(taken) and taken[k][0] <= column:
+                column, k = max(column, taken[k][1]), k + 1
+            end = column + min(max(1, _number(cell.attrs.get("colspan"), 1)), MOST_COLUMNS)
+            left = len(rows) - i - 1
+            down = min(_number(cell.attrs.get("rowspan"), 1), MOST_ROWS)
+            if down != 1 and left:
+                spans.append([column, end, min(down - 1, left) if down else left])
+            placed.append((column, end, cell))
+            column = end
+        out.append(placed)
+        merged: list[list[int]] = []
+        for first, behind, left in sorted([[a, b, n - 1] for a, b, n in taken if n > 1] + spans):
+            if merged and merged[-1][1] == first and merged[-1][2] == left:
+                merged[-1][1] = behind
+            else:
+                merged.append([first, behind, left])
+        taken = merged
+    return out
+
+
+def table_lines(table: Node, rules: dict[str, Shown], depth: int, visible: bool) -> list[str]:
+    """Rows of cells padded to common widths; a caption comes first, stray content before the rows.
+
+    Columns in which no cell begins take no room, and a cell that spans several is as wide as they are.
+    """
     rows: list[list[Node]] = []
     stray = Node("#stray", {})
-    todo = [c for c in reversed(table.children)]
+    seen: dict[int, bool] = {}  # cells whose visibility isn't the table's
+    todo = [(c, visible) for c in reversed(table.children)]
     while todo:
-        node = todo.pop()
+        node, above = todo.pop()
         if isinstance(node, str):
             if node.strip():
                 stray.children.append(node)
-        elif is_hidden(node, selectors):
             continue
-        elif node.tag == "tr":
-            rows.append([c for c in node.children if not isinstance(c, str) and c.tag in ("td", "th") and not is_hidden(c, selectors)])
-            stray.children += [c for c in node.children if c.strip()] if all(isinstance(c, str) for c in node.children) else [c for c in node.children if (c.strip() if isinstance(c, str) else c.tag not in ("td", "th"))]
+        said = shown(node, rules)
+        if said.rendered is False:
+            continue
+        above = above if said.visible is None else said.visible
+        if node.tag == "tr":
+            cells = []
+            for c in node.children:
+                if isinstance(c, str) or c.tag not in ("td", "th"):
+                    if not isinstance(c, str) or c.strip():
+                        stray.children.append(c)
+                elif (own := shown(c, rules)).rendered is not False:
+                    cells.append(c)
+                    seen[id(c)] = above if own.visible is None else own.visible
+            rows.append(cells)
         elif node.tag in ("thead", "tbody", "tfoot"):
-            todo.extend(reversed(node.children))
+            todo.extend((c, above) for c in reversed(node.children))
         elif node.tag in ("td", "th"):
             rows.append([node])
+            seen[id(node)] = above
         else:
             stray.children.append(node)
-    lines = render(stray, selectors, depth + 1) if stray.children else []
-    cells = []
-    for row in rows:
-        out: list[list[str]] = []
-        for cell in row:
-            out.append(render(cell, selectors, depth + 1))
-            out.extend([[]] * (min(_number(cell.attrs.get("colspan"), 1), 50) - 1))
-        cells.append(out)
-    columns = max(map(len, cells), default=0)
-    widths = [min(CELL_WIDTH, max((len(x) for row in cells if k < len(row) for x in row[k]), default=0)) for k in range(columns)]
+    lines = render(stray, rules, depth + 1, visible) if stray.children else []
+    placed = [[(a, b, render(c, rules, depth + 1, seen[id(c)])) for a, b, c in row] for row in grid(rows)]
+    starts = sorted({a for row in placed for a, _, _ in row})
+    widths = [0] * len(starts)
+    cells = [[(bisect_left(starts, a), bisect_left(starts, b), text) for a, b, text in row] for row in placed]
+    for row in cells:
+        for k, behind, text in row:
+            if behind - k == 1:
+                widths[k] = max(widths[k], min(CELL_WIDTH, max(map(len, text), default=0)))
     for row in cells:
-        for n in range(max(map(len, row), default=0)):
-            lines.append(" | ".join((c[n] if n < len(c) else "").ljust(w) for c, w in zip(row, widths, strict=False)).rstrip())
+        for n in range(max((len(text) for _, _, text in row), default=0)):
+            parts, at = [], 0
+            for k, behind, text in row:
+                parts += [" " * w for w in widths[at:k]]
+                parts.append((text[n] if n < len(text) else "").ljust(sum(widths[k:behind]) + 3 * (behind - k - 1)))
+                at = behind
+            lines.append(" | ".join(parts).rstrip())
     return lines
 
 
@@ -252,29 +340,33 @@ def page_text(html: str | None) -> str:
         builder = TreeBuilder()
         builder.feed((html or "").replace("<!", "&lt;!"))
         builder.close()
-    return "\n".join(render(builder.root, hidden_selectors(builder.styles)))
+    return "\n".join(render(builder.root, style_rules(builder.styles)))
 
 
 def extract_text(pages: DataFrame, *, html: str = "html") -> DataFrame:
     """Every row of ``pages`` with the column text: what a reader of the page sees.
 
     Blocks start lines, paragraphs and the like are set off by a blank line, list items carry "- " or
-    their number under their list's indent, table cells are padded to columns, and ``pre`` keeps its
-    white space. Scripts, styles, hidden elements, closed dialogs and folded details aren't shown.
+    their number under their list's indent, table cells are padded to columns (up to CELL_WIDTH) and keep to them
+    under cells that span rows or columns, and ``pre`` keeps its white space. Scripts, styles, hidden elements, closed
+    dialogs and folded details aren't shown; text made visible inside an invisible element is.
 
     Null and empty pages have empty text. Text without tags comes out as it is, white space collapsed. Broken
-    markup of any nesting is repaired by implied tags, never refused. Repeated rows are rendered each. Other
-    columns pass through; one called text is replaced. An empty table gives no rows.
+    markup of any nesting is repaired by implied tags, never refused, in time that grows with the page. Repeated rows
+    are rendered each. Other columns pass through, whatever their names; those called text, in any case, are
+    replaced. An empty table gives no rows.
     """
-    passed = [f for f in pages.schema.fields if f.name != "text"]
-    shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in passed) + ", text string"
-    at = [f.name for f in passed].index(html)
+    at = pages.columns.index(html)
+    passed = [k for k, c in enumerate(pages.columns) if c.lower() != "text"]
+    shape = T.StructType([T.StructField(f"c{k}", pages.schema[k].dataType) for k in passed] + [T.StructField("text", T.StringType())])
+    plain = pages.toDF(*(f"c{k}" for k in range(len(pages.columns))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 512):
                 part = batch.slice(i, 512)
-                text = [page_text(h) for h in part.column(at).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(text, pa.string())], names=[*part.schema.names, "text"])
+                text = pa.array([page_text(h) for h in part.column(0).to_pylist()], pa.string())
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], text], names=shape.names)
 
-    return pages.select(*(F.col(f"`{f.name}`") for f in passed)).mapInArrow(run, shape)
+    rendered = plain.select(plain[f"c{at}"].cast("string").alias("html"), *(f"c{k}" for k in passed)).mapInArrow(run, shape)
+    return rendered.toDF(*(pages.columns[k] for k in passed), "text")

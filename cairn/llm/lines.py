@@ -36,20 +36,22 @@ def drop_boilerplate(docs: DataFrame, *, host: str = "source", text: str = "text
     """``docs`` with boilerplate lines cut from ``text``, and the columns n_lines and n_dropped.
 
     Lines are what newlines separate, compared whole; blank lines stay. Columns of ``docs`` called n_lines or
-    n_dropped are replaced, others pass through. Null text stays null with no lines; an empty text is one
+    n_dropped, in any case, are replaced, others pass through, whatever their names. Null text stays null with no lines; an empty text is one
     blank line. A null host has no site: its rows stay whole. Ties at the ratio stay (the share must exceed
     it). An empty table gives no rows. A text all of whose lines go becomes empty; no row is dropped.
     """
-    found = materialize(boilerplate(docs, host=host, text=text, ratio=ratio, min_pages=min_pages).select(F.col("host").alias("__host"), F.col("keys").alias("__keys")))
+    host_at, text_at = docs.columns.index(host), docs.columns.index(text)
+    plain = docs.toDF(*(f"c{k}" for k in range(len(docs.columns))))  # names of the caller's can't clash with those below
+    site, body = F.col(f"c{host_at}").cast("string"), F.col(f"c{text_at}").cast("string")
+    found = materialize(boilerplate(plain.select(site.alias("host"), body.alias("text")), host="host", text="text", ratio=ratio, min_pages=min_pages))
     # a site's row may hold many keys: the keys are what is counted before a broadcast
-    if (found.agg(F.sum(F.size("__keys"))).first()[0] or 0) <= BROADCAST_ROWS:
+    if (found.agg(F.sum(F.size("keys"))).first()[0] or 0) <= BROADCAST_ROWS:
         found = F.broadcast(found)
-    kept = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    lines = F.split(F.col(text).cast("string"), "\n")
-    rest = F.when(F.col("__keys").isNull(), lines).otherwise(F.filter(lines, lambda x: ~F.array_contains("__keys", _key(x))))
-    out = docs.join(found, F.col(host).cast("string") == F.col("__host"), "left").withColumn("__rest", rest)
-    changed = F.array_join("__rest", "\n").alias(text)
-    size = lambda c: F.coalesce(F.size(c), F.lit(0)).cast("long")
-    n_lines = F.when(F.col(text).isNull(), F.lit(0)).otherwise(size(lines)).cast("long")
-    n_rest = F.when(F.col(text).isNull(), F.lit(0)).otherwise(size(F.col("__rest"))).cast("long")
-    return out.select(*(changed if c == text else F.col(c) for c in kept), n_lines.alias("n_lines"), (n_lines - n_rest).alias("n_dropped"))
+    lines = F.split(body, "\n")
+    rest = F.when(F.col("keys").isNull(), lines).otherwise(F.filter(lines, lambda x: ~F.array_contains("keys", _key(x))))
+    out = plain.join(found, site == F.col("host"), "left").withColumn("rest", rest)
+    size = lambda c: F.when(body.isNull(), F.lit(0)).otherwise(F.coalesce(F.size(c), F.lit(0))).cast("long")
+    kept = [k for k, c in enumerate(docs.columns) if c.lower() not in ("n_lines", "n_dropped")]
+    changed = [F.array_join("rest", "\n") if k == text_at else F.col(f"c{k}") for k in kept]
+    cut = out.select(*(c.alias(f"c{k}") for k, c in zip(kept, changed, strict=True)), size(lines).alias("n_lines"), (size(lines) - size(F.col("rest"))).alias("n_dropped"))
+    return cut.toDF(*(docs.columns[k] for k in kept), "n_lines", "n_dropped")

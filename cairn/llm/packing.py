@@ -28,6 +28,11 @@ PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id lon
 _RAW = pa.schema([("part", pa.int64()), ("closed", pa.bool_()), ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("ids", pa.binary())])
 _PIECES = pa.schema(list(_RAW)[2:])
 _encoders: dict[str, WordEncoder] = {}
+#: Texts on which a vocabulary must give the same ids word by word as whole.
+PROBES = (
+    "Plain words, a number 1234567 and  two blanks\n\nafter a line. ", "I'm don't 's a'b'ss ''", "ÀÉ×ß naïve-é é é Σίσυφος İs ﬁ",
+    "漢字 ☃☃ 🙂👍 ªº µ ½", "...!!!@@ <b>x</b> a_b--c $5.00 #1 \\ ~", "UPPER MiXed camelCase x1y2 0x1F 3.14e-10", " leading", "tab\tand\rmore\x1c", "a" * 90, "",
+)
 
 
 class WordEncoder:
@@ -36,7 +41,8 @@ class WordEncoder:
     The vocabulary drops white space before its merges, so a text's ids are those of its
     blank-separated words in order, and a word seen before is looked up. A word of plain Latin
     letters, digits and ASCII marks is the letters, digits and marks it consists of; these are
-    looked up too. Any other word goes through the tokenizer as it is.
+    looked up too. Any other word goes through the tokenizer as it is. A vocabulary for which
+    this doesn't hold on PROBES gets every text whole.
     """
 
     #: What the vocabulary's pattern splits such words into (apostrophes have rules of their own there).
@@ -52,6 +58,11 @@ class WordEncoder:
         self.as_ids = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.known: dict[str, bytes] = {"": b""}
         self.parts: dict[str, bytes] = {}
+        # a vocabulary that splits otherwise, or can't be taken apart so, gets whole texts
+        try:
+            self.by_word = all(self.word_by_word(t) == self.whole(t) for t in PROBES)
+        except (AttributeError, KeyError, IndexError, TypeError):
+            self.by_word = False
 
     def part(self, part: str) -> bytes:
         ids = self.parts.get(part)
@@ -65,7 +76,7 @@ class WordEncoder:
     def word(self, word: str) -> bytes:
         parts = self.plain.findall(word)
         if "<|" in word or sum(map(len, parts)) != len(word):
-            ids = np.asarray(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+            ids = self.whole(word)
         elif len(parts) == 1:
             ids = self.part(word.lower())
         else:
@@ -74,12 +85,18 @@ class WordEncoder:
             self.known[word] = ids
         return ids
 
-    def __call__(self, text: str) -> bytes:
+    def whole(self, text: str) -> bytes:
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def word_by_word(self, text: str) -> bytes:
         words = text.replace("\n", " ").split(" ")
         get, new = self.known.get, self.word
         ids = [get(w) for w in words]
         return b"".join([new(w) if i is None else i for w, i in zip(words, ids)] if None in ids else ids)
 
+    def __call__(self, text: str) -> bytes:
+        return self.word_by_word(text) if self.by_word else self.whole(text)
+
 
 def encoder(path: str) -> WordEncoder:
     if path not in _encoders:
