@@ -7,17 +7,19 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def asof_value(left: DataFrame, right: DataFrame, keys: list[str], left_at: str, right_at: str, value: str, *, lag: str | None = None, out: str = "value") -> DataFrame:
+def asof_value(left: DataFrame, right: DataFrame, keys: list[str], left_at: str, right_at: str, value: str, *, lag: str | None = None, tie: str | None = None, out: str = "value") -> DataFrame:
     """For each left row the last right value of its key at or before its time less ``lag``.
 
     Both sides are united and read once in order: linear, with no range join. ``lag`` is an interval such as '1 day'.
+    Of right rows of one key and time the one with the greatest ``tie`` counts, or else the one with the greatest value.
     """
     at = F.col(left_at) - F.expr(f"INTERVAL {lag}") if lag else F.col(left_at)
-    a = left.withColumn("__at", at).withColumn("__left", F.lit(True)).withColumn("__value", F.lit(None).cast(right.schema[value].dataType))
-    b = right.select(*keys, F.col(right_at).alias("__at"), F.lit(False).alias("__left"), F.col(value).alias("__value"))
-    order = W.partitionBy(*keys).orderBy("__at", "__left").rowsBetween(W.unboundedPreceding, 0)
+    by = right.schema[tie or value].dataType
+    a = left.withColumn("__at", at).withColumn("__left", F.lit(True)).withColumn("__value", F.lit(None).cast(right.schema[value].dataType)).withColumn("__tie", F.lit(None).cast(by))
+    b = right.select(*keys, F.col(right_at).alias("__at"), F.lit(False).alias("__left"), F.col(value).alias("__value"), F.col(tie or value).alias("__tie"))
+    order = W.partitionBy(*keys).orderBy("__at", "__left", "__tie").rowsBetween(W.unboundedPreceding, 0)
     both = a.unionByName(b, allowMissingColumns=True).withColumn(out, F.last("__value", ignorenulls=True).over(order))
-    return both.where("__left").drop("__at", "__left", "__value")
+    return both.where("__left").drop("__at", "__left", "__value", "__tie")
 
 
 def asof_count(df: DataFrame, keys: list[str], at: str, out: str = "n_before") -> DataFrame:
@@ -40,18 +42,18 @@ def unique_match(left: DataFrame, right: DataFrame, key: str, right_id: str) ->
 
 
 def cascade_match(left: DataFrame, left_id: str, steps: list[tuple[str, Column, DataFrame, Column]], right_id: str) -> DataFrame:
-    """Tries steps in order; each resolves only rows with exactly one candidate, the rest go on.
+    """The first step, in order, that has exactly one candidate for a row.
 
-    A step is (name, left key, right table, right key).
+    A step is (name, left key, right table, right key). Each right side is one row per key, so the left rows are read
+    once and joined step by step without growing.
     """
-    out, rest = None, left.withColumn("__rest", F.lit(True))
-    for name, left_key, right, right_key in steps:
-        keyed = right.select(right_key.alias("__k"), F.col(right_id).alias("__id")).groupBy("__k").agg(F.count_distinct("__id").alias("__n"), F.min("__id").alias("__id")).where("__n = 1")
-        tried = rest.drop("__rest").join(keyed, left_key == F.col("__k"), "left")
-        done = tried.where("__id IS NOT NULL").select(left_id, F.col("__id").alias("match_id"), F.lit(name).alias("method"))
-        out = done if out is None else out.unionByName(done)
-        rest = tried.where("__id IS NULL").drop("__k", "__n", "__id").withColumn("__rest", F.lit(True))
-    return out.unionByName(rest.select(left_id, F.lit(None).cast(out.schema["match_id"].dataType).alias("match_id"), F.lit("no_match").alias("method")))
+    tried, ids, names = left, [], []
+    for n, (name, left_key, right, right_key) in enumerate(steps):
+        one = right.select(right_key.alias(f"__k{n}"), F.col(right_id).alias("__id")).groupBy(f"__k{n}").agg(F.count_distinct("__id").alias("__n"), F.min("__id").alias(f"__id{n}")).where("__n = 1").drop("__n")
+        tried = tried.join(one, left_key == F.col(f"__k{n}"), "left")
+        ids.append(F.col(f"__id{n}"))
+        names.append(F.when(F.col(f"__id{n}").isNotNull(), name))
+    return tried.select(left_id, F.coalesce(*ids).alias("match_id"), F.coalesce(*names, F.lit("no_match")).alias("method"))
 
 
 def margin_match(scored: DataFrame, left_id: str, right_id: str, score: str, margin: float) -> DataFrame:
@@ -83,12 +85,14 @@ def unknown_keys(review: DataFrame, base: DataFrame, key: str) -> DataFrame:
 def overlapping(left: DataFrame, right: DataFrame, key: str, left_set: str, right_set: str) -> DataFrame:
     """Left rows with a flag whether some right row of the key shares a value.
 
-    The sets are exploded to (key, value) pairs and met by equality, so a block of m and n rows costs m + n.
+    The sets are exploded to (key, value) pairs and met by equality, so a block of m and n rows costs m + n. What is
+    met is each distinct (key, set), so rows need no number of their own. A NULL key, set or value meets nothing.
     """
-    pairs = right.select(key, F.explode(right_set).alias("__v")).distinct()
-    hit = left.select(F.monotonically_increasing_id().alias("__i"), "*")
-    met = hit.select("__i", key, F.explode(left_set).alias("__v")).join(pairs, [key, "__v"], "left_semi").select("__i").distinct().withColumn("matched", F.lit(True))
-    return hit.join(met, "__i", "left").withColumn("matched", F.coalesce("matched", F.lit(False))).drop("__i")
+    pairs = right.select(F.col(key).alias("__k"), F.explode(right_set).alias("__v")).distinct()
+    sets = left.select(F.col(key).alias("__k"), F.col(left_set).alias("__s")).distinct()
+    met = sets.withColumn("__v", F.explode("__s")).join(pairs, ["__k", "__v"], "left_semi").select("__k", "__s", F.lit(True).alias("__met")).distinct()
+    joined = left.join(met, (F.col(key) == F.col("__k")) & (F.col(left_set) == F.col("__s")), "left")
+    return joined.select(*left.columns, F.coalesce("__met", F.lit(False)).alias("matched"))
 
 
 def neighbours(edges: DataFrame, rows: DataFrame, node: str, exclude: DataFrame | None = None) -> DataFrame:

@@ -66,15 +66,18 @@ def best_level(pairs: DataFrame, left_id: str, right_id: str) -> DataFrame:
 
 
 def cross_source(new: DataFrame, existing: DataFrame, place: str, tech: str, same: list[str]) -> DataFrame:
-    """New rows as duplicate (a row of the place and technology agrees on ``same``), flagged (one is there but differs) or new."""
-    agree = F.lit(True)
-    for c in same:
-        agree = agree & F.col(c).eqNullSafe(F.col(f"__{c}"))
-    other = existing.select(place, tech, *(F.col(c).alias(f"__{c}") for c in same), F.lit(True).alias("__there")).distinct()
-    keyed = new.withColumn("__i", F.monotonically_increasing_id())
-    seen = keyed.join(other, [place, tech]).groupBy("__i").agg(F.bool_or(agree).alias("__agree"))
-    verdict = F.when(F.col("__agree"), "duplicate").when(F.col("__agree").isNotNull(), "flagged").otherwise("new")
-    return keyed.join(seen, "__i", "left").withColumn("verdict", verdict).drop("__i", "__agree")
+    """New rows as duplicate (a row of the place and technology agrees on ``same``, NULLs too), flagged (one is there but differs) or new.
+
+    Both questions are equality joins with distinct keys, so no pairs of a place are formed.
+    """
+    there = existing.select(F.col(place).alias("__p"), F.col(tech).alias("__t"), F.lit(True).alias("__there")).distinct()
+    exact = existing.select(F.col(place).alias("__q"), F.col(tech).alias("__u"), *(F.col(c).alias(f"__{i}") for i, c in enumerate(same)), F.lit(True).alias("__agree")).distinct()
+    at = (F.col(place) == F.col("__q")) & (F.col(tech) == F.col("__u"))
+    for i, c in enumerate(same):
+        at = at & F.col(c).eqNullSafe(F.col(f"__{i}"))
+    seen = new.join(exact, at, "left").join(there, (F.col(place) == F.col("__p")) & (F.col(tech) == F.col("__t")), "left")
+    verdict = F.when(F.col("__agree"), "duplicate").when(F.col("__there"), "flagged").otherwise("new")
+    return seen.select(*new.columns, verdict.alias("verdict"))
 
 
 def hold_duplicates(rows: DataFrame, seed: DataFrame, keys: list[str], row_id: str) -> DataFrame:

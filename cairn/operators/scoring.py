@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cairn.operators.windows import by_value_counts
+from cairn.operators.windows import by_value_counts, running_sum
 
 
 def stack(points: Column, rest: float = 0.25, cap: float = 100.0) -> Column:
@@ -46,8 +45,7 @@ def calibration_gate(df: DataFrame, p: str, y: str, max_ece: float = 0.15, min_n
 def pair_auc(df: DataFrame, score: str, y: str) -> DataFrame:
     """The rank-sum form, ties at half; ranks come from counts per distinct score."""
     counts = df.groupBy(score).agg(F.sum(F.col(y).cast("long")).alias("pos"), F.count("*").alias("n"))
-    below = F.coalesce(F.sum(F.col("n") - F.col("pos")).over(W.orderBy(score).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    pairs = counts.withColumn("won", F.col("pos") * (below + (F.col("n") - F.col("pos")) * 0.5))
+    pairs = running_sum(counts, [F.col(score)], F.col("n") - F.col("pos")).withColumn("won", F.col("pos") * (F.col("__below") + (F.col("n") - F.col("pos")) * 0.5))
     total = pairs.agg(F.sum("won").alias("won"), F.sum("pos").alias("pos"), F.sum(F.col("n") - F.col("pos")).alias("neg"))
     return total.select((F.col("won") / F.nullif(F.col("pos") * F.col("neg"), F.lit(0))).alias("auc"), "pos", "neg")
 

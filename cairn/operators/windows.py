@@ -1,4 +1,4 @@
-"""Ranking and change detection. Global ranks here are over summaries, not over raw rows."""
+"""Ranking and change detection. A global order is cut into ranges, so that no task sees the whole column."""
 
 from __future__ import annotations
 
@@ -6,15 +6,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from cairn.sources.scratch import cut_lineage
+
+
+def running_sum(df: DataFrame, order: list[Column], add: Column, below: str = "__below", total: str = "__n") -> DataFrame:
+    """The sum of ``add`` over the rows before each row in a global order, and over all rows.
+
+    Rows are range-partitioned by the order and written with the number of their range, so that a lost task can't
+    number them anew; sums within a range then need only that range, and what lies before it comes from a table of
+    one row per range. Equal rows of the order share a range. NULLs come where the order puts them.
+    """
+    ranged = cut_lineage(df.repartitionByRange(*order).withColumn("__range", F.spark_partition_id()).withColumn("__add", add.cast("long")))
+    sums = ranged.groupBy("__range").agg(F.sum("__add").alias("__sum"))
+    earlier = F.sum("__sum").over(W.orderBy("__range").rowsBetween(W.unboundedPreceding, -1))
+    offsets = sums.select("__range", F.coalesce(earlier, F.lit(0)).alias("__offset"), F.sum("__sum").over(W.partitionBy()).alias(total))
+    within = F.sum("__add").over(W.partitionBy("__range").orderBy(*order).rowsBetween(W.unboundedPreceding, -1))
+    placed = ranged.withColumn("__within", F.coalesce(within, F.lit(0))).join(F.broadcast(offsets), "__range")
+    return placed.select(*df.columns, (F.col("__offset") + F.col("__within")).alias(below), total)
+
 
 def by_value_counts(df: DataFrame, value: str) -> DataFrame:
     """Rows per value, with the rows below it: what ranks and percentiles need.
 
-    Values are counted by a partial aggregate first, so the one global window runs over distinct values.
+    Values are counted by a partial aggregate first, so what is ordered are distinct values.
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("__same"))
-    below = F.coalesce(F.sum("__same").over(W.orderBy(value).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    return counts.select(value, "__same", below.alias("__below"), F.sum("__same").over(W.partitionBy()).alias("__n"))
+    return running_sum(counts, [F.col(value)], F.col("__same"))
 
 
 def competition_rank(df: DataFrame, value: str, out: str = "rank_all") -> DataFrame:
@@ -34,12 +51,47 @@ def decile(rank: Column, n: Column) -> Column:
     return F.least(F.lit(10), F.floor((rank - 1) * 10 / n) + 1).cast("int")
 
 
-def normal_score(rank: Column, n: Column) -> Column:
-    """Blom's score, with the inverse normal by a rational approximation (error below 4.5e-4)."""
-    p = (rank - 0.375) / (n + 0.25)
+def deciles(df: DataFrame, order: list[Column], out: str = "decile") -> DataFrame:
+    """Tenths of all rows by a global order."""
+    return running_sum(df, order, F.lit(1)).withColumn(out, decile(F.col("__below") + 1, F.col("__n"))).drop("__below", "__n")
+
+
+# Acklam's rational approximation of the inverse normal, highest power first, for the middle and the tails.
+MIDDLE_TOP = (-39.69683028665376, 220.9460984245205, -275.9285104469687, 138.3577518672690, -30.66479806614716, 2.506628277459239)
+MIDDLE_BOTTOM = (-54.47609879822406, 161.5858368580409, -155.6989798598866, 66.80131188771972, -13.28068155288572, 1.0)
+TAIL_TOP = (-0.007784894002430293, -0.3223964580411365, -2.400758277161838, -2.549732539343734, 4.374664141464968, 2.938163982698783)
+TAIL_BOTTOM = (0.007784695709041462, 0.3224671290700398, 2.445134137142996, 3.754408661907416, 1.0)
+TAIL = 0.02425
+
+
+def _polynomial(x: Column, powers: tuple[float, ...]) -> Column:
+    value = F.lit(powers[0])
+    for c in powers[1:]:
+        value = value * x + c
+    return value
+
+
+def inverse_normal(p: Column) -> Column:
+    """The standard normal quantile of 0 < p < 1, to a relative error of about 1e-9; NULL outside."""
+    q = p - 0.5
+    r = q * q
+    near = q * _polynomial(r, MIDDLE_TOP) / _polynomial(r, MIDDLE_BOTTOM)
     t = F.sqrt(-2 * F.ln(F.least(p, 1 - p)))
-    z = t - (2.515517 + 0.802853 * t + 0.010328 * t * t) / (1 + 1.432788 * t + 0.189269 * t * t + 0.001308 * t * t * t)
-    return F.round(F.when(p < 0.5, -z).otherwise(z), 4)
+    far = _polynomial(t, TAIL_TOP) / _polynomial(t, TAIL_BOTTOM)
+    z = F.when(p < TAIL, far).when(p > 1 - TAIL, -far).otherwise(near)
+    return F.when((p > 0) & (p < 1), z)
+
+
+def normal_score(rank: Column, n: Column) -> Column:
+    """Blom's score of a 1-based rank, three decimals."""
+    return F.round(inverse_normal((rank - 0.375) / (n + 0.25)), 3) + 0.0
+
+
+def normal_scores(df: DataFrame, order: list[Column], out: str = "normal", out_decile: str = "decile") -> DataFrame:
+    """Blom's score and the tenth of each row by a global order, whose later columns break ties."""
+    ranked = running_sum(df, order, F.lit(1))
+    rank = F.col("__below") + 1
+    return ranked.withColumn(out, normal_score(rank, F.col("__n"))).withColumn(out_decile, decile(rank, F.col("__n"))).drop("__below", "__n")
 
 
 def changes_only(df: DataFrame, keys: list[str], order: list[str], state: list[str]) -> DataFrame:
@@ -68,7 +120,7 @@ def quota(df: DataFrame, group: str, order: list[Column], n: int, recent: DataFr
 
 def dense_priority(df: DataFrame, order: list[Column], out: str = "priority") -> DataFrame:
     """1..n over a worklist."""
-    return df.withColumn(out, F.row_number().over(W.orderBy(*order)))
+    return running_sum(df, order, F.lit(1)).withColumn(out, (F.col("__below") + 1).cast("int")).drop("__below", "__n")
 
 
 def enum_order(c: Column, values: tuple[str, ...]) -> Column:

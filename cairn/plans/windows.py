@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from statistics import NormalDist
+
 from pyspark.sql import functions as F
 
 from cairn.operators import windows as O
@@ -24,13 +26,24 @@ WITH r AS (SELECT c_custkey, row_number() OVER (ORDER BY c_acctbal, c_custkey) A
 v AS (SELECT o_custkey, CAST(sum(CAST(o_totalprice AS DECIMAL(18,4))) AS DOUBLE) AS value FROM orders GROUP BY 1)
 SELECT decile, count(*) AS n, CAST(sum(CAST(coalesce(value, 0) AS DECIMAL(18,4))) AS DOUBLE) / count(*) AS mean_value FROM d LEFT JOIN v ON o_custkey = c_custkey GROUP BY 1""")
 def q_decile_prior(t):
-    from pyspark.sql import Window as W
-
-    ranked = t.customer.select("c_custkey", O.decile(F.row_number().over(W.orderBy("c_acctbal", "c_custkey")), F.count("*").over(W.partitionBy())).alias("decile"))
+    ranked = O.deciles(t.customer.select("c_custkey", "c_acctbal"), [F.col("c_acctbal"), F.col("c_custkey")]).select("c_custkey", "decile")
     value = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(money("o_totalprice").alias("value"))
     return ranked.join(value, "c_custkey", "left").groupBy("decile").agg(F.count("*").alias("n"), (money(F.coalesce("value", F.lit(0.0))) / F.count("*")).alias("mean_value"))
 
 
+BLOM = ", ".join(f"({i}, {round(NormalDist().inv_cdf((i - 0.375) / 25.25), 3) + 0.0}::DOUBLE)" for i in range(1, 26))
+
+
+@query(f"""
+WITH v AS (SELECT s_nationkey AS k, count(*) // 5 AS n FROM supplier GROUP BY 1), r AS (SELECT n_nationkey, row_number() OVER (ORDER BY coalesce(n, 0), n_regionkey, n_nationkey) AS rn FROM nation LEFT JOIN v ON k = n_nationkey), b(rn, normal) AS (VALUES {BLOM})
+SELECT n_nationkey, normal, CAST(1 + (10 * (rn - 1)) // 25 AS INTEGER) AS decile FROM r JOIN b USING (rn)""")
+def q_normal_scores(t):
+    """W4 over the 25 nations: the oracle's scores are literal values."""
+    n = t.supplier.groupBy(F.col("s_nationkey").alias("n_nationkey")).agg(F.floor(F.count("*") / 5).alias("n"))
+    rows = t.nation.join(n, "n_nationkey", "left").select("n_nationkey", "n_regionkey", F.coalesce("n", F.lit(0)).alias("n"))
+    return O.normal_scores(rows, [F.col("n"), F.col("n_regionkey"), F.col("n_nationkey")]).select("n_nationkey", "normal", "decile")
+
+
 @query("""
 WITH x AS (SELECT *, lag(o_orderstatus) OVER w AS before, row_number() OVER w AS rn FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey))
 SELECT o_custkey, o_orderkey, o_orderstatus FROM x WHERE rn = 1 OR before <> o_orderstatus""")
@@ -68,12 +81,12 @@ def q_worklist_priority(t):
 
 @query("""
 SELECT c_custkey, CASE WHEN last >= DATE '2001-01-01' THEN 'within_12' WHEN last >= DATE '2000-01-01' THEN 'within_24' WHEN last IS NOT NULL THEN 'older' ELSE 'undated' END AS bucket
-FROM customer LEFT JOIN (SELECT o_custkey, max(o_orderdate)::DATE AS last FROM orders WHERE o_orderkey % 9 = 0 GROUP BY 1) ON o_custkey = c_custkey""")
+FROM customer LEFT JOIN (SELECT o_custkey, max(o_orderdate)::DATE AS last FROM orders GROUP BY 1) ON o_custkey = c_custkey""")
 def q_age_buckets(t):
     from cairn.functions.scalars import months_before
 
     as_of = F.lit("2002-01-01").cast("date")
-    last = t.orders.where("o_orderkey % 9 = 0").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max("o_orderdate").cast("date").alias("last"))
+    last = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max("o_orderdate").cast("date").alias("last"))
     bucket = F.when(F.col("last") >= months_before(as_of, 12), "within_12").when(F.col("last") >= months_before(as_of, 24), "within_24").when(F.col("last").isNotNull(), "older").otherwise("undated")
     return t.customer.join(last, "c_custkey", "left").select("c_custkey", bucket.alias("bucket"))
 

@@ -27,7 +27,7 @@ def row_hash(df: DataFrame) -> str:
 def publish(tables: dict[str, DataFrame], folder: str, gates: list[DataFrame] = (), kinds: dict[str, str] | None = None) -> DataFrame:
     """SNK1, SNK5, SNK6: writes all to a staging folder, runs the gates, then swaps it in.
 
-    A gate is a frame of differences that must be empty. Rows are range-sorted, not gathered in one file.
+    A gate is a frame of differences that must be empty. A move that fails is undone. Rows are range-sorted, not gathered in one file.
     Returns the manifest (name, kind, rows, bytes).
     """
     spark = next(iter(tables.values())).sparkSession
@@ -45,10 +45,15 @@ def publish(tables: dict[str, DataFrame], folder: str, gates: list[DataFrame] =
     manifest.coalesce(1).write.json(f"{staging}/manifest.json")
     target, fs = _fs(spark, folder)
     old, _ = _fs(spark, f"{staging}.old")
-    if fs.exists(target):
-        fs.rename(target, old)
-    fs.rename(_fs(spark, staging)[0], target)
-    fs.delete(old, True)
+    there = fs.exists(target)
+    if there and not fs.rename(target, old):
+        raise OSError(f"{folder} could not be moved away; it is as before, the new edition is in {staging}")
+    if not fs.rename(_fs(spark, staging)[0], target):
+        if there and not fs.rename(old, target):
+            raise OSError(f"the old edition of {folder} is in {staging}.old")
+        raise OSError(f"{folder} could not be replaced; the new edition is in {staging}")
+    if there:
+        fs.delete(old, True)
     return manifest
 
 

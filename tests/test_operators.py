@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from cairn.operators import derive, joins, places, quality, rollup, scoring, sets, windows
+from cairn.operators import derive, joins, matching, places, quality, rollup, scoring, sets, windows
 
 
 def frame(spark, schema, *rows):
@@ -74,9 +74,62 @@ def test_ranks_with_ties(spark):
     assert got(windows.midrank_percentile(df, "v").select("id", F.col("pct").cast("double"))) == [(1, 50.0), (2, 50.0), (3, 87.5), (4, 12.5)]
 
 
-def test_normal_scores_are_symmetric(spark):
-    got_ = [r[0] for r in spark.range(1, 6).select(windows.normal_score(F.col("id"), F.lit(5))).collect()]
-    assert got_[2] == pytest.approx(0, abs=1e-3) and got_[0] == pytest.approx(-got_[4]) and got_[4] == pytest.approx(1.18, abs=0.01)
+@pytest.mark.parametrize("n", [1, 5, 3222])
+def test_normal_scores_equal_the_exact_quantile(spark, n):
+    from statistics import NormalDist
+
+    exact = [round(NormalDist().inv_cdf((i - 0.375) / (n + 0.25)), 3) + 0.0 for i in range(1, n + 1)]
+    assert [r[0] for r in spark.range(1, n + 1).select(windows.normal_score(F.col("id"), F.lit(n))).collect()] == exact
+    assert [r[0] for r in spark.createDataFrame([(0.0,), (1.0,), (None,)], "p double").select(windows.inverse_normal(F.col("p"))).collect()] == [None] * 3
+
+
+def test_normal_scores_break_ties_by_later_columns(spark):
+    df = frame(spark, "k string, v int, u double", ("a", 1, 2.0), ("b", 1, 1.0), ("c", 0, 9.0), ("d", 1, 2.0))
+    out = windows.normal_scores(df, [F.col("v"), F.col("u"), F.col("k")])
+    assert got(out.select("k", "normal", "decile")) == [("a", 0.299, 6), ("b", -0.299, 3), ("c", -1.049, 1), ("d", 1.049, 8)]
+    assert windows.normal_scores(df.limit(0), [F.col("v")]).count() == 0
+
+
+def test_running_sums_over_many_ranges(spark):
+    """Ranges are neither coalesced nor equal here: the order must hold across them, ties and NULLs included."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(3000).select("id", F.when(F.col("id") % 50 > 0, F.pmod(F.col("id") * 7919, F.lit(400))).alias("v"))
+        rows = sorted(((r.id, r.v) for r in df.collect()), key=lambda x: (x[1] is not None, x[1] or 0, x[0]))
+        assert {r.id: r.priority for r in windows.dense_priority(df, [F.asc("v"), F.asc("id")]).collect()} == {i: n + 1 for n, (i, _) in enumerate(rows)}
+        rank = {r.id: r.rank_all for r in windows.competition_rank(df, "v").collect()}
+        values = [v for _, v in rows if v is not None]
+        assert rank == {i: None if v is None else 1 + sum(x > v for x in values) for i, v in rows}
+        plan = windows.dense_priority(df, [F.asc("v")])._jdf.queryExecution().optimizedPlan().toString()
+        assert "partitionBy" not in plan
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_matches_stay_on_their_rows_after_a_shuffle(spark, adaptive):
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        left = spark.range(400).select("id", (F.col("id") % 3).alias("k"), F.array(F.col("id") % 10, F.when(F.col("id") % 4 == 0, F.col("id") % 20)).alias("s")).repartition(7, F.rand(1))
+        right = spark.range(6).select((F.col("id") % 3).alias("k"), F.array(F.col("id"), F.col("id") + 10).alias("t"))
+        tags = {k: {v for i in range(6) if i % 3 == k for v in (i, i + 10)} for k in range(3)}
+        want = {i: bool(({i % 10} | ({i % 20} if i % 4 == 0 else set())) & tags[i % 3]) for i in range(400)}
+        assert {r.id: r.matched for r in joins.overlapping(left, right, "k", "s", "t").collect()} == want
+        new = spark.range(300).select("id", (F.col("id") % 5).alias("p"), F.lit("x").alias("t"), F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("a")).repartition(5, F.rand(2))
+        old = frame(spark, "p long, t string, a long", (0, "x", 1), (0, "x", 1), (1, "x", None), (2, "y", 2), (None, "x", 1))
+        held = {(0, 1), (1, None)}
+        verdict = lambda i: "duplicate" if (i % 5, i % 3 or None) in held else "flagged" if i % 5 < 2 else "new"
+        assert {r.id: r.verdict for r in matching.cross_source(new, old, "p", "t", ["a"]).collect()} == {i: verdict(i) for i in range(300)}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
+def test_asof_ties_have_a_defined_winner(spark):
+    left = frame(spark, "id int, k int, t int", (1, 1, 5))
+    right = frame(spark, "k int, t int, v int, e string", (1, 4, 9, "a"), (1, 4, 7, "b"), (1, 3, 99, "z")).repartition(3)
+    assert joins.asof_value(left, right, ["k"], "t", "t", "v").first().value == 9
+    assert joins.asof_value(left, right, ["k"], "t", "t", "v", tie="e").first().value == 7
 
 
 def test_three_way_merge(spark):

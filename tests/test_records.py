@@ -17,6 +17,18 @@ def test_greedy_dedupe_registers_only_kept_rows(spark):
     assert matching.greedy_dedupe(df.limit(0), ["u", "h"], "n").count() == 0
 
 
+def test_greedy_query_equals_a_loop(spark, sf):
+    from cairn.plans import registry
+
+    seen, kept = set(), set()
+    for r in spark.read.parquet(f"{sf}/events.parquet").selectExpr("event_id", "user_id AS u", "CAST(round(value * 100) AS long) AS h").orderBy("event_id").collect():
+        keys = {k for k in (("u", r.u), ("h", r.h)) if k[1] is not None}
+        if not keys & seen:
+            seen |= keys
+            kept.add(r.event_id)
+    assert {r.event_id for r in registry.QUERIES["q_greedy_dedupe"](spark, sf).collect()} == kept
+
+
 def test_blocked_matching(spark):
     a = frame(spark, "id int, st string, core array<string>", (1, "x", ["sun", "hill"]), (2, "x", ["hill"]), (3, "y", ["hill"]), (4, "x", ["a"]))
     b = frame(spark, "pid int, st string, pcore array<string>", (10, "x", ["hill", "sun"]), (11, "x", ["hill", "sun"]), (12, "x", ["a", "b"]))

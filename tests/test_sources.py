@@ -66,6 +66,30 @@ def test_publish_gate_and_console(spark, tmp_path):
     assert spark.read.parquet(f"{folder}/items.parquet").count() == 1
 
 
+def test_a_failed_move_leaves_the_old_edition(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "pub")
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
+    sinks.publish({"items": df}, folder)
+    real = sinks._fs
+
+    class Stuck:
+        """A file system that can't move a new edition in."""
+
+        def __init__(self, fs):
+            self.fs = fs
+
+        def __getattr__(self, name):
+            return getattr(self.fs, name)
+
+        def rename(self, a, b):
+            return False if ".staging-" in a.getName() and not a.getName().endswith(".old") else self.fs.rename(a, b)
+
+    monkeypatch.setattr(sinks, "_fs", lambda spark, path: (real(spark, path)[0], Stuck(real(spark, path)[1])))
+    with pytest.raises(OSError, match="could not be replaced"):
+        sinks.publish({"items": df.where("id = 1")}, folder)
+    assert spark.read.parquet(f"{folder}/items.parquet").count() == 2
+
+
 def test_other_sinks(spark, tmp_path):
     df = spark.createDataFrame([(2, "b", "x"), (1, None, "y")], "id int, v string, st string")
     assert sinks.row_hash(df) == sinks.row_hash(df.orderBy("id").repartition(3))
