@@ -72,7 +72,7 @@ def test_op3_equals_brute_force(spark, sf, docs):
 
 def test_op4_finds_every_notice_and_nothing_else(spark, sf, docs):
     got = {(r.doc_id, r.paragraph) for r in Q.op4_licenses(spark, sf).collect() if r.confirmed}
-    notices = ("Released under the MIT License.", "Licensed under the Apache License, Version 2.0.", "This work is licensed under the GNU General Public License, version 3.", "Licensed under CC BY-NC 4.0.")
+    notices = ("Released under the MIT License.", "Licensed under the Apache License, Version 2.0.", "This work is licensed under the GNU General Public License, version 3.", "Licensed under CC BY-NC 4.0.", "All rights reserved.")
     assert got == {(d, k) for d, t in docs.items() for k, line in enumerate(t.split("\n")) if any(n in line for n in notices)}
 
 
