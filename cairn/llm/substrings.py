@@ -27,6 +27,8 @@ WINDOW = 20
 GRAM = 8
 #: A block ends after so many bytes of text, so a task's arrays stay bounded; one document is never split.
 BLOCK_BYTES = 4 << 20
+#: Level of zstd for the texts of a block: they are written twice, once in the table and once in a shuffle.
+BODY_LEVEL = 7
 #: Hash ranges of the sketch and of the exact pass: so many at least, and one for so many bytes of text, so that a range stays bounded.
 MIN_RANGES = 64
 SKETCH_BYTES = 32 << 20
@@ -117,7 +119,7 @@ class Block:
         known = np.array([i is not None for i in self.ids], np.uint8)
         ids = np.array([0 if i is None else i for i in self.ids], np.int64)
         body = b"".join(self.texts)
-        return ids.tobytes(), known.tobytes(), np.array(list(map(len, self.texts)), np.int64).tobytes(), len(body), pa.compress(body, "zstd", asbytes=True) if body else b""
+        return ids.tobytes(), known.tobytes(), np.array(list(map(len, self.texts)), np.int64).tobytes(), len(body), pa.Codec("zstd", BODY_LEVEL).compress(body, asbytes=True) if body else b""
 
     @classmethod
     def unpack(cls, table: pa.Table) -> Block:
@@ -209,7 +211,7 @@ _FOUND_SHAPE = "key long, block long, hashes binary, checks binary, doc_ids bina
 def repeated_windows(texts: DataFrame, sketches: DataFrame, *, window: int, gram: int, range_bits: int, low: int, key_bits: int) -> DataFrame:
     """(block, doc_ids, starts): windows whose words also start earlier, as packed int64 and int32 arrays.
 
-    Windows are compared by two 64-bit hashes made of differently seeded word hashes. Each block sends at
+    Windows are compared by 96 bits, a hash of 64 and one of 32 made of differently seeded word hashes. Each block sends at
     most one window per hash: the rest are already known to repeat, so a window in a third of all documents
     doesn't gather in one task.
     """
@@ -224,7 +226,7 @@ def repeated_windows(texts: DataFrame, sketches: DataFrame, *, window: int, gram
         for doc_id, words, least, _ in docs:
             at = np.flatnonzero(repeats[np.searchsorted(anchor, least)])
             if len(at):
-                h, check = gram_hashes(word_hashes(words), window, _MIX)[at], gram_hashes(word_hashes(words, _SEEDS[1]), window, _CHECK)[at]
+                h, check = gram_hashes(word_hashes(words), window, _MIX)[at], (gram_hashes(word_hashes(words, _SEEDS[1]), window, _CHECK)[at] >> np.uint64(32)).astype(np.uint32)
                 found.append((h, check, np.full(len(at), doc_id, np.int64), at.astype(np.int32)))
         rows = []
         if found:
@@ -244,7 +246,7 @@ def repeated_windows(texts: DataFrame, sketches: DataFrame, *, window: int, gram
         settled = group.filter(pc.is_null(group.column("hashes"))).select(["block", "doc_ids", "starts"])
         group = group.filter(pc.is_valid(group.column("hashes")))
         gather = lambda n, t: np.concatenate([np.zeros(0, t), *(np.frombuffer(b.as_buffer(), t) for b in group.column(n))])
-        h, check, doc, start = gather("hashes", np.uint64), gather("checks", np.uint64), gather("doc_ids", np.int64), gather("starts", np.int32)
+        h, check, doc, start = gather("hashes", np.uint64), gather("checks", np.uint32), gather("doc_ids", np.int64), gather("starts", np.int32)
         block = np.repeat(group.column("block").to_numpy(), [len(b.as_buffer()) // 4 for b in group.column("starts")])
         order, known = _later(h, check, doc, start)
         mine = order[known]
