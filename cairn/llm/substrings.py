@@ -234,7 +234,7 @@ def repeated_windows(texts: DataFrame, sketches: DataFrame, *, window: int, gram
             order, known = _later(h, check, doc, start)
             mine, rest = order[known], np.sort(order[~known])
             if len(mine):
-                rows.append((int(h[mine[0]] >> np.uint64(64 - key_bits)), block_id, None, None, doc[mine].tobytes(), start[mine].tobytes()))
+                rows.append((xxhash.xxh64_intdigest(str(block_id)) >> (64 - key_bits), block_id, None, None, doc[mine].tobytes(), start[mine].tobytes()))
             ranged = _ranged(h[rest], key_bits)
             rest, ranged = rest[np.argsort(ranged, kind="stable")], np.sort(ranged, kind="stable")
             for k, a, b in _runs(ranged):
