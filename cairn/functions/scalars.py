@@ -209,6 +209,12 @@ SQL_FUNCTIONS = (
     "split_list(s STRING) RETURNS ARRAY<STRING> RETURN filter(transform(split(coalesce(s, ''), ';'), x -> trim(x)), x -> x <> '')",
     "blank_to_null(s STRING) RETURNS STRING RETURN nullif(trim(coalesce(s, '')), '')",
     "strict_date(s STRING) RETURNS DATE RETURN CASE WHEN s RLIKE '^[0-9]{4}-[0-9]{2}-[0-9]{2}$' THEN try_cast(s AS DATE) END",
+    "nullif_blank(s STRING) RETURNS STRING RETURN nullif(trim(coalesce(s, '')), '')",
+    r"reader_text(s STRING) RETURNS STRING RETURN nullif(trim(coalesce(regexp_replace(s, '\\s*\\[VERIFY\\b[^\\]]*\\]', ''), '')), '')",
+    "source_family(iid STRING, edition STRING) RETURNS STRING RETURN CASE WHEN iid LIKE 'sabin:%' THEN CASE WHEN edition = '2025-06' THEN 'Sabin 2025 (not in 2026 edition)' ELSE 'Sabin 2026' END "
+    "WHEN iid LIKE 'nrel:%' THEN 'NREL' WHEN iid LIKE 'mn:%' THEN 'Moratorium Nation' WHEN iid LIKE 'queue:%' THEN 'review queue' ELSE 'other' END",
+    "verification_rank(v STRING) RETURNS INT RETURN CASE coalesce(v, '') WHEN 'verified' THEN 0 WHEN 'located' THEN 1 ELSE 2 END",
+    "verification_name(r INT) RETURNS STRING RETURN CASE r WHEN 0 THEN 'verified' WHEN 1 THEN 'located' ELSE 'unverified' END",
     "squash(s STRING) RETURNS STRING RETURN regexp_replace(lower(s), '[^a-z0-9]', '')",
 )
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from cairn.operators.windows import by_value_counts, running_sum
 
@@ -67,6 +68,30 @@ def morans_i(values: DataFrame, edges: DataFrame, node: str, value: str) -> Data
     return met.agg((F.sum(F.col("z") * F.col("lag")) / F.sum(F.col("z") * F.col("z"))).alias("morans_i"), F.count("*").alias("n"))
 
 
+def morans_p(values: DataFrame, edges: DataFrame, node: str, value: str, permutations: int = 999, seed: str = "0") -> DataFrame:
+    """(morans_i, p, expected, n): I over all nodes, and the one-sided share of shuffles that reach it.
+
+    A shuffle puts the values of the nodes in the order of MD5 over (seed, shuffle, node), so it is the same on
+    every engine; shuffle 0 is the data. Nodes are places: shuffles are spread over tasks, each sorts the nodes once.
+    A node without neighbours has lag 0. A constant value has no I.
+    """
+    mean = values.agg(F.avg(value).alias("__m"))
+    z = values.join(F.broadcast(mean)).select(F.col(node).alias("a"), (F.col(value) - F.col("__m")).alias("z"))
+    runs = z.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(permutations))))
+    key = F.when(F.col("k") > 0, F.md5(F.concat_ws(":", F.lit(seed), F.col("k").cast("string"), F.col("a").cast("string"))))
+    place = lambda *by: F.row_number().over(W.partitionBy("k").orderBy(*by))
+    ranked = runs.withColumn("at", place("a")).withColumn("from", place(key.asc_nulls_first(), "a"))
+    moved = ranked.select("k", "a", "at").join(ranked.select("k", F.col("from").alias("at"), "z"), ["k", "at"]).select("k", "a", "z")
+    known = edges.select("a", "b").distinct()
+    lags = known.join(moved.select("k", F.col("a").alias("b"), F.col("z").alias("zb")), "b").groupBy("k", "a").agg(F.avg("zb").alias("lag"))
+    stats = moved.join(lags, ["k", "a"], "left").groupBy("k").agg((F.count("*") / F.count("lag") * F.sum(F.col("z") * F.coalesce("lag", F.lit(0.0))) / F.nullif(F.sum(F.col("z") * F.col("z")), F.lit(0.0))).alias("i"), F.count("*").alias("n"))
+    seen = F.max(F.when(F.col("k") == 0, F.col("i")))
+    # sums of the same terms in another order differ in the last digits: equal within 1e-9 counts as reached
+    both = stats.agg(seen.alias("i"), F.max("n").alias("n")).join(stats.where("k > 0").select(F.col("i").alias("other")), how="left")
+    reached = F.count_if(F.col("other") >= F.col("i") - 1e-9)
+    return both.groupBy("i", "n").agg(((reached + 1) / F.lit(permutations + 1)).alias("p")).select(F.col("i").alias("morans_i"), "p", (F.lit(-1.0) / (F.col("n") - 1)).alias("expected"), "n")
+
+
 def npv_deferral(amount: Column, years: Column, low: float, high: float) -> tuple[Column, Column]:
     """what deferring an amount costs at either end of a rate range, smaller first."""
     cost = lambda r: amount * (1 - 1 / F.pow(F.lit(1 + r), years))

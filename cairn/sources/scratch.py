@@ -5,16 +5,23 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` once and read it back: lost executors cost a read, not the iterations before."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """spark.checkpoint.dir. Where it is unset a local session, as in tests, gets a temporary folder; a cluster has to name one."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:  # only without a cluster's setting, as in tests
+    if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="cairn-")
         spark.conf.set("spark.checkpoint.dir", folder)
-    path = f"{folder.rstrip('/')}/cut-{uuid.uuid4().hex}"
+    return folder.rstrip("/")
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` once and read it back: lost executors cost a read, not the iterations before."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
