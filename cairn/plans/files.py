@@ -88,3 +88,48 @@ def q_json_cells(t):
     """SRC5: a JSON array cell; a NULL text's cell is no JSON and gives an empty array."""
     cells = t.documents.select("doc_id", "text", F.coalesce(F.to_json(F.split("text", " ")), F.lit("[bad")).alias("words"))
     return readers.json_list(cells, "words").where("text IS NOT NULL").select("doc_id", F.size("words").alias("n"))
+
+
+@query("SELECT CAST(c_custkey AS VARCHAR) AS key, c_name AS name FROM customer WHERE c_nationkey = 5")
+def q_delimited(t):
+    """SRC6: pipes, headers stripped, rows of one kind kept."""
+    path = _fresh(t)
+    t.customer.select(F.col("c_custkey").alias(" key "), F.col("c_name").alias("name "), F.col("c_nationkey").alias("nation")).write.option("header", True).option("sep", "|").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return readers.read_delimited(t.spark, path, "|", lambda df: F.trim("nation") == "5").select("key", "name")
+
+
+@query("SELECT 'tab' AS kind, CAST(n_nationkey AS VARCHAR) AS key, n_name || ', land' AS name FROM nation UNION ALL SELECT 'comma', CAST(n_nationkey AS VARCHAR), n_name FROM nation")
+def q_sniffed(t):
+    """SRC8: the same reader over a file with tabs and one with commas."""
+    parts = []
+    for kind, sep, name in (("tab", "\t", F.concat("n_name", F.lit(", land"))), ("comma", ",", F.col("n_name"))):
+        path = f"{_fresh(t)}-{kind}"
+        t.nation.select(F.col("n_nationkey").alias("key"), name.alias("name")).write.option("header", True).option("sep", sep).csv(path)
+        parts.append(readers.read_sniffed(t.spark, path).select(F.lit(kind).alias("kind"), "key", "name"))
+    return parts[0].unionByName(parts[1])
+
+
+@query("SELECT CAST(s_suppkey AS VARCHAR) AS key, CAST(s_nationkey AS VARCHAR) AS nation FROM supplier")
+def q_tokens(t):
+    """SRC9: columns by the place of a token, blank lines skipped."""
+    path = _fresh(t)
+    t.supplier.select(F.explode(F.array(F.concat(F.lit("  "), "s_suppkey", F.lit("   x\t"), "s_nationkey", F.lit(" ")), F.lit("  "))).alias("value")).write.text(path)
+    return readers.read_tokens(t.spark, path, {"key": 0, "nation": 2})
+
+
+@query("SELECT n_nationkey AS id, n_name AS name FROM nation")
+def q_json_answers(t):
+    """SRC15: the items of saved answers, one answer a region."""
+    path = _fresh(t)
+    answers = t.nation.groupBy("n_regionkey").agg(F.to_json(F.struct(F.collect_list(F.struct(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))).alias("results"))).alias("value"))
+    answers.repartition("n_regionkey").select("value", "n_regionkey").write.partitionBy("n_regionkey").text(path)
+    return readers.read_json_pages(t.spark, f"{path}/*/*", "results", "id int, name string")
+
+
+@query("SELECT page_id, r, CASE r WHEN 0 THEN 'Key;Length' ELSE page_id || ';' || length(url) END AS cells FROM pages, range(0, 2) g(r)")
+def q_page_tables(t):
+    """SRC16: the tables of pages, here of one made for every row."""
+    html = F.concat(F.lit("<h2>Facts</h2><table><tr><th>Key<th>Length</tr><tr><td> "), F.col("page_id").cast("string"), F.lit("<td>"), F.length("url").cast("string"), F.lit("</tr></table>"))
+    found = readers.html_tables(t.pages.select("page_id", html.alias("h")), "page_id", "h")
+    place, cells = found.columns[2], found.columns[3]
+    return found.select("page_id", F.col(place).cast("long").alias("r"), F.array_join(cells, ";").alias("cells"))
