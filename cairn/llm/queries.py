@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cairn.llm.annulus import CLUSTERS, COMPONENTS, ROUNDS, SCALE, cluster_vectors
+from cairn.llm.audit import CAPITALS, DISTINCT, FILTERS, MIN_WORDS, audit_filters
 from cairn.llm.chat import format_chats, loss_text, read_back
 from cairn.llm.decontam import contaminated
+from cairn.llm.exact import exact_duplicates
 from cairn.llm.html import extract_text
 from cairn.llm.licenses import scan_licenses
 from cairn.llm.lines import MIN_PAGES, RATIO, drop_boilerplate
@@ -103,6 +106,63 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text")
 
 
+def op11_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+_BITS = " + ".join(f"(CASE WHEN {{}} LIKE '%{f}%' THEN {1 << k} ELSE 0 END)" for k, f in enumerate(FILTERS))
+OP11_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS ws, min(doc_id) OVER (PARTITION BY t) AS first FROM d),
+l AS (SELECT doc_id AS id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+m AS (SELECT part, CAST(len(ws) < {MIN_WORDS} AS INT) + 2 * CAST(100 * len(list_distinct(ws)) < {DISTINCT} * len(ws) AS INT) + 4 * CAST(100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > {CAPITALS} * length(t) AS INT)
+  + 8 * CAST(regexp_matches(t, '[#$%&*|]') AS INT) + 16 * CAST(coalesce(doc_id > first, false) AS INT) AS m, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic FROM w LEFT JOIN l ON doc_id = id),
+c AS (SELECT part, m, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic FROM m GROUP BY part, m),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+o AS (SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM x a, x b, x c, x d, x e WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+s AS (SELECT filter_order, CAST(k AS INT) AS step, {_BITS.format(*["filter_order[k]"] * 5)} AS bit, {_BITS.format(*["substr(filter_order, 1, k - 1)"] * 5)} AS before FROM o, range(1, 6) r(k))
+SELECT part, filter_order, step, CAST(sum(n) FILTER (WHERE m & (before | bit) = 0) AS BIGINT) AS kept, CAST(sum(n) FILTER (WHERE m & bit <> 0 AND m & before = 0) AS BIGINT) AS removed,
+  CAST(sum(n) FILTER (WHERE m & bit <> 0 AND m & before <> 0) AS BIGINT) AS redundant, CAST(sum(n) FILTER (WHERE m = bit) AS BIGINT) AS unique_fails,
+  CAST(sum(good) FILTER (WHERE m & bit <> 0 AND m & before = 0) AS BIGINT) AS good_lost, CAST(sum(toxic) FILTER (WHERE m & bit <> 0 AND m & before = 0) AS BIGINT) AS toxic_lost
+FROM c, s GROUP BY part, filter_order, step, bit, before
+"""
+OP11_SQL = f"""
+WITH r AS ({OP11_SQL})
+SELECT part, filter_order, step, coalesce(kept, 0) AS kept, coalesce(removed, 0) AS removed, coalesce(redundant, 0) AS redundant, coalesce(unique_fails, 0) AS unique_fails, coalesce(good_lost, 0) AS good_lost,
+  coalesce(toxic_lost, 0) AS toxic_lost, CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, filter_order[step]) AS BIGINT) AS shapley FROM r
+"""
+
+
+def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def _lloyd_sql() -> str:
+    """The rounds of op12 written out: d * 8 + c orders by distance, then by number."""
+    parts = [
+        f"""v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda e: CAST(floor({SCALE} * CAST(e AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+  WHERE len(embedding) = {COMPONENTS} AND len(list_filter(embedding, lambda e: e IS NULL OR isnan(e) OR isinf(e))) = 0)""",
+        f"c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id), x) - 1 AS c, x AS y FROM v ORDER BY sha256('3:' || vec_id), x LIMIT {CLUSTERS})",
+    ]
+    for k in range(ROUNDS + 1):
+        parts.append(f"a{k} AS MATERIALIZED (SELECT r, min(CAST(list_sum(list_transform(list_zip(x, y), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) * {CLUSTERS} + c) AS best FROM v, c{k} GROUP BY r)")
+        if k < ROUNDS:
+            sums = f"SELECT best % {CLUSTERS} AS c, i, sum(x[i]) AS s, count(*) AS n FROM a{k} JOIN v USING (r), range(1, {COMPONENTS + 1}) g(i) GROUP BY 1, 2"
+            parts.append(f"c{k + 1} AS MATERIALIZED (SELECT c, coalesce(z, y) AS y FROM c{k} LEFT JOIN (SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS z FROM ({sums}) GROUP BY c) USING (c))")
+    at = f"SELECT r, best % {CLUSTERS} AS c, best // {CLUSTERS} AS d FROM a{ROUNDS}"
+    return f"""WITH {", ".join(parts)} SELECT vec_id, CAST(c AS INT) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(y, ',')) AS centroid_sha256 FROM ({at}) JOIN v USING (r) JOIN c{ROUNDS} USING (c)"""
+
+
+def op13_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = """
+WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS t FROM documents)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size, doc_id = min(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256 FROM d
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_lines": op2_lines,
@@ -114,9 +174,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_vectors": op8_vectors,
     "op9_quality": op9_quality,
     "op10_html": op10_html,
+    "op11_filters": op11_filters,
+    "op12_clusters": op12_clusters,
+    "op13_exact": op13_exact,
 }
 
 ORACLES: dict[str, str] = {
     "op2_lines": OP2_SQL,
     "op5_chat": OP5_SQL,
+    "op11_filters": OP11_SQL,
+    "op12_clusters": _lloyd_sql(),
+    "op13_exact": OP13_SQL,
 }
