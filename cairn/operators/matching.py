@@ -6,8 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from cairn.operators.similar import close_names
 from cairn.sources.scratch import cut_lineage
 
+__all__ = ["best_level", "blocked_candidates", "close_names", "cross_source", "demote_multiple", "fill_from_linked", "greedy_dedupe", "hold_duplicates", "last_success", "mentions"]
+
 
 def greedy_dedupe(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
     """J26 with several keys: rows in order, each kept if no kept row before it shares a key; dropped rows register nothing.
@@ -101,14 +104,6 @@ def mentions(texts: DataFrame, names: DataFrame, block: str, text: str, name: st
     return words.join(keyed, [block, "__k"]).drop("__m", "__k").distinct()
 
 
-def close_names(asked: DataFrame, names: DataFrame, asked_name: str, name: str, n: int = 3) -> DataFrame:
-    """the n names nearest by edit distance among those sharing a two-letter piece, ties by name."""
-    pieces = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 1, F.lit(1))), lambda k: F.substring(F.lower(c), k, F.lit(2))))
-    met = asked.withColumn("__p", F.explode(pieces(F.col(asked_name)))).join(names.withColumn("__p", F.explode(pieces(F.col(name)))), "__p").drop("__p").distinct()
-    scored = met.withColumn("distance", F.levenshtein(F.lower(asked_name), F.lower(name)))
-    return scored.withColumn("place", F.row_number().over(W.partitionBy(asked_name).orderBy("distance", name))).where(F.col("place") <= n)
-
-
 def last_success(log: DataFrame, keys: list[str], at: str, value: str, ok: Column) -> DataFrame:
     """W8."""
     return log.where(ok).groupBy(*keys).agg(F.max_by(value, at).alias(value))

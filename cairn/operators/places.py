@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -15,17 +15,69 @@ def ring_edges(rings: DataFrame) -> DataFrame:
     return rings.select("id", F.col("x").alias("x1"), F.col("y").alias("y1"), nxt("x").alias("x2"), nxt("y").alias("y2")).where("y1 <> y2 OR x1 <> x2")
 
 
+def _across(y: Column) -> Column:
+    """Where an edge meets the height ``y``."""
+    return (F.col("x2") - F.col("x1")) * (y - F.col("y1")) / (F.col("y2") - F.col("y1")) + F.col("x1")
+
+
+def polygon_cells(edges: DataFrame, cell: float) -> DataFrame:
+    """(id, cx, cy, corner, edges): the grid cells that a polygon touches or covers.
+
+    A cell with ``edges`` is touched by the boundary and lists the edges that touch it; ``corner`` says whether its lower
+    right corner lies inside. A cell without edges lies inside as a whole. Cells between two touched ones of a row are
+    all inside or all outside, so one corner decides them together.
+    """
+    up = lambda c: F.ceil(c / cell - 1e-9).cast("long")
+    down = lambda c: F.floor(c / cell + 1e-9).cast("long")
+    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
+    rows = edges.withColumn("cy", F.explode(F.sequence(up(low) - 1, down(high))))
+    part = lambda y: F.when(F.col("y1") != F.col("y2"), _across(y))
+    ends = [part(F.greatest(low, F.col("cy") * cell)), part(F.least(high, (F.col("cy") + 1) * cell))]
+    left, right = F.coalesce(F.least(*ends), F.least("x1", "x2")), F.coalesce(F.greatest(*ends), F.greatest("x1", "x2"))
+    touched = rows.withColumn("cx", F.explode(F.sequence(up(left) - 1, down(right)))).groupBy("id", "cx", "cy").agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"))
+    nxt = F.lead("cx").over(W.partitionBy("id", "cy").orderBy("cx"))
+    spans = touched.select("id", "cy", "cx", "edges", nxt.alias("nxt"))
+    gaps = spans.where("nxt > cx + 1").select("id", "cy", (F.col("cx") + 1).alias("cx"), (F.col("nxt") - 1).alias("last"))
+    crossings = edges.where("y1 <> y2").withColumn("cy", F.explode(F.sequence(up(low) - 1, down(high) + 1))).where("(y1 > cy * {0}) <> (y2 > cy * {0})".format(f"CAST({cell!r} AS DOUBLE)"))
+    lines = crossings.groupBy("id", "cy").agg(F.collect_list(_across(F.col("cy") * cell)).alias("line"))
+    inside = F.size(F.filter(F.coalesce("line", F.array().cast("array<double>")), lambda x: (F.col("cx") + 1) * cell < x)) % 2 == 1
+    known = lambda df: df.join(lines, ["id", "cy"], "left").withColumn("corner", inside)
+    whole = known(gaps).where("corner").select("id", F.explode(F.sequence("cx", "last")).alias("cx"), "cy", "corner", F.lit(None).cast(touched.schema["edges"].dataType).alias("edges"))
+    return known(spans).select("id", "cx", "cy", "corner", "edges").unionByName(whole)
+
+
 def points_in_polygons(points: DataFrame, edges: DataFrame, cell: float = 1.0) -> DataFrame:
-    """(point_id, id) by the even-odd rule, holes included.
+    """(point_id, id) by the even-odd rule, holes included: a ray east from (px, py) crosses an odd number of edges.
 
-    A ray east from points(point_id, px, py) crosses only edges of its own latitude, so edges are dealt to the
-    bands they span and the join is an equality on the band; crossings are then counted per point and polygon.
+    Polygons are cut into grid cells once; a point meets the cells at its own place by equality. In a cell that is covered
+    nothing is left to do. In one that the boundary touches, the ray is followed to the cell's right border only, and
+    from there along the border to the corner whose side is known: no edge of another cell is looked at. On the border the
+    path runs just right of and above the lattice, as the rule puts points that lie on an edge.
     """
-    band = lambda c: F.floor(F.col(c) / cell)
-    spans = edges.where("y1 <> y2").withColumn("band", F.explode(F.sequence(F.least(band("y1"), band("y2")), F.greatest(band("y1"), band("y2")))))
-    met = points.withColumn("band", band("py")).join(spans, "band").where("(y1 > py) <> (y2 > py)")
-    crossed = met.where(F.col("px") < (F.col("x2") - F.col("x1")) * (F.col("py") - F.col("y1")) / (F.col("y2") - F.col("y1")) + F.col("x1"))
-    return crossed.groupBy("point_id", "id").agg(F.count("*").alias("n")).where("n % 2 = 1").select("point_id", "id")
+    here = polygon_cells(edges.select("id", "x1", "y1", "x2", "y2"), cell)
+    at = lambda c: F.floor(F.col(c) / cell).cast("long")
+    border, floor = (F.col("cx") + 1) * cell, F.col("cy") * cell
+
+    def meets(e: Column, y: Column) -> Column:
+        return (e["x2"] - e["x1"]) * (y - e["y1"]) / F.nullif(e["y2"] - e["y1"], F.lit(0.0)) + e["x1"]
+
+    def spans(e: Column, y: Column) -> Column:
+        return (e["y1"] > y) != (e["y2"] > y)
+
+    def on_ray(e: Column) -> Column:
+        at = meets(e, F.col("py"))
+        return spans(e, F.col("py")) & (F.col("px") < at) & ~(border < at)
+
+    def on_border(e: Column) -> Column:
+        rising = (e["y2"] - e["y1"]) * (e["x2"] - e["x1"]) > 0
+        # whether the edge passes above the point of the border at y, by the ray's own formula: rounding can't tell them apart
+        above = lambda y: F.when(~spans(e, y), e["y1"] > y).when(rising, ~(border < meets(e, y))).otherwise(border < meets(e, y))
+        return ((e["x1"] > border) != (e["x2"] > border)) & (above(floor) != above(F.col("py")))
+
+    crossed = lambda rule: F.size(F.filter("edges", lambda e: F.coalesce(rule(e), F.lit(False))))
+    odd = (F.col("corner").cast("int") + F.when(F.col("edges").isNull(), 0).otherwise(crossed(on_ray) + crossed(on_border))) % 2 == 1
+    met = points.withColumns({"cx": at("px"), "cy": at("py")}).join(here, ["cx", "cy"])
+    return met.where(odd).select("point_id", "id")
 
 
 def centroids(edges: DataFrame) -> DataFrame:
@@ -41,22 +93,54 @@ def arc_neighbours(arcs: DataFrame) -> DataFrame:
     return a.join(a.withColumnRenamed("a", "b"), "arc").where("a <> b").select("a", "b").distinct()
 
 
-def locate_names(texts: DataFrame, gazetteer: DataFrame, *, longest: int = 3, roundup: int = 3) -> DataFrame:
-    """(text_id, place_id, verdict): the one place a text names, else why there is none.
+def name_trie(gazetteer: DataFrame, longest: int) -> list[DataFrame]:
+    """The tokens of gazetteer(name, place_id) as a trie, a frame for each level: (prefix, places, place_id, goes_on).
 
-    Word runs of up to ``longest`` words meet gazetteer(name, place_id) by equality; a name of several places
-    is ambiguous, ``roundup`` or more places make a round-up, and neither is guessed.
+    A level has the first n words of all names; ``places`` counts those that a name of just these words may mean (null if it
+    is only the start of longer ones). Names of more than ``longest`` words are left out.
+    """
+    words = F.filter(F.split(F.lower("name"), "[^a-z0-9]+"), lambda w: w != "")
+    named = gazetteer.select(words.alias("w"), "place_id").where(F.size("w").between(1, longest)).distinct()
+    levels = []
+    for n in range(1, longest + 1):
+        at = named.where(F.size("w") >= n).withColumn("prefix", F.array_join(F.slice("w", 1, n), " "))
+        whole = F.when(F.size("w") == n, F.col("place_id"))
+        levels.append(at.groupBy("prefix").agg(F.nullif(F.count_distinct(whole), F.lit(0)).alias("places"), F.min(whole).alias("place_id"), F.bool_or(F.size("w") > n).alias("goes_on")))
+    return levels
+
+
+def named_spans(texts: DataFrame, gazetteer: DataFrame, longest: int = 3) -> DataFrame:
+    """(text_id, start, words, places, place_id): the names in texts(text_id, text), from left to right, the longest at each place, none within another.
+
+    A text's words walk down the trie: each level is an equality join of the words so far, and only those that begin a longer
+    name go on to the next, so few of the words get beyond the first. Then each text's matches are read in order and a match
+    that starts before the end of the last one taken is passed over.
     """
-    words = F.filter(F.split(F.lower("text"), "[^a-z0-9]+"), lambda w: w != "")
+    tokens = F.filter(F.split(F.lower("text"), "[^a-z0-9]+"), lambda w: w != "")
+    reach = texts.select("text_id", tokens.alias("w"))
+    at = reach.select("text_id", F.posexplode(F.transform("w", lambda _, k: F.slice("w", k + 1, longest))).alias("start", "ahead"))
+    found = None
+    for n, level in enumerate(name_trie(gazetteer, longest), 1):
+        at = at.where(F.size("ahead") >= n).withColumn("prefix", F.array_join(F.slice("ahead", 1, n), " ")).join(level, "prefix")
+        here = at.where("places IS NOT NULL").select("text_id", F.struct("start", F.lit(n).alias("words"), "places", "place_id").alias("m"))
+        found = here if found is None else found.unionByName(here)
+        at = at.where("goes_on").select("text_id", "start", "ahead")
+    longest_here = found.groupBy("text_id", F.col("m.start").alias("start")).agg(F.max(F.struct(F.col("m.words").alias("words"), "m")).alias("best"))
+    lists = longest_here.groupBy("text_id").agg(F.array_sort(F.collect_list("best.m")).alias("all"))
+    empty = F.slice("all", 1, 0)
+    taken = F.aggregate("all", F.struct(F.lit(0).alias("end"), empty.alias("taken")), lambda s, m: F.when(m["start"] >= s["end"], F.struct((m["start"] + m["words"]).alias("end"), F.concat(s["taken"], F.array(m)).alias("taken"))).otherwise(s), lambda s: s["taken"])
+    return lists.select("text_id", F.explode(taken).alias("m")).select("text_id", "m.*")
 
-    def runs_of(n: int):
-        shifted = F.arrays_zip(*(F.slice("w", k + 1, F.greatest(F.size("w"), F.lit(1))).alias(f"w{k}") for k in range(n)))
-        return F.transform(shifted, lambda z: F.concat_ws(" ", *(z[f"w{k}"] for k in range(n))))
 
-    every = F.flatten(F.array(*(runs_of(n) for n in range(1, longest + 1))))
-    runs = texts.select("text_id", words.alias("w")).select("text_id", F.explode(every).alias("name")).distinct()
-    named = gazetteer.groupBy(F.lower("name").alias("name")).agg(F.count_distinct("place_id").alias("n"), F.min("place_id").alias("place_id"))
-    met = runs.join(named, "name").groupBy("text_id").agg(F.count_distinct(F.when(F.col("n") == 1, F.col("place_id"))).alias("sure"), F.max(F.col("n") > 1).alias("doubtful"), F.min(F.when(F.col("n") == 1, F.col("place_id"))).alias("place"))
+def locate_names(texts: DataFrame, gazetteer: DataFrame, *, longest: int = 3, roundup: int = 3) -> DataFrame:
+    """(text_id, place_id, verdict): the one place a text names, else why there is none.
+
+    Names are those of ``named_spans``: "new york city" isn't also "york". A name of several places is ambiguous, ``roundup``
+    or more places make a round-up, and neither is guessed. Texts of a null id are one text.
+    """
+    spans = named_spans(texts, gazetteer, longest).withColumnRenamed("text_id", "__id")
+    sure = F.when(F.col("places") == 1, F.col("place_id"))
+    met = spans.groupBy("__id").agg(F.count_distinct(sure).alias("sure"), F.bool_or(F.col("places") > 1).alias("doubtful"), F.min(sure).alias("place"))
     verdict = F.when(F.col("sure") >= roundup, "roundup").when(F.col("sure") > 1, "several").when(F.col("sure") == 1, "placed").when(F.col("doubtful"), "ambiguous").otherwise("none")
-    out = texts.select("text_id").join(met, "text_id", "left").withColumn("verdict", verdict)
+    out = texts.select("text_id").join(met, F.col("text_id").eqNullSafe(F.col("__id")), "left").withColumn("verdict", verdict)
     return out.select("text_id", F.when(F.col("verdict") == "placed", F.col("place")).alias("place_id"), "verdict")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cairn.plans import files, joins, quality, records, rollups, rules, sets, stats, text, windows  # noqa: F401
+from cairn.plans import archives, files, joins, models, places, quality, records, rollups, rules, sets, similar, stats, streams, terms, text, windows  # noqa: F401
 from cairn.plans.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

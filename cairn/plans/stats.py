@@ -72,12 +72,3 @@ def q_param_grid(t):
 def q_shrinkage(t):
     r = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("n"), F.avg(F.when(F.col("o_orderstatus") == "F", 1.0).otherwise(0.0)).alias("rate"))
     return r.select("c_custkey", F.round(O.shrink(F.col("rate"), F.lit(0.5), F.col("n"), 5.0), 6).alias("shrunk"))
-
-
-@query()
-def q_model_folds(t):
-    """M1, M2: out-of-fold predictions of a standardised logistic regression; no SQL expresses the fit."""
-    from cairn.operators.models import cross_predict
-
-    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", (F.col("l_returnflag") == "R").cast("int").alias("y"))
-    return cross_predict(rows, ["l_quantity", "l_extendedprice", "l_discount"], "y", F.col("l_orderkey"), folds=3).select("l_orderkey", "l_linenumber", "y", F.round("p", 4).alias("p"))

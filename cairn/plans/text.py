@@ -94,16 +94,13 @@ dw AS (SELECT doc_id, unnest(w) AS x FROM d), iw AS (SELECT item_id, len(w) AS n
 r AS (SELECT *, row_number() OVER w AS rn, lead(score) OVER w AS nxt FROM s WINDOW w AS (PARTITION BY doc_id ORDER BY score DESC, item_id))
 SELECT doc_id, item_id, round(score, 6) AS score FROM r WHERE rn = 1 AND (nxt IS NULL OR score > nxt) AND score >= 0.9""")
 def q_attach_tiebreak(t):
-    """Shared words are counted over (word) pairs; a strict winner attaches."""
-    from pyspark.sql import Window as W
-
-    words = lambda: F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("[a-z0-9]+"), F.lit(0)))
-    d = t.documents.select("doc_id", F.explode(words()).alias("x"))
-    i = t.benchmark.select("item_id", words().alias("w")).select("item_id", F.size("w").alias("n"), F.explode("w").alias("x"))
-    s = d.join(i, "x").groupBy("doc_id", "item_id", "n").agg(F.count("*").alias("k")).select("doc_id", "item_id", (F.col("k") / F.col("n")).alias("score"))
-    w = W.partitionBy("doc_id").orderBy(F.desc("score"), "item_id")
-    best = s.withColumn("rn", F.row_number().over(w)).withColumn("nxt", F.lead("score").over(w)).where("rn = 1 AND (nxt IS NULL OR score > nxt) AND score >= 0.9")
-    return best.select("doc_id", "item_id", F.round("score", 6).alias("score"))
+    """Documents that hold nine tenths of an item's words; of several items the strictly best one attaches."""
+    from cairn.operators.similar import containing, words_of
+
+    pairs = containing(t.documents.select("doc_id", words_of("text").alias("words")), t.benchmark.select("item_id", words_of("text").alias("words")), "doc_id", "item_id", 0.9)
+    best = pairs.groupBy("doc_id").agg(F.max("score").alias("score"))
+    top = pairs.join(best, ["doc_id", "score"]).groupBy("doc_id", "score").agg(F.min("item_id").alias("item_id"), F.count("*").alias("n")).where("n = 1")
+    return top.select("doc_id", "item_id", F.round("score", 6).alias("score"))
 
 
 @query("SELECT CAST(regexp_extract(url, '^([a-z]+)://', 1) AS VARCHAR) AS scheme, count(*) AS n, count(*) FILTER (WHERE contains(url, '#')) AS n_fragment FROM pages GROUP BY 1")
