@@ -33,7 +33,7 @@ class Annulus:
     """Centroids sorted by norm; ``nearest`` compares each vector with those in its annulus."""
 
     def __init__(self, centroids: list[list[int]]):
-        rows = np.array(centroids, np.int64).reshape(len(centroids), -1)
+        rows = np.array(centroids or np.zeros((0, COMPONENTS)), np.int64)
         norms = _norms(rows)
         self.number = np.argsort(norms, kind="stable")
         self.centroids, self.norms = rows[self.number], norms[self.number]
