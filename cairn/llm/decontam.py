@@ -64,7 +64,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     doc_start is the token of the document at which the item would start (it may be negative).
 
     Null and empty texts hold nothing, and items without a token match nothing. Items of fewer than SPAN tokens
-    must stand whole. Rows without an id are left out, on either side. Repeated rows give one result; rows that
+    must stand whole. A document's alignments are gathered in one row; there are at most as many as it has tokens for each
+    item. Rows without an id are left out, on either side. Repeated rows give one result; rows that
     share a doc_id are searched each. No documents or no items: no rows. Other columns are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id IS NOT NULL AND text IS NOT NULL")
@@ -76,10 +77,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     hits = seeds(split, "doc_id", "words", "doc_at", masks).join(bounded(materialize(wanted)), "hash")
     aligned = materialize(hits.select("doc_id", "item_id", (F.col("doc_at") - F.col("item_at")).alias("doc_start")).distinct())
 
-    texts = docs.join(bounded(aligned), "doc_id").join(bounded(items), "item_id")
-    start = F.col("doc_start")
-    part = F.slice(tokens(F.col("text")), F.greatest(start, F.lit(0)) + 1, F.greatest(F.size("item") + F.least(start, F.lit(0)), F.lit(0)))
-    facing = F.concat(F.array_repeat(F.lit(None).cast("string"), F.greatest(-start, F.lit(0))), part)
+    # a document is split into tokens once, whatever the number of its alignments; only the tokens that face an item go on
+    sizes = items.select("item_id", F.size("item").alias("n")).distinct()
+    gathered = materialize(aligned.join(bounded(sizes), "item_id").groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "doc_start", "n")).alias("at")))
+    words = docs.join(bounded(gathered), "doc_id").select("doc_id", "at", F.explode_outer(F.array(tokens(F.col("text")))).alias("words"))
+    part = lambda a: F.slice("words", F.greatest(a["doc_start"], F.lit(0)) + 1, F.greatest(a["n"] + F.least(a["doc_start"], F.lit(0)), F.lit(0)))
+    parts = words.select("doc_id", F.explode_outer(F.transform("at", lambda a: F.struct(a["item_id"].alias("item_id"), a["doc_start"].alias("doc_start"), a["n"].alias("n"), part(a).alias("part")))).alias("p")).select("doc_id", "p.*")
+    texts = parts.join(bounded(items.withColumn("n", F.size("item"))), ["item_id", "n"])
+    facing = F.concat(F.array_repeat(F.lit(None).cast("string"), F.greatest(-F.col("doc_start"), F.lit(0))), F.col("part"))
     equal = F.zip_with("item", facing, lambda w, x: F.when(w == x, 1).otherwise(0))
     length = F.least(F.size("equal"), F.lit(OVERLAP))
     stretch = F.transform(F.sequence(F.lit(1), F.size("equal") - length + 1), lambda i: F.aggregate(F.slice("equal", i, length), F.lit(0), lambda a, x: a + x))

@@ -2,6 +2,7 @@
 
 import random
 
+from cairn.llm import decontam
 from cairn.llm.decontam import contaminated
 
 
@@ -34,3 +35,15 @@ def test_equals_brute_force(spark):
     bench = spark.createDataFrame([(k, " ".join(item)) for k, item in items.items()], "item_id long, text string")
     assert {(r.doc_id, r.item_id) for r in contaminated(texts, bench).collect()} == wanted
     assert len(wanted) > 150
+
+
+def test_a_long_text_of_one_word_is_split_once(spark):
+    """20,000 equal words face an item of equal words at 20,018 places; the work is linear in them."""
+    import time
+
+    docs = spark.createDataFrame([(1, "ha " * 20_000), (2, "x " + "ha " * 19), (3, "ha x " * 10_000)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "ha " * 20), (2, "ha x " * 7), (2, "other words " * 7), (3, "ha")], "item_id long, text string")
+    began = time.time()
+    got = sorted((r.doc_id, r.item_id, r.n_matched, r.doc_start) for r in decontam.contaminated(docs, bench).collect())
+    assert got == [(1, 1, 20, 0), (1, 3, 1, 0), (2, 1, 19, 1), (2, 3, 1, 1), (3, 2, 14, 0), (3, 3, 1, 0)]
+    assert time.time() - began < 120
