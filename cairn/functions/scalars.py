@@ -144,6 +144,31 @@ def capacity(s: Column) -> tuple[Column, Column]:
     return F.least(first, second) * scale, F.greatest(first, second) * scale
 
 
+def capacities(s: Column) -> Column:
+    """all amounts of a text as (low, high) in MW; a text in other units has none, a number without a unit is in MW."""
+    low = F.regexp_replace(F.lower(F.coalesce(s, F.lit(""))), ",", "")
+    group = lambda k: F.regexp_extract_all(low, F.lit(r"(\d*\.?\d+)(?:\s*(?:-|to|–)\s*(\d*\.?\d+))?\s*(gw|mw|kw)?"), F.lit(k))
+
+    def amount(z: Column) -> Column:
+        scale = F.when(z["u"] == "gw", 1000.0).when(z["u"] == "kw", 0.001).otherwise(1.0)
+        first = z["a"].try_cast("double")
+        return F.struct((first * scale).alias("low"), (F.coalesce(F.nullif(z["b"], F.lit("")).try_cast("double"), first) * scale).alias("high"))
+
+    found = F.filter(F.transform(F.arrays_zip(group(1).alias("a"), group(2).alias("b"), group(3).alias("u")), amount), lambda r: r["low"] > 0)
+    return F.when(low.rlike("turbine|acre|home|panel|household|module|mwh"), F.filter(found, lambda _: F.lit(False))).otherwise(found)
+
+
+def capacity_agrees(s: Column, mw: Column) -> Column:
+    """whether a size lies within a fifth of some amount of the text; false without either."""
+    return F.coalesce(F.exists(capacities(s), lambda r: (r["low"] * 0.8 <= mw) & (mw <= r["high"] * 1.2)), F.lit(False))
+
+
+def capacity_differs(s: Column, mw: Column) -> Column:
+    """whether a size is under a third or over three times every amount of the text; false without either."""
+    given = capacities(s)
+    return F.coalesce((F.size(given) > 0) & ~F.exists(given, lambda r: (r["low"] / 3 <= mw) & (mw <= r["high"] * 3)), F.lit(False))
+
+
 def largest_feet(s: Column) -> Column:
     """the largest number of feet a text names."""
     return F.array_max(F.transform(F.regexp_extract_all(F.regexp_replace(F.lower(s), ",", ""), F.lit(r"(\d+(?:\.\d+)?)\s*(?:feet|foot|ft)\b"), F.lit(1)), lambda x: x.cast("double")))

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from operator import itemgetter
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -12,14 +16,31 @@ from cairn.sources.scratch import cut_lineage
 __all__ = ["best_level", "blocked_candidates", "close_names", "cross_source", "demote_multiple", "fill_from_linked", "greedy_dedupe", "hold_duplicates", "last_success", "mentions"]
 
 
-def greedy_dedupe(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
+#: Undecided rows that one task settles in order; more of them are settled in rounds.
+REMAINDER = 500_000
+
+
+def _kept_in_order(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    rows = sorted((r for f in frames for r in zip(f["at"].tolist(), f["keys"].tolist(), strict=True)), key=itemgetter(0))
+    seen, kept = set(), []
+    for at, keys in rows:
+        mine = {(k, v) for k, v in enumerate(keys) if v is not None}
+        if not mine & seen:
+            seen |= mine
+            kept.append(at)
+    yield pd.DataFrame({"at": pd.Series(kept, dtype=object)})
+
+
+def greedy_dedupe(rows: DataFrame, keys: list[str], order: str, remainder: int = REMAINDER) -> DataFrame:
     """J26 with several keys: rows in order, each kept if no kept row before it shares a key; dropped rows register nothing.
 
     That is the first maximal independent set of the rows that share keys. Each round keeps the rows that come first
-    under all their keys and drops those sharing a key with a kept one, until none is left; ``order`` is unique and NULL keys clash with nothing.
+    under all their keys and drops those sharing a key with a kept one. Once ``remainder`` rows are left, one task settles them
+    in order by their keys alone, so a long chain of clashes doesn't take a round each. ``order`` is unique and NULL keys clash with nothing.
     """
     rest, kept = rows, None
-    while True:
+    add = lambda new: new if kept is None else kept.unionByName(new)
+    while rest.count() > remainder:
         marked = rest
         for k in keys:
             first = rest.where(F.col(k).isNotNull()).groupBy(k).agg(F.min(order).alias(f"__{k}"))
@@ -28,13 +49,14 @@ def greedy_dedupe(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
         for k in keys:
             wins = wins & F.coalesce(F.col(f"__{k}") == F.col(order), F.lit(True))
         new = cut_lineage(marked.where(wins).select(*rows.columns))
-        kept = new if kept is None else kept.unionByName(new)
+        kept = add(new)
         left = rest
         for k in keys:
             left = left.join(new.where(F.col(k).isNotNull()).select(k).distinct(), k, "left_anti")
         rest = cut_lineage(left.join(new.select(order), order, "left_anti").select(*rows.columns))
-        if rest.isEmpty():
-            return kept
+    narrow = rest.select(F.col(order).alias("at"), F.array(*(F.col(k).cast("string") for k in keys)).alias("keys")).coalesce(1)
+    stay = narrow.mapInPandas(_kept_in_order, f"at {rows.schema[order].dataType.simpleString()}")
+    return add(rest.join(stay.withColumnRenamed("at", order), order, "left_semi").select(*rows.columns))
 
 
 def blocked_candidates(left: DataFrame, right: DataFrame, block: str, left_core: str, right_core: str, *, least_shared: int = 4) -> DataFrame:

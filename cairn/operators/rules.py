@@ -75,10 +75,11 @@ BILL = (
 )
 BILL_KINDS = {"senatebill": "sb", "housebill": "hb", "assemblybill": "ab", "publicact": "pa", "publicactno": "pa", "actno": "act"}
 GENERIC_WORDS = (
-    "project projects solar wind energy farm farms center centre facility facilities power llc inc the of and park plant station storage "
-    "battery generating renewable renewables array company co a in at on for i ii iii iv 1 2 3 4 phase llcs s proposed utility "
-    "scale pv photovoltaic bess system systems resource area offshore transmission line county township town city mw megawatt"
-).split()
+    "project", "projects", "solar", "wind", "energy", "farm", "farms", "center", "centre", "facility", "facilities", "power", "llc", "inc", "the",
+    "of", "and", "park", "plant", "station", "storage", "battery", "generating", "renewable", "renewables", "array", "company", "co", "a", "in", "at",
+    "on", "for", "i", "ii", "iii", "iv", "1", "2", "3", "4", "phase", "llcs", "s", "proposed", "utility", "scale", "pv", "photovoltaic", "bess",
+    "system", "systems", "resource", "area", "offshore", "transmission", "line", "county", "township", "town", "city", "mw", "megawatt",
+)
 
 ISO = r"^\d{4}(-\d{2}(-\d{2})?)?$"
 URL = r"^https?://[^\s/]+\.[^\s]+$"
@@ -94,7 +95,7 @@ def _cells(df: DataFrame):
 def qc_findings(df: DataFrame, entity: str, today: str, boxes: DataFrame | None = None, block_at: tuple[str, ...] = ("HIGH", "CRITICAL")) -> DataFrame:
     """``df`` with all issues of a row, in the order of the rules, and whether one blocks it.
 
-    ``boxes``: (state, south, west, north, east), one row a state, small. A state without a box, and missing
+    ``boxes``: (state, south, west, north, east), one row a state. A state without a box, and missing
     coordinates, break no rule. Dates are compared at the precision they are given in.
     """
     cell, have, rules = _cells(df), set(df.columns), []
@@ -102,10 +103,14 @@ def qc_findings(df: DataFrame, entity: str, today: str, boxes: DataFrame | None
     after = lambda c: cell(c) > F.substring(F.lit(today), F.lit(1), F.length(cell(c)))
     rows = df
     if boxes is not None and {"latitude", "longitude", "state"} <= have:
-        box = boxes.select(F.col("state").alias("__state"), *(F.col(c).alias(f"__{c}") for c in ("south", "west", "north", "east")))
-        rows = df.join(F.broadcast(box), F.col("state") == F.col("__state"), "left")
+        sides = ("south", "west", "north", "east")
+        free = "__box"
+        while free in have:
+            free += "_"
+        box = boxes.select(F.col("state").alias(f"{free}_state"), F.struct(*sides).alias(free))
+        rows = df.join(box, F.col("state") == F.col(f"{free}_state"), "left")
         lat, lon = (F.col(c).try_cast("double") for c in ("latitude", "longitude"))
-        rule("COORD_OUTSIDE_STATE", "HIGH", "latitude/longitude", ~in_box(lat, lon, tuple(F.col(f"__{c}") for c in ("south", "west", "north", "east"))))
+        rule("COORD_OUTSIDE_STATE", "HIGH", "latitude/longitude", ~in_box(lat, lon, tuple(F.col(free)[c] for c in sides)))
     for c in ("source_url", "case_source_url", "primary_source_url"):
         rule("SOURCE_URL_INVALID", "HIGH", c, (cell(c) != "") & ~cell(c).rlike(URL))
     for c, allowed in VOCABULARY.get(entity, {}).items():
@@ -275,20 +280,31 @@ def spelling(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 def name_scores(pairs: DataFrame, a: str, b: str, least_words: float = 0.6, least_spelling: float = 0.88) -> DataFrame:
-    """``score`` and ``basis`` of each pair of names: shared words, else spelling, else NULL. Pairs come from a blocked join."""
+    """``score`` and ``basis`` of each pair of names: shared words, else spelling, else NULL.
+
+    A check of candidates, which come from a blocked join. Spelling is compared only where words don't decide and the
+    lengths allow the ratio: twice the shorter over both is the most that it can be.
+    """
     rows = pairs.withColumn("__words", overlap(name_words(F.col(a)), name_words(F.col(b))))
-    rows = rows.withColumn("__spelling", spelling(plain_name(F.col(a)), plain_name(F.col(b))))
+    x, y = plain_name(F.col(a)), plain_name(F.col(b))
+    open_ = (F.col("__words") < least_words) & (2 * F.least(F.length(x), F.length(y)) >= least_spelling * (F.length(x) + F.length(y)))
+    rows = rows.withColumn("__spelling", spelling(F.when(open_, x), F.when(open_, y)))
     by_words, by_spelling = F.col("__words") >= least_words, F.col("__spelling") >= least_spelling
     scored = rows.withColumn("score", F.when(by_words, F.col("__words")).when(by_spelling, F.col("__spelling"))).withColumn("basis", F.when(by_words, "name").when(by_spelling, "spelling"))
     return scored.drop("__words", "__spelling")
 
 
-def toggled(df: DataFrame, column: str, descending: bool = False) -> DataFrame:
-    """Sorted either way, blanks last in both."""
+def blanks_last(df: DataFrame, column: str, descending: bool = False) -> Column:
+    """A sort key of a column, either way with blanks last."""
     value = F.col(column)
     if dict(df.dtypes)[column] == "string":
         value = F.when(F.trim(value) != "", value)
-    return df.orderBy(value.desc_nulls_last() if descending else value.asc_nulls_last())
+    return value.desc_nulls_last() if descending else value.asc_nulls_last()
+
+
+def toggled(df: DataFrame, column: str, descending: bool = False) -> DataFrame:
+    """Sorted either way, blanks last in both."""
+    return df.orderBy(blanks_last(df, column, descending))
 
 
 def nearest_first(df: DataFrame, distance: str, *ties: str, cap: int = 12) -> DataFrame:

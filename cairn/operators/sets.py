@@ -52,6 +52,24 @@ def edition_merge(new: DataFrame, old: DataFrame, key: str, carried: list[str])
     return filled.unionByName(old.join(new, key, "left_anti").select(*new.columns, F.lit("old").alias("origin")))
 
 
+def keep_review(generated: DataFrame, existing: DataFrame, key: str, kept: list[str], status: str, untouched: tuple[str, ...]) -> DataFrame:
+    """The generated rows with what reviewers wrote on the existing ones of their key, and worked-on rows that are no longer generated.
+
+    A key with several existing rows (a reviewer split it) keeps them all: each takes the generated row, and its own cells of
+    ``kept`` where they are filled. An existing row of a key that isn't generated stays as it is if a cell of ``kept`` other than
+    ``status`` is filled or its status isn't one of ``untouched`` or blank. Blank counts as null. Generated keys are distinct.
+    """
+    filled = lambda c: F.when(F.trim(F.col(c).cast("string")) != "", F.col(c))
+    prior = existing.select(F.col(key).alias("__key"), *(filled(c).alias(f"__{c}") for c in kept))
+    merged = generated.join(prior, F.col(key) == F.col("__key"), "left").select(*(F.coalesce(f"__{c}", c).alias(c) if c in kept else F.col(c) for c in generated.columns))
+    worked = F.coalesce(filled(status), F.lit("")).isin("", *untouched) == F.lit(False)
+    for c in kept:
+        if c != status:
+            worked = worked | filled(c).isNotNull()
+    left = existing.where(worked).join(generated.select(key), key, "left_anti")
+    return merged.unionByName(left.select(*generated.columns))
+
+
 def tagged_union(parts: dict[str, DataFrame], tag: str) -> DataFrame:
     """Rows of several tables with the name of theirs; missing columns are NULL."""
     out = None

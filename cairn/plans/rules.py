@@ -1,4 +1,4 @@
-"""Fixed rules, over literal records that reach every branch and over whole tables."""
+"""Fixed rules, over records made of the cells of whole tables; every branch is reached."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from cairn.functions import scalars as S
 from cairn.operators import rules as R
 from cairn.operators.scoring import morans_p
+from cairn.operators.windows import running_sum
 from cairn.plans.base import query
 
 
@@ -14,28 +15,45 @@ def values(t, columns: str, rows: str):
     return t.spark.sql(f"SELECT * FROM VALUES {rows} AS v({columns})")
 
 
-RECORDS = """
-('r1', 'TX', 31.0, -97.0, 'https://a.org/x', 'active', '2024-05-01', '2024-12', '', 3, '', '', 'renewables_only'),
-('r2', 'TX', 45.0, -97.0, 'ftp://a.org/x', 'active', '2026-07', '2027', '', 3, '', '', 'data_center_only'),
-('r3', 'NV', 45.0, -97.0, '', 'pending', '05/01/2024', '', '', 3, 'contradicts', 'snippet', 'renewables_only'),
-('r4', 'TX', 0.0, 0.0, 'http://localhost', 'gone', '2026', '2026', '', 1, 'contradicts', 'opened', 'renewables_only'),
-('r5', 'TX', NULL, NULL, 'http://b.gov/y', 'extended', '2026-06-30', '2025-12', '2026-01-15', NULL, 'confirmed', '', 'all'),
-('r6', NULL, 31.0, -97.0, NULL, 'unknown', NULL, NULL, NULL, NULL, NULL, NULL, 'renewables_only')"""
+TODAY = "1998-06-30"
+URLS = ("https://a.org/x", "ftp://a.org/x", "http://localhost", "")
+STATUSES = ("active", "pending", "gone", "extended", "unknown")
 
 
-@query("""
-SELECT * FROM (VALUES
- ('r1', 'END_DATE_PASSED:MEDIUM:current_end_date_iso', false),
- ('r2', 'COORD_OUTSIDE_STATE:HIGH:latitude/longitude;SOURCE_URL_INVALID:HIGH:source_url;DATE_IN_FUTURE:HIGH:date_enacted_iso;SCOPE_DATA_CENTER_ONLY:HIGH:scope', true),
- ('r3', 'DATE_UNPARSEABLE:LOW:date_enacted_iso;SEVERITY_STATUS:MEDIUM:severity_score;PRIMARY_SOURCE_CONTRADICTS:MEDIUM:primary_source_url', false),
- ('r4', 'SOURCE_URL_INVALID:HIGH:source_url;STATUS_VOCAB:HIGH:status;PRIMARY_SOURCE_CONTRADICTS:HIGH:primary_source_url', true),
- ('r5', 'STATUS_VOCAB:HIGH:scope', true), ('r6', '', false), ('p1', 'CONFIRMED_NO_EVIDENCE:HIGH:outcome', true), ('p2', '', false), ('p3', 'STATUS_VOCAB:HIGH:outcome', true)) v(id, issues, blocked)""")
+def listed(n: str, values: tuple[str, ...]) -> str:
+    """SQL for the value at a number."""
+    return "CASE " + n + " " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in enumerate(values)) + " END"
+
+
+def pick(n, values: tuple[str, ...]):
+    return F.get(F.array(*map(F.lit, values)), n.cast("int"))
+
+
+@query(f"""
+WITH o AS (SELECT o_orderkey AS k, o_custkey AS c, o_orderdate::DATE AS d FROM orders),
+r AS (SELECT k, CASE c % 5 WHEN 0 THEN 'NV' WHEN 1 THEN NULL ELSE 'TX' END AS state, CASE WHEN c % 7 > 0 THEN 25.0 + c % 30 END AS lat, {listed("k % 4", URLS)} AS url, {listed("k % 5", STATUSES)} AS status,
+  CASE k % 3 WHEN 0 THEN strftime(d, '%Y-%m-%d') WHEN 1 THEN strftime(d, '%Y-%m') ELSE strftime(d, '%m/%d/%Y') END AS enacted, CASE WHEN k % 2 = 0 THEN strftime(d + INTERVAL 200 DAY, '%Y-%m') ELSE '' END AS ends, CASE WHEN k % 6 = 0 THEN strftime(d + INTERVAL 400 DAY, '%Y-%m-%d') ELSE '' END AS checked,
+  k % 4 + 1 AS severity, k % 7 = 0 AS contradicts, k % 14 = 0 AS snippet, CASE k % 11 WHEN 0 THEN 'data_center_only' WHEN 1 THEN 'all' ELSE 'renewables_only' END AS scope FROM o),
+i AS (SELECT k, list_filter([
+  CASE WHEN state = 'TX' AND lat NOT BETWEEN 25.8 AND 36.5 THEN 'COORD_OUTSIDE_STATE:HIGH:latitude/longitude' END, CASE WHEN url IN ('ftp://a.org/x', 'http://localhost') THEN 'SOURCE_URL_INVALID:HIGH:source_url' END,
+  CASE WHEN status = 'gone' THEN 'STATUS_VOCAB:HIGH:status' END, CASE WHEN scope = 'all' THEN 'STATUS_VOCAB:HIGH:scope' END, CASE WHEN contains(enacted, '/') THEN 'DATE_UNPARSEABLE:LOW:date_enacted_iso' WHEN enacted > substr('{TODAY}', 1, length(enacted)) THEN 'DATE_IN_FUTURE:HIGH:date_enacted_iso' END,
+  CASE WHEN status = 'pending' AND severity > 2 THEN 'SEVERITY_STATUS:MEDIUM:severity_score' END, CASE WHEN contradicts THEN CASE WHEN snippet THEN 'PRIMARY_SOURCE_CONTRADICTS:MEDIUM:primary_source_url' ELSE 'PRIMARY_SOURCE_CONTRADICTS:HIGH:primary_source_url' END END,
+  CASE WHEN status IN ('active', 'extended') AND ends <> '' AND ends < '1998-06' AND NOT (checked <> '' AND substr(checked, 1, 7) >= ends) THEN 'END_DATE_PASSED:MEDIUM:current_end_date_iso' END, CASE WHEN scope = 'data_center_only' THEN 'SCOPE_DATA_CENTER_ONLY:HIGH:scope' END], lambda x: x IS NOT NULL) AS found FROM r),
+p AS (SELECT k, list_filter([CASE WHEN k % 6 = 4 THEN 'STATUS_VOCAB:HIGH:outcome' END, CASE WHEN k % 6 = 3 THEN 'STATUS_VOCAB:HIGH:verification' END, CASE WHEN k % 6 IN (0, 2) AND k % 5 > 1 THEN 'CONFIRMED_NO_EVIDENCE:HIGH:outcome' END], lambda x: x IS NOT NULL) AS found FROM o)
+SELECT 'r' || k AS id, array_to_string(found, ';') AS issues, contains(array_to_string(found, ';'), ':HIGH:') AS blocked FROM i UNION ALL SELECT 'p' || k, array_to_string(found, ';'), len(found) > 0 FROM p""")
 def q_qc_codes(t):
-    """As of 2026-06-30; r4's end year isn't over, r5's end was confirmed afterwards, r3's state has no box."""
-    records = values(t, "id, state, latitude, longitude, source_url, status, date_enacted_iso, current_end_date_iso, status_checked_on, severity_score, primary_source_verdict, primary_source_access, scope", RECORDS)
-    boxes = values(t, "state, south, west, north, east", "('TX', 25.8, -106.7, 36.5, -93.5)")
-    projects = values(t, "id, outcome, verification, finality_evidence", "('p1', 'blocked_confirmed', 'verified', 'news'), ('p2', 'advanced_confirmed', 'unverified', 'court_ruling:7'), ('p3', 'done', 'verified', NULL)")
-    both = R.qc_findings(records, "restrictions", "2026-06-30", boxes).select("id", "issues", "blocked").unionByName(R.qc_findings(projects, "contested_projects", "2026-06-30").select("id", "issues", "blocked"))
+    """A restriction and a project made of each order's numbers and dates; every code but LINK_MISSING, which q_missing_links has."""
+    k, c, d = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate").cast("date")
+    day = lambda x, form="yyyy-MM-dd": F.date_format(x, form)
+    records = t.orders.select(
+        F.concat(F.lit("r"), k).alias("id"), F.when(c % 5 == 0, "NV").when(c % 5 > 1, "TX").alias("state"), F.when(c % 7 > 0, 25.0 + c % 30).alias("latitude"), F.lit(-97.0).alias("longitude"), pick(k % 4, URLS).alias("source_url"), pick(k % 5, STATUSES).alias("status"),
+        F.when(k % 3 == 0, day(d)).when(k % 3 == 1, day(d, "yyyy-MM")).otherwise(day(d, "MM/dd/yyyy")).alias("date_enacted_iso"), F.when(k % 2 == 0, day(F.date_add(d, 200), "yyyy-MM")).otherwise("").alias("current_end_date_iso"), F.when(k % 6 == 0, day(F.date_add(d, 400))).otherwise("").alias("status_checked_on"),
+        (k % 4 + 1).alias("severity_score"), F.when(k % 7 == 0, "contradicts").otherwise("").alias("primary_source_verdict"), F.when(k % 14 == 0, "snippet").otherwise("opened").alias("primary_source_access"), F.when(k % 11 == 0, "data_center_only").when(k % 11 == 1, "all").otherwise("renewables_only").alias("scope"),
+    )
+    boxes = t.region.where("r_regionkey = 0").select(F.lit("TX").alias("state"), F.lit(25.8).alias("south"), F.lit(-106.7).alias("west"), F.lit(36.5).alias("north"), F.lit(-93.5).alias("east"))
+    outcome = pick(k % 6, ("blocked_confirmed", "pending", "advanced_confirmed", "pending", "done", "blocked_unverified"))
+    projects = t.orders.select(F.concat(F.lit("p"), k).alias("id"), outcome.alias("outcome"), F.when(k % 6 == 3, "maybe").otherwise("verified").alias("verification"), F.when(k % 5 == 0, "court_ruling:7").when(k % 5 == 1, "resolution of the board").when(k % 5 == 2, "news").alias("finality_evidence"))
+    both = R.qc_findings(records, "restrictions", TODAY, boxes).select("id", "issues", "blocked").unionByName(R.qc_findings(projects, "contested_projects", TODAY).select("id", "issues", "blocked"))
     return both.select("id", F.array_join(F.transform("issues", lambda i: F.concat_ws(":", i["code"], i["severity"], i["field"])), ";").alias("issues"), "blocked")
 
 
@@ -46,39 +64,44 @@ def q_missing_links(t):
     return R.missing_links(cases, t.customer.where("c_acctbal > 0").select(F.col("c_custkey").cast("string").alias("id")), "link", "id").select("o_orderkey")
 
 
-PROJECTS = """
-('a', 'solar', 'Sun', 'blocked_confirmed', '2024-01-10', '2024-03', '10', '', '', '', '', '', ''),
-('b', 'hydro', 'Dam', 'pending', '2024-01-10', '', '10', '', '', '', '', '', ''),
-('c', 'wind', 'Off-shore one', 'pending', '2024-01-10', '', '10', '', '', '', '', '', ''),
-('d', 'wind; solar', 'Ridge', 'needs_review', '2024-01-10', '', '10', '', '', '', '', '', ''),
-('e', 'wind', 'Ridge', 'blocked_unverified', '2024-01-10', '', '10', '', '', '', '', '', ''),
-('f', 'wind', 'Ridge', 'odd', '2024-01-10', '', '10', '', '', '', '', '', ''),
-('g', 'wind', 'Ridge', 'pending', 'spring', '', '10', '', '', '', '', '', ''),
-('h', 'wind', 'Ridge', 'pending', '2024', '', '10', '', '', '', '', '', ''),
-('i', 'wind', 'Ridge', 'pending', '2024', '', '10', '', '', '2023-05-05', 'possible', '', ''),
-('j', 'wind', 'Ridge', 'pending', '2024-01', '', '10', '', '', '2023-05-05', 'strong', '', 'withdrawn'),
-('k', 'wind', 'Ridge', 'advanced_confirmed', '2024-01', '2025', '10', '', '', '', '', '', ''),
-('l', 'wind', 'Ridge', 'advanced_confirmed', '2024-02-30', '2024-01-10', '10', '', '', '2024-02', 'strong', '', ''),
-('m', 'wind', 'Ridge', 'restricted_conditional', '2024-02', '2024-02-05', '-3', '', '7', '', '', '', ''),
-('n', 'battery_storage', 'Box', 'pending', '2024-02', '', 'big', 'strong', '1,250', '', '', '', ''),
-('o', 'battery_storage', 'Box', 'pending', '2024-02', '', '', '', '9', '2023-11', 'strong', '42.5', '')"""
-
-
-@query("""
-SELECT id, priced, start_source, CAST(span AS INTEGER) AS span, CAST(low AS INTEGER) AS low, CAST(high AS INTEGER) AS high, CAST(mw AS DOUBLE) AS mw, mw_source, reason FROM (VALUES
- ('a', 'solar', 'event_date', 51, 51, 81, 10, 'record', NULL), ('b', NULL, 'event_date', 172, 172, 172, 10, 'record', 'technology_not_priced'),
- ('c', NULL, 'event_date', 172, 172, 172, 10, 'record', 'technology_not_priced'), ('d', 'wind', 'event_date', 172, 172, 172, 10, 'record', 'outcome_needs_review'),
- ('e', 'wind', 'event_date', 172, 172, 172, 10, 'record', 'outcome_unverified'), ('f', 'wind', 'event_date', 172, 172, 172, 10, 'record', 'outcome_needs_review'),
- ('g', 'wind', NULL, NULL, 1, NULL, 10, 'record', 'no_start_date'), ('h', 'wind', NULL, NULL, 1, NULL, 10, 'record', 'start_year_precision'),
- ('i', 'wind', NULL, NULL, 1, NULL, 10, 'record', 'start_from_possible_queue_match'), ('j', 'wind', 'queue_request', 422, 422, 422, 10, 'record', 'queue_match_conflict'),
- ('k', 'wind', 'event_date', NULL, 1, NULL, 10, 'record', 'no_end_date'), ('l', 'wind', 'queue_request', -22, 1, -22, 10, 'record', 'nonpositive_span'),
- ('m', 'wind', 'event_date', 4, 1, 4, NULL, NULL, 'no_capacity_mw'), ('n', 'battery_storage', 'event_date', 150, 122, 150, 1250, 'federal_plant_inventory', NULL),
- ('o', 'battery_storage', 'event_date', 150, 122, 150, 42.5, 'queue_request', NULL)) v(id, priced, start_source, span, low, high, mw, mw_source, reason)
-WHERE id <> 'o' UNION ALL SELECT 'o', 'battery_storage', 'queue_request', 242, 213, 242, 42.5, 'queue_request', NULL""")
+TECHS = ("solar", "hydro", "wind", "wind; solar", "battery_storage", "")
+OUTCOMES = ("blocked_confirmed", "pending", "needs_review", "advanced_unverified", "odd", "advanced_confirmed", "restricted_conditional")
+
+
+def projects(t):
+    """A project of each order's numbers and dates, with its queue match."""
+    k, d = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
+    day = lambda x, form="yyyy-MM-dd": F.date_format(x, form)
+    return t.orders.select(
+        k.alias("id"), pick(k % 6, TECHS).alias("technology"), F.when(k % 10 == 0, "Off-shore one").otherwise("Ridge").alias("project_name"), pick(k % 7, OUTCOMES).alias("outcome"),
+        F.when(k % 4 == 0, day(d)).when(k % 4 == 1, day(d, "yyyy-MM")).when(k % 4 == 2, day(d, "yyyy")).otherwise("spring").alias("event_date_text"),
+        F.when(k % 5 == 0, day(F.date_sub(d, 100))).when(k % 5 == 1, day(F.date_sub(d, 60), "yyyy-MM")).otherwise("").alias("first_request_date"), F.when(k % 3 == 0, "strong").otherwise("possible").alias("match"), F.when(k % 13 == 0, "withdrawn").otherwise("").alias("conflict"),
+        F.when(k % 8 < 4, day(F.date_add(d, 50))).when(k % 8 < 6, day(F.date_add(d, 30), "yyyy-MM")).when(k % 8 == 6, day(d, "yyyy")).otherwise(day(F.date_sub(d, 200))).alias("resolution_date"),
+        F.when(k % 9 == 0, "").when(k % 9 == 1, "big").when(k % 9 == 2, "1,250").when(k % 9 == 3, "-3").otherwise((k % 300 + 1).cast("string")).alias("capacity_mw"), F.when(k % 2 == 0, "strong").otherwise("").alias("facility_match"), (k % 50).cast("string").alias("facility_capacity_mw"), F.lit("42.5").alias("queue_capacity_mw"),
+    )
+
+
+LEDGER = f"""
+WITH o AS (SELECT o_orderkey AS k, o_orderdate::DATE AS d FROM orders),
+r AS (SELECT k, {listed("k % 6", ("solar", "", "wind", "wind", "battery_storage", ""))} AS tech, k % 10 = 0 AS offshore, {listed("k % 7", OUTCOMES)} AS outcome,
+  CASE k % 4 WHEN 0 THEN d WHEN 1 THEN date_trunc('month', d)::DATE WHEN 2 THEN date_trunc('year', d)::DATE END AS event, CASE k % 4 WHEN 0 THEN 'day' WHEN 1 THEN 'month' WHEN 2 THEN 'year' END AS event_p,
+  CASE k % 5 WHEN 0 THEN (d - INTERVAL 100 DAY)::DATE WHEN 1 THEN date_trunc('month', d - INTERVAL 60 DAY)::DATE END AS asked, CASE k % 5 WHEN 0 THEN 'day' WHEN 1 THEN 'month' END AS asked_p, k % 3 = 0 AS strong, k % 13 = 0 AS conflict,
+  CASE WHEN k % 8 < 4 THEN (d + INTERVAL 50 DAY)::DATE WHEN k % 8 < 6 THEN date_trunc('month', d + INTERVAL 30 DAY)::DATE WHEN k % 8 = 7 THEN (d - INTERVAL 200 DAY)::DATE END AS done, k % 8 IN (4, 5) AS done_month,
+  CASE WHEN k % 9 = 2 THEN 1250.0 WHEN k % 9 > 3 THEN k % 300 + 1.0 END AS own, CASE WHEN k % 2 = 0 AND k % 50 > 0 THEN k % 50 END AS plant FROM o),
+s AS (SELECT *, CASE WHEN tech <> '' AND NOT (offshore AND tech = 'wind') THEN tech END AS priced, outcome IN ('blocked_confirmed', 'advanced_confirmed', 'restricted_conditional') AS decided, strong AND asked IS NOT NULL AS by_request, coalesce(event_p IN ('day', 'month'), false) AS by_event FROM r),
+u AS (SELECT *, CASE WHEN by_request THEN asked WHEN by_event THEN event END AS start, CASE WHEN by_request THEN 'queue_request' WHEN by_event THEN 'event_date' END AS start_source, CASE WHEN (CASE WHEN by_request THEN asked_p ELSE event_p END) = 'month' THEN datediff('day', CASE WHEN by_request THEN asked ELSE event END, last_day(CASE WHEN by_request THEN asked ELSE event END)) ELSE 0 END AS slack,
+  CASE WHEN decided THEN done ELSE DATE '2002-06-30' END AS stop, CASE WHEN decided AND done_month THEN datediff('day', done, last_day(done)) ELSE 0 END AS stop_slack,
+  coalesce(own, plant, CASE WHEN strong THEN 42.5 END)::DOUBLE AS mw, CASE WHEN own IS NOT NULL THEN 'record' WHEN plant IS NOT NULL THEN 'federal_plant_inventory' WHEN strong THEN 'queue_request' END AS mw_source FROM s),
+v AS (SELECT *, datediff('day', start, stop) AS span FROM u),
+w AS (SELECT *, greatest(1, span - slack) AS low, span + stop_slack AS high, CASE WHEN priced IS NULL THEN 'technology_not_priced' WHEN outcome = 'needs_review' THEN 'outcome_needs_review' WHEN outcome = 'advanced_unverified' THEN 'outcome_unverified' WHEN NOT decided AND outcome <> 'pending' THEN 'outcome_needs_review'
+  WHEN start IS NULL AND asked IS NOT NULL AND NOT strong THEN 'start_from_possible_queue_match' WHEN start IS NULL AND event_p = 'year' THEN 'start_year_precision' WHEN start IS NULL THEN 'no_start_date' WHEN start_source = 'queue_request' AND conflict THEN 'queue_match_conflict' WHEN stop IS NULL THEN 'no_end_date' WHEN span < 1 THEN 'nonpositive_span' WHEN mw IS NULL THEN 'no_capacity_mw' END AS reason FROM v)
+"""
+
+
+@query(LEDGER + "SELECT k AS id, priced, start_source, CAST(span AS INT) AS span, CAST(low AS INT) AS low, CAST(high AS INT) AS high, mw, mw_source, reason FROM w")
 def q_withheld(t):
-    """As of 2024-06-30; each of the ten reasons, and spans by the precision of their ends."""
-    rows = values(t, "id, technology, project_name, outcome, event_date_text, resolution_date, capacity_mw, facility_match, facility_capacity_mw, first_request_date, match, queue_capacity_mw, conflict", PROJECTS)
-    return R.withheld(rows, "2024-06-30").select("id", F.col("priced_technology").alias("priced"), "start_source", F.col("span_days").alias("span"), F.col("span_days_low").alias("low"), F.col("span_days_high").alias("high"), "mw", "mw_source", F.col("withheld_reason").alias("reason"))
+    """As of 2002-06-30; the ten reasons, and spans by the precision of their ends, over a project for each order."""
+    return R.withheld(projects(t), "2002-06-30").select("id", F.col("priced_technology").alias("priced"), "start_source", F.col("span_days").alias("span"), F.col("span_days_low").alias("low"), F.col("span_days_high").alias("high"), "mw", "mw_source", F.col("withheld_reason").alias("reason"))
 
 
 PHRASES = """('Prime farmland and bird habitat near the wells'), ('It was fired, in view of the vote'), ('views across the lake; GLARE, shadow flicker and noise'),
@@ -96,27 +119,42 @@ def q_concern_table(t):
 
 
 @query("""
-SELECT id, CAST(feet AS DOUBLE) AS feet, CAST(height AS DOUBLE) AS height, CAST(db AS DOUBLE) AS db FROM (VALUES (1, 2640, 1.1, 45), (2, 500, 0, 0), (3, 7920, 3, 0), (4, 0, 0, 50), (5, 300, 0, 0), (6, 0, 0, 0)) v(id, feet, height, db)""")
+SELECT p_partkey, CASE m WHEN 0 THEN greatest(n * 1000 + 500, 2640) WHEN 1 THEN n * 10 WHEN 2 THEN (n + 0.5) * 5280 WHEN 4 THEN n * 10 ELSE 0 END::DOUBLE AS feet, CASE m WHEN 0 THEN 1 + (n % 9 + 1) / 10.0 WHEN 2 THEN n % 7 + 2 ELSE 0 END::DOUBLE AS height, CASE m WHEN 0 THEN 40 + n % 9 WHEN 3 THEN 30 + n ELSE 0 END::DOUBLE AS db
+FROM (SELECT p_partkey, p_partkey % 6 AS m, p_size AS n FROM part)""")
 def q_setbacks(t):
-    """distances, not spacings; height multiples; the lowest noise limit."""
-    texts = values(t, "id, s", """(1, 'Setback of 1,500 feet or one-half mile, 1.1 times the total tip height; 55 dBA by day and 45 dBA at night'), (2, '1,200 ft from another solar facility, 500 ft from homes'),
-      (3, '1.5 miles and 3x the turbine height'), (4, 'Limit 50 db; towers 900 feet from each other'), (5, '300 feet between the facility and any residence'), (6, NULL)""")
-    return texts.select("id", R.setback_feet(F.col("s")).alias("feet"), R.height_multiple(F.col("s")).alias("height"), R.least_decibels(F.col("s")).alias("db"))
+    """distances, not spacings; height multiples; the lowest noise limit; numbers from parts."""
+    n, m = F.col("p_size"), F.col("p_partkey") % 6
+    texts = [
+        F.format_string("Setback of %d,500 feet or one-half mile, 1.%d times the total tip height; %d dBA by day and %d dBA at night", n, n % 9 + 1, n % 9 + 50, n % 9 + 40),
+        F.format_string("%d,200 ft from another solar facility, %d ft from homes", n, n * 10),
+        F.format_string("%d.5 miles and %dx the turbine height", n, n % 7 + 2),
+        F.format_string("Limit %d db; towers %d00 feet from each other", n + 30, n),
+        F.format_string("%d feet between the facility and any residence", n * 10),
+    ]
+    s = F.coalesce(*(F.when(m == k, text) for k, text in enumerate(texts)))
+    return t.part.select("p_partkey", R.setback_feet(s).alias("feet"), R.height_multiple(s).alias("height"), R.least_decibels(s).alias("db"))
 
 
-@query("""SELECT * FROM (VALUES (1, 'ban_moratorium;setback', 'hb12;sb1234'), (2, 'zoning', 'pa116'), (3, 'height;noise;standard', ''), (4, 'size', 'ab7-2;sb1'), (5, '', '')) v(id, families, bills)""")
+@query("""
+SELECT p_partkey, CASE m WHEN 0 THEN 'ban_moratorium;setback' WHEN 1 THEN 'zoning' WHEN 2 THEN 'height;noise;standard' WHEN 3 THEN 'size' ELSE '' END AS families,
+  CASE m WHEN 0 THEN 'hb' || n || ';sb' || k WHEN 1 THEN 'pa' || n WHEN 3 THEN 'ab' || n || '-2;sb' || n ELSE '' END AS bills FROM (SELECT p_partkey, p_partkey % 5 AS m, p_size AS n, p_partkey % 9000 + 1 AS k FROM part)""")
 def q_mechanisms(t):
-    """F29."""
-    rows = values(t, "id, m, b", """(1, 'Moratorium (use), setback/buffer', 'H.B. 12 and Senate Bill 1234; HB 12'), (2, 'Overlay zoning, land use', 'under Public Act 116'), (3, 'noise,height , shadow flicker', 'none'),
-      (4, 'cap on acres', 'A.B. 7-2, SB1'), (5, NULL, '')""")
-    return rows.select("id", F.array_join(R.families(F.col("m")), ";").alias("families"), F.array_join(R.bills(F.col("b")), ";").alias("bills"))
+    """F29, with numbers from parts."""
+    n, k, m = F.col("p_size"), F.col("p_partkey") % 9000 + 1, F.col("p_partkey") % 5
+    told = F.when(m == 0, "Moratorium (use), setback/buffer").when(m == 1, "Overlay zoning, land use").when(m == 2, "noise,height , shadow flicker").when(m == 3, F.format_string("cap on %d acres", n))
+    named = F.when(m == 0, F.format_string("H.B. %d and Senate Bill %d; HB %d", n, k, n)).when(m == 1, F.format_string("under Public Act %d", n)).when(m == 2, "none").when(m == 3, F.format_string("A.B. %d-2, SB%d", n, n)).otherwise("")
+    return t.part.select("p_partkey", F.array_join(R.families(told), ";").alias("families"), F.array_join(R.bills(named), ";").alias("bills"))
 
 
-@query("""SELECT id, CAST(score AS DOUBLE) AS score, basis FROM (VALUES (1, 1.0, 'name'), (2, 0.923077, 'spelling'), (3, NULL, NULL), (4, 0.666667, 'name'), (5, NULL, NULL)) v(id, score, basis)""")
+@query("""
+SELECT p_partkey, CASE m WHEN 0 THEN 1.0 WHEN 1 THEN round((length(k::VARCHAR) + 10.0) / (length(k::VARCHAR) + 11), 6) WHEN 3 THEN 0.666667 END::DOUBLE AS score, CASE m WHEN 0 THEN 'name' WHEN 1 THEN 'spelling' WHEN 3 THEN 'name' END AS basis FROM (SELECT p_partkey, p_partkey % 5 AS m, p_partkey AS k FROM part)""")
 def q_name_scores(t):
-    """shared words of the shorter name, else spelling."""
-    pairs = values(t, "id, a, b", "(1, 'Blue Ridge Wind Farm', 'Ridge Blue Solar LLC'), (2, 'Garrison Buje', 'Garrison Bute'), (3, 'Prairie', 'Ocean'), (4, 'Big Oak Creek Solar', 'Big Oak Valley Run'), (5, NULL, 'Ocean')")
-    return R.name_scores(pairs, "a", "b").select("id", F.round("score", 6).alias("score"), "basis")
+    """the words of parts' names, turned round and among generic ones; spelling where words don't decide."""
+    k, m = F.col("p_partkey").cast("string"), F.col("p_partkey") % 5
+    turned = F.array_join(F.reverse(F.split("p_name", " ")), " ")
+    a = F.when(m == 0, F.concat("p_name", F.lit(" Wind Farm"))).when(m == 1, F.concat(F.lit("Garrison x"), k, F.lit("j"))).when(m == 2, F.concat(F.lit("Prairie "), k)).when(m == 3, F.concat(F.lit("Big Oak c"), k))
+    b = F.when(m == 0, F.concat(F.lit("The "), turned, F.lit(" Solar LLC"))).when(m == 1, F.concat(F.lit("Garrison x"), k, F.lit("t"))).when(m == 3, F.concat(F.lit("Big Oak v"), k, F.lit(" Run"))).otherwise("Ocean")
+    return R.name_scores(t.part.select("p_partkey", a.alias("a"), b.alias("b")), "a", "b").select("p_partkey", F.round("score", 6).alias("score"), "basis")
 
 
 @query("""
@@ -139,17 +177,26 @@ def q_nearest_first(t):
     return R.nearest_first(t.supplier.select("s_suppkey", F.when(F.col("s_acctbal") >= 0, F.col("s_acctbal")).alias("miles")), "miles", "s_suppkey")
 
 
-@query("SELECT s_suppkey, CASE WHEN s_nationkey > 3 THEN s_name ELSE ' ' END AS shown FROM supplier")
+SHOWN = "CASE WHEN s_nationkey > 3 THEN s_name ELSE ' ' END"
+
+
+@query(f"SELECT s_suppkey, {SHOWN} AS shown, row_number() OVER (ORDER BY nullif(trim({SHOWN}), '') DESC NULLS LAST, s_suppkey) AS place FROM supplier")
 def q_toggled(t):
-    """The order itself is tested beside it."""
-    return R.toggled(t.supplier.select("s_suppkey", F.when(F.col("s_nationkey") > 3, F.col("s_name")).otherwise(" ").alias("shown")), "shown", descending=True)
+    """Blanks come last in a descending order too; the place in the order is a column of the result."""
+    rows = t.supplier.select("s_suppkey", F.when(F.col("s_nationkey") > 3, F.col("s_name")).otherwise(" ").alias("shown"))
+    placed = running_sum(rows, [R.blanks_last(rows, "shown", descending=True), F.col("s_suppkey")], F.lit(1))
+    return placed.select("s_suppkey", "shown", (F.col("__below") + 1).alias("place"))
 
 
-@query("""SELECT * FROM (VALUES ('sabin:1', 'Sabin 2025 (not in 2026 edition)', 'A ban', 0, 'verified'), ('sabin:2', 'Sabin 2026', NULL, 1, 'located'), ('mn:1', 'Moratorium Nation', 'x y', 2, 'unverified'),
- ('nrel:1', 'NREL', NULL, 2, 'unverified'), ('queue:1', 'review queue', 'z', 2, 'unverified'), ('q', 'other', NULL, 2, 'unverified')) v(iid, family, shown, rank, name)""")
+@query("""
+SELECT o_orderkey, CASE m WHEN 0 THEN CASE WHEN n = 1 THEN 'Sabin 2025 (not in 2026 edition)' ELSE 'Sabin 2026' END WHEN 1 THEN 'Moratorium Nation' WHEN 2 THEN 'NREL' WHEN 3 THEN 'review queue' ELSE 'other' END AS family,
+  CASE n WHEN 0 THEN 'A ban' WHEN 1 THEN 'x y' WHEN 2 THEN NULL ELSE 'z' || o_orderkey END AS shown, CASE v WHEN 0 THEN 0 WHEN 1 THEN 1 ELSE 2 END AS rank, CASE v WHEN 0 THEN 'verified' WHEN 1 THEN 'located' ELSE 'unverified' END AS name
+FROM (SELECT o_orderkey, o_orderkey % 5 AS m, o_orderkey % 4 AS n, o_orderkey % 3 AS v FROM orders)""")
 def q_record_functions(t):
-    """The functions that ad-hoc SQL over records calls."""
+    """The functions that ad-hoc SQL over records calls, over a record for each order."""
     S.register_sql_functions(t.spark)
-    values(t, "iid, edition, s, v", """('sabin:1', '2025-06', 'A ban [VERIFY number at 0.6]', 'verified'), ('sabin:2', '2026-01', ' ', 'located'), ('mn:1', '', 'x [VERIFY a] y', 'unverified'), ('nrel:1', NULL, '[VERIFY]', 'else'),
-      ('queue:1', '', 'z', NULL), ('q', NULL, NULL, '')""").createOrReplaceTempView("records_by_functions")
-    return t.spark.sql("SELECT iid, source_family(iid, edition) AS family, reader_text(s) AS shown, verification_rank(v) AS rank, verification_name(verification_rank(v)) AS name FROM records_by_functions")
+    k = F.col("o_orderkey")
+    texts = F.when(k % 4 == 0, F.concat(F.lit("A ban [VERIFY number at "), k, F.lit("]"))).when(k % 4 == 1, "x [VERIFY a] y").when(k % 4 == 2, " [VERIFY]").otherwise(F.concat(F.lit("z"), k))
+    iid = F.concat(pick(k % 5, ("sabin:", "mn:", "nrel:", "queue:", "q")), k)
+    t.orders.select(k, iid.alias("iid"), F.when(k % 4 == 1, "2025-06").otherwise("2026-01").alias("edition"), texts.alias("s"), F.when(k % 3 == 0, "verified").when(k % 3 == 1, "located").alias("v")).createOrReplaceTempView("records_by_functions")
+    return t.spark.sql("SELECT o_orderkey, source_family(iid, edition) AS family, reader_text(s) AS shown, verification_rank(v) AS rank, verification_name(verification_rank(v)) AS name FROM records_by_functions")

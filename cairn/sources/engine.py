@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cairn.functions.scalars import register_sql_functions
 from cairn.sources.readers import register_manifest
+from cairn.sources.sinks import write_csv
 
 #: Rows shown; an export has all of them.
 SHOWN = 500
@@ -20,5 +21,9 @@ class Engine:
     def sql(self, text: str) -> DataFrame:
         return self.spark.sql(text)
 
+    def download(self, text: str, path: str) -> None:
+        """SNK12: all rows of a query as CSV with a header, in the query's own order; NULL as blank."""
+        write_csv(self.sql(text), path)
+
     def shown(self, text: str) -> DataFrame:
         return self.sql(text).limit(SHOWN)

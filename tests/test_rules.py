@@ -39,3 +39,60 @@ def test_morans_p_is_small_for_a_gradient_and_not_for_noise(spark):
     steep, noise = (morans_p(line, edges, "k", c, permutations=99).first() for c in ("x", "y"))
     assert steep.morans_i > 0.8 and steep.p == 0.01 and noise.p > 0.05 and steep.n == 40
     assert abs(steep.expected + 1 / 39) < 1e-12
+
+
+RECORDS = [
+    ("r1", "TX", 31.0, -97.0, "https://a.org/x", "active", "2024-05-01", "2024-12", "", 3, "", "", "renewables_only"),
+    ("r2", "TX", 45.0, -97.0, "ftp://a.org/x", "active", "2026-07", "2027", "", 3, "", "", "data_center_only"),
+    ("r3", "NV", 45.0, -97.0, "", "pending", "05/01/2024", "", "", 3, "contradicts", "snippet", "renewables_only"),
+    ("r4", "TX", 0.0, 0.0, "http://localhost", "gone", "2026", "2026", "", 1, "contradicts", "opened", "renewables_only"),
+    ("r5", "TX", None, None, "http://b.gov/y", "extended", "2026-06-30", "2025-12", "2026-01-15", None, "confirmed", "", "all"),
+    ("r6", None, 31.0, -97.0, None, "unknown", None, None, None, None, None, None, "renewables_only"),
+]
+FOUND = {
+    "r1": ["END_DATE_PASSED:MEDIUM"],
+    "r2": ["COORD_OUTSIDE_STATE:HIGH", "SOURCE_URL_INVALID:HIGH", "DATE_IN_FUTURE:HIGH", "SCOPE_DATA_CENTER_ONLY:HIGH"],
+    "r3": ["DATE_UNPARSEABLE:LOW", "SEVERITY_STATUS:MEDIUM", "PRIMARY_SOURCE_CONTRADICTS:MEDIUM"],
+    "r4": ["SOURCE_URL_INVALID:HIGH", "STATUS_VOCAB:HIGH", "PRIMARY_SOURCE_CONTRADICTS:HIGH"],
+    "r5": ["STATUS_VOCAB:HIGH"],
+    "r6": [],
+}
+
+
+def test_quality_codes_record_by_record(spark):
+    """As of 2026-06-30; r4's end year isn't over, r5's end was confirmed afterwards, r3's state has no box."""
+    names = "id string, state string, latitude double, longitude double, source_url string, status string, date_enacted_iso string, current_end_date_iso string, status_checked_on string, severity_score int, primary_source_verdict string, primary_source_access string, scope string, __box int"
+    boxes = spark.createDataFrame([("TX", 25.8, -106.7, 36.5, -93.5)], "state string, south double, west double, north double, east double")
+    got = R.qc_findings(spark.createDataFrame([(*r, 1) for r in RECORDS], names), "restrictions", "2026-06-30", boxes)
+    assert got.columns[-3:] == ["__box", "issues", "blocked"]
+    assert {r.id: [f"{i.code}:{i.severity}" for i in r.issues] for r in got.collect()} == FOUND
+    assert {r.id for r in got.where("blocked").collect()} == {"r2", "r4", "r5"}
+
+
+def test_spans_and_reasons_project_by_project(spark):
+    rows = [
+        ("a", "solar", "blocked_confirmed", "2024-01-10", "2024-03", "10", "", "", ""),
+        ("b", "hydro", "pending", "2024-01-10", "", "10", "", "", ""),
+        ("i", "wind", "pending", "2024", "", "10", "2023-05-05", "possible", ""),
+        ("j", "wind", "pending", "2024-01", "", "10", "2023-05-05", "strong", "withdrawn"),
+        ("l", "wind", "advanced_confirmed", "2024-02-30", "2024-01-10", "10", "2024-02", "strong", ""),
+        ("o", "battery_storage", "pending", "2024-02", "", "", "2023-11", "strong", ""),
+    ]
+    df = spark.createDataFrame(rows, "id string, technology string, outcome string, event_date_text string, resolution_date string, capacity_mw string, first_request_date string, match string, conflict string").withColumn("queue_capacity_mw", F.lit("42.5"))
+    got = {r.id: (r.start_source, r.span_days, r.span_days_low, r.span_days_high, r.mw, r.withheld_reason) for r in R.withheld(df, "2024-06-30").collect()}
+    assert got == {
+        "a": ("event_date", 51, 51, 81, 10.0, None),
+        "b": ("event_date", 172, 172, 172, 10.0, "technology_not_priced"),
+        "i": (None, None, 1, None, 10.0, "start_from_possible_queue_match"),
+        "j": ("queue_request", 422, 422, 422, 10.0, "queue_match_conflict"),
+        "l": ("queue_request", -22, 1, -22, 10.0, "nonpositive_span"),
+        "o": ("queue_request", 242, 213, 242, 42.5, None),
+    }
+
+
+def test_distances_and_names_in_hand_made_texts(spark):
+    texts = ["Setback of 1,500 feet or one-half mile, 1.1 times the total tip height; 55 dBA by day and 45 dBA at night", "1,200 ft from another solar facility, 500 ft from homes", "300 feet between the facility and any residence", None]
+    s = spark.createDataFrame([(t,) for t in texts], "s string").select(R.setback_feet(F.col("s")), R.height_multiple(F.col("s")), R.least_decibels(F.col("s")))
+    assert [tuple(r) for r in s.collect()] == [(2640.0, 1.1, 45.0), (500.0, 0.0, 0.0), (300.0, 0.0, 0.0), (0.0, 0.0, 0.0)]
+    names = spark.createDataFrame([("Blue Ridge Wind Farm", "Ridge Blue Solar LLC"), ("Garrison Buje", "Garrison Bute"), ("Prairie", "Ocean"), (None, "Ocean")], "a string, b string")
+    assert [(round(r.score, 6) if r.score else None, r.basis) for r in R.name_scores(names, "a", "b").collect()] == [(1.0, "name"), (0.923077, "spelling"), (None, None), (None, None)]
