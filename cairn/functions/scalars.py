@@ -91,9 +91,22 @@ def url_key(url: Column) -> Column:
     return F.regexp_replace(strip_tracking(normalize_url(url)), r"^https?://(www\.)?", "http://")
 
 
-def headline_key(s: Column, length: int = 200) -> Column:
-    """F16: lower-cased words."""
-    return F.substring(F.array_join(F.regexp_extract_all(F.lower(s), F.lit("[a-z0-9]+"), F.lit(0)), " "), 1, length)
+#: Characters of a long text that are looked at for its headline, fewest first; a text in which they don't hold enough words is read whole.
+HEADS = (1000, 16000)
+
+
+def headline_key(s: Column, n: int = 200) -> Column:
+    """F16: the lower-case words of a text, joined by a space and cut to ``n`` characters.
+
+    Long texts are read from the front only as far as needed: what stands before the last word of a head is as in the whole.
+    """
+    words = lambda t: F.regexp_extract_all(F.lower(t), F.lit("[a-z0-9]+"), F.lit(0))
+    out = F.array_join(words(s), " ")
+    for size in reversed(HEADS):
+        head = words(F.substring(s, 1, size))
+        before = F.array_join(F.slice(head, 1, F.greatest(F.size(head) - 1, F.lit(0))), " ")
+        out = F.when((F.length(s) > size) & (F.length(before) >= n), before).otherwise(out)
+    return F.substring(out, 1, n)
 
 
 def squash(s: Column) -> Column:

@@ -119,10 +119,13 @@ def first_other(df: DataFrame, block: list[str], row_id: str, wanted: Column) ->
 
 
 def first_wins(df: DataFrame, key: Column, order: list[str]) -> DataFrame:
-    """W6, J26 for one key: the first row of each key by an explicit order; rows without a key all stay."""
+    """W6, J26 for one key: the first row of each key by an explicit order, NULLs first; rows without a key all stay.
+
+    A minimum, not a sort of each key: what a task knows to be later doesn't travel, so a stock key of very many rows is one row of each task.
+    """
     keyed = df.withColumn("__k", key)
-    kept = keyed.where("__k IS NOT NULL").withColumn("__rn", F.row_number().over(W.partitionBy("__k").orderBy(*order))).where("__rn = 1").drop("__rn")
-    return kept.unionByName(keyed.where("__k IS NULL")).drop("__k")
+    first = keyed.where("__k IS NOT NULL").groupBy("__k").agg(F.min_by(F.struct(*df.columns), F.struct(*order)).alias("__r"))
+    return first.select("__r.*").unionByName(keyed.where("__k IS NULL").drop("__k"))
 
 
 def within_distance(a: DataFrame, b: DataFrame, miles: float, distance: Column, cell: float = 1.0) -> DataFrame:

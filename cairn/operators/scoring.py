@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from cairn.operators.windows import by_value_counts, running_sum
+from cairn.sources.scratch import cut_lineage
 
 
 def stack(points: Column, rest: float = 0.25, cap: float = 100.0) -> Column:
@@ -84,7 +85,8 @@ def morans_p(values: DataFrame, edges: DataFrame, node: str, value: str, permuta
     moved = ranked.select("k", "a", "at").join(ranked.select("k", F.col("from").alias("at"), "z"), ["k", "at"]).select("k", "a", "z")
     known = edges.select("a", "b").distinct()
     lags = known.join(moved.select("k", F.col("a").alias("b"), F.col("z").alias("zb")), "b").groupBy("k", "a").agg(F.avg("zb").alias("lag"))
-    stats = moved.join(lags, ["k", "a"], "left").groupBy("k").agg((F.count("*") / F.count("lag") * F.sum(F.col("z") * F.coalesce("lag", F.lit(0.0))) / F.nullif(F.sum(F.col("z") * F.col("z")), F.lit(0.0))).alias("i"), F.count("*").alias("n"))
+    # written once, as it is read both for the data's own value and for the others'
+    stats = cut_lineage(moved.join(lags, ["k", "a"], "left").groupBy("k").agg((F.count("*") / F.count("lag") * F.sum(F.col("z") * F.coalesce("lag", F.lit(0.0))) / F.nullif(F.sum(F.col("z") * F.col("z")), F.lit(0.0))).alias("i"), F.count("*").alias("n")))
     seen = F.max(F.when(F.col("k") == 0, F.col("i")))
     # sums of the same terms in another order differ in the last digits: equal within 1e-9 counts as reached
     both = stats.agg(seen.alias("i"), F.max("n").alias("n")).join(stats.where("k > 0").select(F.col("i").alias("other")), how="left")

@@ -216,17 +216,3 @@ def q_point_in_polygon(t):
     rings = t.nation.select(k.alias("id"), shape.alias("c")).select("id", "c.ring", "c.n", ((F.col("id") % 5) * 10 + F.col("c.dx")).alias("x"), (F.floor(F.col("id") / 5) * 10 + F.col("c.dy")).alias("y"))
     points = t.customer.select(F.col("c_custkey").alias("point_id"), ((F.col("c_custkey") * 37 % 997) / 997.0 * 50).alias("px"), ((F.col("c_custkey") * 53 % 991) / 991.0 * 50).alias("py"))
     return points_in_polygons(points, ring_edges(rings), 10.0)
-
-
-@query("""
-WITH w AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS name FROM documents), g AS (SELECT lower(substr(text, 1, 0)) || word AS name, item_id AS place FROM (SELECT item_id, text, unnest(list_slice(regexp_extract_all(lower(text), '[a-z0-9]+'), 1, 3)) AS word FROM benchmark)),
-n AS (SELECT name, count(DISTINCT place) AS n, min(place) AS place FROM g GROUP BY 1), m AS (SELECT doc_id, count(DISTINCT CASE WHEN n = 1 THEN place END) AS sure, bool_or(n > 1) AS doubtful, min(CASE WHEN n = 1 THEN place END) AS place FROM w JOIN n USING (name) GROUP BY 1),
-v AS (SELECT d.doc_id, m.place, CASE WHEN sure >= 3 THEN 'roundup' WHEN sure > 1 THEN 'several' WHEN sure = 1 THEN 'placed' WHEN doubtful THEN 'ambiguous' ELSE 'none' END AS verdict FROM documents d LEFT JOIN m ON m.doc_id = d.doc_id)
-SELECT doc_id AS text_id, CASE WHEN verdict = 'placed' THEN place END AS place_id, verdict FROM v""")
-def q_geotag(t):
-    """R20 with words of the benchmark as place names."""
-    from cairn.operators.places import locate_names
-
-    words = F.slice(F.regexp_extract_all(F.lower("text"), F.lit("[a-z0-9]+"), F.lit(0)), 1, 3)
-    gazetteer = t.benchmark.select(F.col("item_id").alias("place_id"), F.explode(words).alias("name"))
-    return locate_names(t.documents.select(F.col("doc_id").alias("text_id"), "text"), gazetteer, longest=1)

@@ -10,7 +10,7 @@ from cairn.plans.base import query
 TOKENS = "regexp_extract_all(lower(text), '[a-z0-9]+')"
 
 
-@query(f"""
+SPANS = f"""
 WITH RECURSIVE iw AS (SELECT item_id, {TOKENS} AS w FROM benchmark),
 g AS (SELECT item_id, array_to_string(w[(j // 2) * 5 + (j % 2) * 2 + 1 : (j // 2) * 5 + (j % 2) * 2 + 2 + j % 2], ' ') AS name FROM iw, range(0, 1000) r(j) WHERE (j // 2) * 5 + (j % 2) * 2 + 2 + j % 2 <= len(w)),
 n AS (SELECT name, count(DISTINCT item_id) AS places, min(item_id) AS place_id FROM g GROUP BY 1),
@@ -18,15 +18,32 @@ dw AS (SELECT doc_id, {TOKENS} AS w FROM documents),
 m AS (SELECT doc_id, s, k, places, place_id FROM dw, range(2, 4) z(k), LATERAL (SELECT unnest(range(0, len(w) - k + 1)) AS s) JOIN n ON name = array_to_string(w[s + 1 : s + k], ' ')),
 b AS (SELECT * FROM m QUALIFY row_number() OVER (PARTITION BY doc_id, s ORDER BY k DESC) = 1),
 p AS (SELECT a.*, x.s AS nxt FROM b a ASOF LEFT JOIN b x ON a.doc_id = x.doc_id AND a.s + a.k <= x.s),
-t AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY s) = 1 UNION ALL SELECT p.* FROM t JOIN p ON p.doc_id = t.doc_id AND p.s = t.nxt)
-SELECT doc_id AS text_id, CAST(s AS INT) AS start, CAST(k AS INT) AS words, places, place_id FROM t""")
-def q_named_spans(t):
-    """Names of two and three words, cut one after the other from whole items, in all documents; none within another."""
+t AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY s) = 1 UNION ALL SELECT p.* FROM t JOIN p ON p.doc_id = t.doc_id AND p.s = t.nxt)"""
+
+
+def names(t):
+    """Names of two and three words in turn, cut one after the other from whole items; the item is the place."""
     w = F.filter(F.split(F.lower("text"), "[^a-z0-9]+"), lambda x: x != "")
     at, size = F.floor(F.col("j") / 2) * 5 + (F.col("j") % 2) * 2, F.col("j") % 2 + 2
     pieces = t.benchmark.select("item_id", w.alias("w")).withColumn("j", F.explode(F.sequence(F.lit(0), F.size("w")))).where(at + size <= F.size("w"))
-    names = pieces.select(F.array_join(F.slice("w", (at + 1).cast("int"), size.cast("int")), " ").alias("name"), F.col("item_id").alias("place_id"))
-    return places.named_spans(t.documents.select(F.col("doc_id").alias("text_id"), "text"), names, longest=3)
+    return pieces.select(F.array_join(F.slice("w", (at + 1).cast("int"), size.cast("int")), " ").alias("name"), F.col("item_id").alias("place_id"))
+
+
+@query(SPANS + " SELECT doc_id AS text_id, CAST(s AS INT) AS start, CAST(k AS INT) AS words, places, place_id FROM t")
+def q_named_spans(t):
+    """The names in all documents, the longest at each place, none within another."""
+    return places.named_spans(t.documents.select(F.col("doc_id").alias("text_id"), "text"), names(t), longest=3)
+
+
+@query(
+    SPANS
+    + """, f AS (SELECT doc_id, count(DISTINCT CASE WHEN places = 1 THEN place_id END) AS sure, bool_or(places > 1) AS doubtful, min(CASE WHEN places = 1 THEN place_id END) AS place FROM t GROUP BY 1),
+v AS (SELECT d.doc_id, place, CASE WHEN sure >= 3 THEN 'roundup' WHEN sure > 1 THEN 'several' WHEN sure = 1 THEN 'placed' WHEN doubtful THEN 'ambiguous' ELSE 'none' END AS verdict FROM documents d LEFT JOIN f ON f.doc_id = d.doc_id)
+SELECT doc_id AS text_id, CASE WHEN verdict = 'placed' THEN place END AS place_id, verdict FROM v"""
+)
+def q_geotag(t):
+    """The one item that a document's names point to, or why there is none."""
+    return places.locate_names(t.documents.select(F.col("doc_id").alias("text_id"), "text"), names(t), longest=3)
 
 
 @query("""
