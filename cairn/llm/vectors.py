@@ -47,14 +47,19 @@ def unit(blob) -> np.ndarray:
     return v / np.linalg.norm(v)
 
 
+def scaled(v: np.ndarray) -> np.ndarray:
+    """``v`` by a power of two that brings its largest component to 0.5 to 1: the same direction to the last bit, and a norm that neither overflows nor vanishes."""
+    return np.ldexp(v, -np.frexp(np.abs(v).max())[1])
+
+
 def hashed(reps: DataFrame, k: int, tables: int) -> DataFrame:
-    """(rep, n, vector, hashes): the vector as float64 bytes and its bucket in every table."""
+    """(rep, n, vector, hashes): the scaled vector as float64 bytes and its bucket in every table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         families: dict[int, tuple] = {}
         salt = np.random.default_rng(7).integers(1, 1 << 62, k, dtype=np.int64) | 1
         for batch in batches:
-            vectors = [np.asarray(v, np.float64) for v in batch.column(2).to_pylist()]
+            vectors = [scaled(np.asarray(v, np.float64)) for v in batch.column(2).to_pylist()]
             out = []
             for v in vectors:
                 if len(v) not in families:
@@ -148,7 +153,7 @@ def link_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     link found is exact, and a pair exactly at the threshold is found with probability 1 - MISS or more.
     Equal embeddings are one representative, whatever their number, so copies are never paired up.
 
-    Embeddings that are null, empty or zero, or hold null or non-finite values, link with nothing; so do
+    Vectors are scaled first, so that finite ones of any size are compared. Embeddings that are null, empty or zero, or hold null or non-finite values, link with nothing; so do
     rows without a vec_id, whose component is null. Lengths may differ; different lengths don't link. Rows that
     repeat a vec_id count as vectors of their own. An empty table gives no rows. Other columns are ignored.
     """

@@ -247,3 +247,9 @@ def test_html(spark):
     df = spark.createDataFrame([(1, "u", "<p>x", "old"), (2, None, None, "old"), (None, "u", "", None), (1, "u", "<p>x", "old")], "page_id long, url string, html string, text string")
     assert sorted((str(r.page_id), r.text) for r in html.extract_text(df).collect()) == [("1", "x"), ("1", "x"), ("2", ""), ("None", "")]
     assert html.extract_text(df.limit(0)).count() == 0
+
+
+def test_vectors_of_extreme_size_link_by_their_direction(spark):
+    rows = [(1, [1e200, 1e200]), (2, [1e200, 1.01e200]), (3, [1.0, 1.0]), (4, [1e-200, 1e-200]), (5, [5e-324, 5e-324]), (6, [1e308, -1e308]), (7, [1.7e308, 1.7e308]), (8, [0.0, 0.0]), (9, [1e-300, 0.0])]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.link_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {**dict.fromkeys((1, 2, 3, 4, 5, 7), (5, 1)), 6: (0, 6), 8: (0, 8), 9: (0, 9)}
