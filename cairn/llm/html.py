@@ -9,6 +9,7 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -22,8 +23,8 @@ CLOSES_P = frozenset("address article aside blockquote center details div dl fie
 #: An opening tag ends the nearest open one of these tags, if no tag of the second set lies between.
 IMPLIED_END = {
     "li": ({"li"}, {"ul", "ol"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "option": ({"option"}, {"select"}),
-    "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
-    "tbody": ({"tbody", "thead", "tfoot"}, {"table"}), "tfoot": ({"tbody", "thead", "tfoot"}, {"table"}), "thead": ({"tbody", "thead", "tfoot"}, {"table"}),
+    "tr": ({"tr", "caption"}, {"table"}), "td": ({"td", "th", "caption"}, {"tr", "table"}), "th": ({"td", "th", "caption"}, {"tr", "table"}),
+    "tbody": ({"tbody", "thead", "tfoot", "caption"}, {"table"}), "tfoot": ({"tbody", "thead", "tfoot", "caption"}, {"table"}), "thead": ({"tbody", "thead", "tfoot", "caption"}, {"table"}),
     "body": ({"head"}, set()),
 }
 SCOPE = frozenset({"table", "td", "th", "html", "button", "caption"})
@@ -33,8 +34,15 @@ MOST_COLUMNS, MOST_ROWS = 1000, 65534
 
 #: Cells are padded to their column's width up to so many characters, so that one long cell doesn't pad a whole column.
 CELL_WIDTH = 40
+#: Cells are aligned over so many columns of a table; those further right follow unpadded, so that a row's text is bounded.
+COLUMNS = 128
+#: The indent of nested lists stops growing at so many characters, so that the text of deep lists grows with the page.
+INDENT = 160
 #: Tables nested deeper are rendered as plain blocks: their text stays, its columns don't, as every level indents all within.
 NESTED_TABLES = 64
+#: A tag, comment or declaration that the page ends in, and so never ends.
+_UNFINISHED = re.compile(r"<(?:[a-zA-Z!?]|/[a-zA-Z])")
+_NUMBER = re.compile(r"[ \t\n\r\f]*([+-]?[0-9]+)")
 _SIMPLE = re.compile(r"[a-zA-Z][\w-]*|[.#][\w-]+")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 
@@ -87,6 +95,12 @@ class TreeBuilder(HTMLParser):
         elif tag not in VOID:
             self.end_until({tag}, SCOPE - {tag} if tag in BLOCKS and tag not in ("table", "html", "body") else {"table"} - {tag})
 
+    def close(self) -> None:
+        """What begins in the page's last unfinished tag or comment belongs to it and isn't shown, as in a browser; it isn't read again from every place in it."""
+        if self.cdata_elem is None and _UNFINISHED.match(self.rawdata):
+            self.rawdata = ""
+        super().close()
+
     def handle_data(self, data: str) -> None:
         if self.open[-1].tag == "style":
             self.styles.append(data)
@@ -228,7 +242,7 @@ def render(root: Node, rules: dict[str, Shown], depth: int = 0, visible: bool =
             flow.block(tag in SPACED and not (lists and tag in ("ul", "ol", "p")))
             if tag in ("ul", "ol"):
                 lists.append([tag, _number(node.attrs.get("start"), 1), flow.indent, flow.marker])
-                flow.indent, flow.marker = flow.indent + " " * len(flow.marker), ""
+                flow.indent, flow.marker = (flow.indent + " " * len(flow.marker))[:INDENT], ""
             elif tag == "li":
                 kind = lists[-1] if lists else ["ul", 0]
                 flow.marker = f"{kind[1]}. " if kind[0] == "ol" else "- "
@@ -244,40 +258,46 @@ def render(root: Node, rules: dict[str, Shown], depth: int = 0, visible: bool =
 
 
 def _number(value: str | None, default: int) -> int:
-    return int(value) if value and value.strip().isascii() and value.strip().isdigit() and len(value) < 6 else default
+    """The whole number that an attribute begins with, of whatever length."""
+    found = _NUMBER.match(value or "")
+    return max(-(1 << 31), min((1 << 31) - 1, int(found[1][:12]))) if found else default
 
 
 def grid(rows: list[list[Node]]) -> list[list[tuple[int, int, Node]]]:
-    """(first column, column behind the last, cell) of every row's cells: a cell that spans rows pushes later ones aside."""
+    """(first column, column behind the last, cell) of every row's cells: a cell that spans rows pushes later ones aside.
+
+    ``until`` has for each column the first row in which it is free again.
+    """
     out = []
-    taken: list[list[int]] = []  # [first, behind, rows left], ordered
+    until, last = np.zeros(0, np.int32), 0
     for i, row in enumerate(rows):
-        placed, spans, column, k = [], [], 0, 0
+        free = np.flatnonzero(until <= i) if last > i else None
+        placed, column = [], 0
         for cell in row:
-            while k < len(taken) and taken[k][0] <= column:
-                column, k = max(column, taken[k][1]), k + 1
+            if free is not None and column < len(until):
+                k = int(np.searchsorted(free, column))
+                column = int(free[k]) if k < len(free) else len(until)
             end = column + min(max(1, _number(cell.attrs.get("colspan"), 1)), MOST_COLUMNS)
-            left = len(rows) - i - 1
-            down = min(_number(cell.attrs.get("rowspan"), 1), MOST_ROWS)
-            if down != 1 and left:
-                spans.append([column, end, min(down - 1, left) if down else left])
-            placed.append((column, end, cell))
+            down = _number(cell.attrs.get("rowspan"), 1)
+            down = 1 if down < 0 else min(down, MOST_ROWS)
+            behind = min(i + down, len(rows)) if down else len(rows)
+            placed.append((column, end, cell, behind))
             column = end
-        out.append(placed)
-        merged: list[list[int]] = []
-        for first, behind, left in sorted([[a, b, n - 1] for a, b, n in taken if n > 1] + spans):
-            if merged and merged[-1][1] == first and merged[-1][2] == left:
-                merged[-1][1] = behind
-            else:
-                merged.append([first, behind, left])
-        taken = merged
+        for first, end, _, behind in placed:
+            if behind > i + 1:
+                if end > len(until):
+                    until = np.concatenate([until, np.zeros(max(end - len(until), len(until)), np.int32)])
+                np.maximum(until[first:end], behind, out=until[first:end])
+                last = max(last, behind)
+        out.append([p[:3] for p in placed])
     return out
 
 
 def table_lines(table: Node, rules: dict[str, Shown], depth: int, visible: bool) -> list[str]:
     """Rows of cells padded to common widths; a caption comes first, stray content before the rows.
 
-    Columns in which no cell begins take no room, and a cell that spans several is as wide as they are.
+    Columns in which no cell begins take no room, and a cell that spans several is as wide as they are. Only the first COLUMNS
+    columns are aligned.
     """
     rows: list[list[Node]] = []
     stray = Node("#stray", {})
@@ -314,7 +334,8 @@ def table_lines(table: Node, rules: dict[str, Shown], depth: int, visible: bool)
     placed = [[(a, b, render(c, rules, depth + 1, seen[id(c)])) for a, b, c in row] for row in grid(rows)]
     starts = sorted({a for row in placed for a, _, _ in row})
     widths = [0] * len(starts)
-    cells = [[(bisect_left(starts, a), bisect_left(starts, b), text) for a, b, text in row] for row in placed]
+    column = lambda a: min(bisect_left(starts, a), COLUMNS)
+    cells = [[(column(a), column(b), text) for a, b, text in row] for row in placed]
     for row in cells:
         for k, behind, text in row:
             if behind - k == 1:
@@ -352,7 +373,8 @@ def extract_text(pages: DataFrame, *, html: str = "html") -> DataFrame:
     dialogs and folded details aren't shown; text made visible inside an invisible element is.
 
     Null and empty pages have empty text. Text without tags comes out as it is, white space collapsed. Broken
-    markup of any nesting is repaired by implied tags, never refused, in time that grows with the page. Repeated rows
+    markup of any nesting is repaired by implied tags, never refused, in time that grows with the page; a tag or comment that
+    the page ends in is dropped with all that follows its start. Lists indent by up to INDENT characters. Repeated rows
     are rendered each. Other columns pass through, whatever their names; those called text, in any case, are
     replaced. An empty table gives no rows.
     """
