@@ -182,3 +182,30 @@ def intake(log: DataFrame) -> DataFrame:
     unchanged, stored = ~failed & (s("local_path") == "unchanged"), ~failed & ~s("local_path").isin("", "unchanged")
     said = F.concat(F.coalesce(day, F.lit("None")), F.lit(": "), F.substring(s("error"), 1, 160))
     return log.groupBy("source_id").agg(F.count("*").alias("requests"), F.count_if(stored).alias("stored"), F.count_if(unchanged).alias("unchanged"), F.count_if(failed).alias("failed"), F.max(day).alias("last_fetch"), F.max(F.when(stored, day)).alias("last_changed"), F.max_by(said, F.when(failed, F.col("seq"))).alias("last_error"))
+
+
+def negative_worklist(requests: DataFrame, checks: DataFrame, restricted: DataFrame, as_of: str, stale_days: int = 365) -> DataFrame:
+    """(node, reason, requests, last_requested): places asked about with nothing published and no fresh check.
+
+    ``requests(node, day)``, ``checks(node, checked_on)``, ``restricted(node)``; days as ISO text or dates. A check is stale after
+    ``stale_days``; a place whose newest check is stale says so. Blank places are left out.
+    """
+    newest = checks.groupBy("node").agg(F.max(F.col("checked_on").cast("date")).alias("checked"))
+    asked = requests.where("node IS NOT NULL").groupBy("node").agg(F.count("*").alias("requests"), F.max(F.col("day").cast("date")).alias("last_requested"))
+    rows = asked.join(restricted.select("node").distinct(), "node", "left_anti").join(newest, "node", "left")
+    fresh = F.coalesce(F.datediff(F.lit(as_of).cast("date"), F.col("checked")) <= stale_days, F.lit(False))
+    reason = F.when(F.col("checked").isNull(), "no check on record").otherwise(F.concat(F.lit("check of "), F.col("checked").cast("string"), F.lit(f" is stale (more than {stale_days} days old)")))
+    return rows.where(~fresh).select("node", reason.alias("reason"), "requests", "last_requested")
+
+
+def adjacency_worklist(instruments: DataFrame, edges: DataFrame, checked: DataFrame, as_of: str, months: int = 18) -> DataFrame:
+    """(node, instrument_id, enacted): unexamined places next to one that enacted an instrument within the window.
+
+    ``instruments(instrument_id, node, enacted)``: a row per place of an instrument, enacted a date or null; ``edges(a, b)``: neighbours; ``checked(node)``.
+    A place with an instrument of its own, or a check, is left out; each other is listed once for each instrument.
+    """
+    today = F.lit(as_of).cast("date")
+    recent = instruments.where(F.col("enacted").between(F.add_months(today, -months), today)).select("instrument_id", "node", "enacted")
+    seen = recent.join(edges.select(F.col("a").alias("node"), "b").distinct(), "node").groupBy(F.col("b").alias("node"), "instrument_id").agg(F.max("enacted").alias("enacted"))
+    known = instruments.select("node").unionByName(checked.select("node")).distinct()
+    return seen.join(known, "node", "left_anti")

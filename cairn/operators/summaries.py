@@ -82,3 +82,34 @@ def snapshot_features(requests: DataFrame, events: DataFrame, key: str, at: str,
     both = asked.unionByName(per, allowMissingColumns=True)
     counted = both.select("*", *(F.coalesce(F.sum(f"__{n}").over(w), F.lit(0)).alias(n) for n in kinds))
     return counted.where("__req = 0").select(*requests.columns, *kinds)
+
+
+def operations_summary(held: DataFrame, queue: DataFrame, checks: DataFrame, trail: DataFrame) -> DataFrame:
+    """(section, measure, key, n): what other jobs wrote, counted; each section is one partial aggregate.
+
+    quarantine: rows of held(entity, issues) by entity, and their issues of HIGH or CRITICAL severity by code. review: rows of
+    queue(review_status, entity_type) by status (blank: pending) and by entity. evidence: rows of checks(instrument_id, verdict, access) by the
+    family that an id's prefix names, by family and verdict (blank: no_verdict), and by family and access (blank: unknown).
+    trail: rows of trail(action, file, decided_on) by action and by file, and the distinct days.
+    """
+    s = lambda c, blank="": F.when(F.trim(F.coalesce(F.col(c).cast("string"), F.lit(""))) == "", F.lit(blank)).otherwise(F.trim(F.col(c).cast("string")))
+
+    def section(df: DataFrame, name: str, measures: dict[str, Column]) -> DataFrame:
+        each = df.select(F.explode(F.array(*(F.struct(F.lit(m).alias("measure"), k.alias("key")) for m, k in measures.items()))).alias("m"))
+        return each.groupBy(F.lit(name).alias("section"), "m.measure", "m.key").agg(F.count("*").alias("n"))
+
+    blocking = held.select(F.explode("issues").alias("i")).where(F.col("i.severity").isin("HIGH", "CRITICAL")).select("i.code")
+    prefix = F.split(s("instrument_id"), ":")[0]
+    family = F.when(prefix == "mn", "Moratorium Nation").when(prefix == "sabin", "Sabin").when(prefix == "nrel", "NREL").when(prefix == "queue", "review queue").otherwise("other")
+    parts = [
+        section(held, "quarantine", {"by_entity": s("entity")}),
+        section(blocking, "quarantine", {"by_blocking_code": F.col("code")}),
+        section(queue, "review", {"by_status": s("review_status", "pending"), "by_entity": s("entity_type")}),
+        section(checks, "evidence", {"checked": family, "verdict": F.concat_ws("/", family, s("verdict", "no_verdict")), "access": F.concat_ws("/", family, s("access", "unknown"))}),
+        section(trail, "trail", {"by_action": s("action"), "by_file": s("file")}),
+        trail.select(s("decided_on").alias("d")).where("d <> ''").agg(F.count_distinct("d").alias("n")).select(F.lit("trail").alias("section"), F.lit("days").alias("measure"), F.lit("").alias("key"), "n"),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out

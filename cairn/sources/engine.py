@@ -27,3 +27,23 @@ class Engine:
 
     def shown(self, text: str) -> DataFrame:
         return self.sql(text).limit(SHOWN)
+
+
+def ship(spark: SparkSession) -> None:
+    """Let the Python workers of a cluster import this package: a zip of it goes to every executor, once a session."""
+    import tempfile
+    import zipfile
+    from pathlib import Path
+
+    import cairn
+
+    context, root = spark.sparkContext, Path(cairn.__file__).resolve().parent
+    if getattr(context, "_cairn_shipped", False):
+        return
+    # made by the driver and served by it: executors fetch it, nobody reads this path
+    target = Path(tempfile.mkdtemp(prefix="cairn-")) / "cairn.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for file in sorted(root.rglob("*.py")):
+            archive.write(file, file.relative_to(root.parent))
+    context.addPyFile(str(target))
+    context._cairn_shipped = True

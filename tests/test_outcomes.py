@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cairn.functions import scalars as S
-from cairn.operators import cost, matching, sets
+from cairn.operators import cost, matching, promotion, sets
 from cairn.operators import outcomes as O
 
 
@@ -110,3 +110,44 @@ def test_a_registry_with_gaps(spark, anchors):
     got = {(r.anchor_id, r.problem) for r in cost.anchor_problems(anchors.where("anchor_id <> 'predevelopment_share'").unionByName(bad)).collect()}
     assert got == {("capex_per_mw", "needs 0 <= value_low <= value_high"), ("capex_per_mw", "confidence must be published or assumption"), ("capex_per_mw", "reverify_by must be a day"), ("capex_per_mw", "duplicate id"), ("x", "published anchor needs a source_url"), *((f"predevelopment_share_{t}", "missing") for t in ("solar", "wind", "battery_storage"))}
     assert cost.anchor_problems(anchors).count() == 0
+
+
+QUEUE = "queue_id int, access string, mechanisms string, technology string, status string, end_date string, severity_score string, mechanism_detail string, description string, state string, source_url string"
+
+
+def queued(spark, *rows):
+    base = {"access": "opened", "mechanisms": "setback", "technology": "wind", "status": "active", "end_date": "", "severity_score": "", "mechanism_detail": "", "description": "d", "state": "VA", "source_url": "https://a.org"}
+    return spark.createDataFrame([(k, *(base | given).values()) for k, given in enumerate(rows)], QUEUE)
+
+
+def test_promotion_says_what_is_missing(spark):
+    cases = [
+        ({}, None), ({"access": "snippet"}, "access is snippet; the source has to be opened or archived first"), ({"mechanisms": "setback; fence"}, "unknown mechanism(s) fence"), ({"mechanisms": " ; "}, "mechanisms is blank"), ({"status": "lifted"}, "status lifted: the instrument is no longer in force"),
+        ({"end_date": "2024"}, "end_date must be YYYY-MM or YYYY-MM-DD"), ({"technology": "wind; hydro"}, "technology must be among solar, wind, battery_storage"), ({"technology": "solar;wind", "mechanisms": "ban (wind)"}, "no mechanism applies to solar"),
+        ({"severity_score": "4"}, "typed severity_score 4 conflicts with the computed 2 for wind"), ({"state": " ", "source_url": "a.org"}, "missing state, source_url (not http(s))"), ({"status": None}, "status '' is not one of the vocabulary"),
+    ]
+    got = {r.queue_id: r.problem for r in promotion.judged(queued(spark, *(c for c, _ in cases))).collect()}
+    assert got == {k: p for k, (_, p) in enumerate(cases)}
+
+
+def test_each_technology_is_scored_on_its_own_mechanisms(spark):
+    rows = promotion.promoted(queued(spark, {"technology": "solar; battery_storage;wind", "mechanisms": "setback; ban (storage); height limit (wind+solar)", "mechanism_detail": "1,200 feet"})).collect()
+    assert {r.technology: (r.restriction_type, r.severity_score, r.mechanisms) for r in rows} == {"solar": ("setback", 3, "setback, height limit (wind+solar)"), "battery_storage": ("ban", 4, "setback, ban (storage)"), "wind": ("height_limit", 3, "setback, height limit (wind+solar)")}
+
+
+def test_promoting_again_changes_only_what_changed(spark):
+    seeds = promotion.promoted(queued(spark, {}, {"technology": "wind;solar"}, {}, {}))
+    later = queued(spark, {"mechanisms": "ban"}, {"technology": "solar;battery_storage"}, {"status": "expired"}, {"access": "snippet", "mechanisms": "ban"})
+    got = {(r.queue_id, r.technology, r.kind, r.column) for r in promotion.resynced(seeds, later).collect()}
+    assert {(q, t, k) for q, t, k, _ in got} == {(0, "wind", "changed"), (1, "wind", "removed"), (1, "battery_storage", "added"), (2, "wind", "removed")}
+    assert {c for q, _, _, c in got if q == 0} == {"restriction_type", "severity_score", "severity_basis", "mechanisms"}
+
+
+def test_negative_and_adjacency_worklists(spark):
+    requests = spark.createDataFrame([(1, "2024-01-01"), (1, "2024-02-01"), (2, "2024-01-01"), (3, "2024-01-01"), (4, "2024-01-01"), (None, "2024-01-01")], "node int, day string")
+    checks = spark.createDataFrame([(2, "2024-03-01"), (2, "2020-01-01"), (3, "2022-01-01")], "node int, checked_on string")
+    got = O.negative_worklist(requests, checks, spark.createDataFrame([(4,)], "node int"), "2024-06-30").collect()
+    assert sorted((r.node, r.reason, r.requests, str(r.last_requested)) for r in got) == [(1, "no check on record", 2, "2024-02-01"), (3, "check of 2022-01-01 is stale (more than 365 days old)", 1, "2024-01-01")]
+    instruments = spark.createDataFrame([("a", 1, "2024-01-01"), ("b", 5, "2020-01-01"), ("c", 6, None)], "instrument_id string, node int, enacted string").withColumn("enacted", F.col("enacted").cast("date"))
+    edges = spark.createDataFrame([(1, 2), (1, 3), (1, 5), (5, 7), (6, 8)], "a int, b int")
+    assert [(r.node, r.instrument_id) for r in O.adjacency_worklist(instruments, edges, spark.createDataFrame([(3,)], "node int"), "2024-06-30").collect()] == [(2, "a")]

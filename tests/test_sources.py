@@ -111,3 +111,20 @@ def test_requests_and_feed(spark):
     assert sorted(r.url for r in readers.expand_requests(registry).collect()) == ["http://x/md?p=2", "http://x/va?p=1", "http://y"]
     feed = spark.createDataFrame([(1, "h1"), (1, "h2"), (2, "h1")], "id int, hash string")
     assert [(r.id, r.hash) for r in readers.unseen(feed, feed.where("hash = 'h1'"), ["id", "hash"]).collect()] == [(1, "h2")]
+
+
+def test_the_package_is_shipped_once(spark):
+    import subprocess
+    import sys
+
+    engine.ship(spark)
+    engine.ship(spark)
+    shipped = [f for f in spark.sparkContext._python_includes if f == "cairn.zip"]
+    assert len(shipped) == 1
+    path = next(f for f in spark.sparkContext.listFiles if f.endswith("cairn.zip"))
+    assert path
+    code = "import sys; sys.path.insert(0, sys.argv[1]); import cairn.operators.similar, cairn; print(cairn.__file__)"
+    from pyspark import SparkFiles
+
+    out = subprocess.run([sys.executable, "-c", code, SparkFiles.get("cairn.zip")], capture_output=True, text=True, cwd="/", env={})
+    assert "cairn.zip" in out.stdout, out.stderr
