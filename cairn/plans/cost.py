@@ -49,7 +49,7 @@ def slipped(mw: str, m0: str, m1: str) -> dict[str, tuple[str, str]]:
 
 
 def ends(name: str, values: tuple[str, str], when: str = "true") -> str:
-    return ", ".join(f"CASE WHEN {when} THEN CAST(round({v}) AS BIGINT) END AS {name}_{end}" for v, end in zip(values, ("low", "high"), strict=True))
+    return ", ".join(f"CASE WHEN {when} THEN CAST(round_even({v}, 0) AS BIGINT) END AS {name}_{end}" for v, end in zip(values, ("low", "high"), strict=True))
 
 
 _S = slipped("mw", "(low / 30.44::DOUBLE)", "(high / 30.44::DOUBLE)")
@@ -103,7 +103,7 @@ def _varied(base: str) -> str:
     name = f"'{base}'" if base in _SHARED else f"'{base}_' || tech"
     kind = "published" if base.startswith("c") else "assumption"
     low, high = (f"(SELECT tech, {delay} AS v FROM (SELECT tech, {at[end]} FROM n))" for end in (0, 1))
-    return f"SELECT tech AS technology, {name} AS anchor_id, '{kind}' AS confidence, CAST(round(a.v) AS BIGINT) AS delay_cost_at_anchor_low, CAST(round(b.v) AS BIGINT) AS delay_cost_at_anchor_high, CAST(round(abs(b.v - a.v)) AS BIGINT) AS swing FROM {low} a JOIN {high} b USING (tech) WHERE {where}"
+    return f"SELECT tech AS technology, {name} AS anchor_id, '{kind}' AS confidence, CAST(round_even(a.v, 0) AS BIGINT) AS delay_cost_at_anchor_low, CAST(round_even(b.v, 0) AS BIGINT) AS delay_cost_at_anchor_high, CAST(round_even(abs(b.v - a.v), 0) AS BIGINT) AS swing FROM {low} a JOIN {high} b USING (tech) WHERE {where}"
 
 
 @query(f"WITH {RATES} " + " UNION ALL ".join(map(_varied, _IDS)))
