@@ -45,5 +45,5 @@ def test_a_long_text_of_one_word_is_split_once(spark):
     bench = spark.createDataFrame([(1, "ha " * 20), (2, "ha x " * 7), (2, "other words " * 7), (3, "ha")], "item_id long, text string")
     began = time.time()
     got = sorted((r.doc_id, r.item_id, r.n_matched, r.doc_start) for r in decontam.contaminated(docs, bench).collect())
-    assert got == [(1, 1, 20, 0), (1, 3, 1, 0), (2, 1, 19, 1), (2, 3, 1, 1), (3, 2, 14, 0), (3, 3, 1, 0)]
+    assert got == [(1, 1, 20, 0), (1, 3, 1, 0), (2, 1, 19, 0), (2, 3, 1, 1), (3, 2, 14, 0), (3, 3, 1, 0)]
     assert time.time() - began < 120
