@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from cairn.operators.windows import running_sum
+from cairn.sources.scratch import cut_lineage
+
 
 def asof_value(left: DataFrame, right: DataFrame, keys: list[str], left_at: str, right_at: str, value: str, *, lag: str | None = None, tie: str | None = None, out: str = "value") -> DataFrame:
     """For each left row the last right value of its key at or before its time less ``lag``.
@@ -63,10 +68,90 @@ def margin_match(scored: DataFrame, left_id: str, right_id: str, score: str, mar
     """
     order = W.partitionBy(left_id).orderBy(F.desc(score), right_id)
     ranked = scored.withColumn("__rn", F.row_number().over(order)).withColumn("__next", F.lead(score).over(order)).where("__rn = 1")
-    leads = F.coalesce(F.col(score) - F.col("__next") >= margin, F.lit(True))
-    claims = F.count(F.when(leads, 1)).over(W.partitionBy(right_id))
-    status = F.when(~leads, "ambiguous_margin").when(claims > 1, "ambiguous_claim").otherwise("matched")
-    return ranked.select(left_id, F.col(right_id).alias("best_id"), F.col(score).alias("best_score"), status.alias("status"))
+    return _claimed(ranked.select(left_id, F.col(right_id).alias("best_id"), F.col(score).alias("best_score"), "__next"), margin).drop("__next")
+
+
+def _claimed(best: DataFrame, margin: float) -> DataFrame:
+    """``best(…, best_id, best_score, __next)`` with status; __next is the score of the second candidate."""
+    leads = F.coalesce(F.col("best_score") - F.col("__next") >= margin, F.lit(True))
+    claims = F.count(F.when(leads, 1)).over(W.partitionBy("best_id"))
+    return best.withColumn("status", F.when(~leads, "ambiguous_margin").when(claims > 1, "ambiguous_claim").otherwise("matched"))
+
+
+def _finite(c: str) -> Column:
+    return F.coalesce(~F.isnan(c) & (F.abs(c) < float("inf")), F.lit(False))
+
+
+def _two_best(entries: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, score, n, first, __next): the highest score of entries(keys, score, n, first), null ones last, its candidates and their smallest id, and the score after it."""
+    each = entries.groupBy(*keys, "score").agg(F.sum("n").alias("n"), F.min("first").alias("first"))
+    order = W.partitionBy(*keys).orderBy(F.desc("score"))
+    second = F.when(F.col("n") > 1, F.col("score")).otherwise(F.lead("score").over(order))
+    return each.withColumns({"__next": second, "__rn": F.row_number().over(order)}).where("__rn = 1").drop("__rn")
+
+
+def nearest_margin(left: DataFrame, right: DataFrame, block: str, left_id: str, right_id: str, left_value: str, right_value: str, score: Callable[[Column, Column], Column], margin: float) -> DataFrame:
+    """J15 for a score that never rises with the distance of two numbers: ``margin_match`` over all pairs of a block, without making them.
+
+    The distinct values of both sides are put in one global order, cut into ranges. The two values below and the two above
+    hold the best and the second score, found by their place. Where values further on round to the best score as well, the smallest
+    id among them comes from minima over runs of 1, 2, 4, … values, so many equal scores cost steps and no pairs. Values that have
+    no place in the order (null, NaN, infinite) are a few per block and are scored with all of them.
+    """
+    values = right.where(F.col(block).isNotNull()).groupBy(F.col(block).alias("block"), F.col(right_value).cast("double").alias("v")).agg(F.count("*").alias("n"), F.min(right_id).alias("first"))
+    wanted = left.where(F.col(block).isNotNull()).select(F.col(block).alias("block"), F.col(left_value).cast("double").alias("s")).distinct()
+    both = values.where(_finite("v")).withColumn("is_left", F.lit(0)).unionByName(wanted.where(_finite("s")).select("block", F.col("s").alias("v"), F.lit(1).alias("is_left")), allowMissingColumns=True)
+    placed = cut_lineage(running_sum(both, [F.col("block"), F.col("v"), F.col("is_left")], 1 - F.col("is_left"), "at").drop("__n"))
+    there = placed.where("is_left = 0").select("at", "block", "v", "n", "first")
+    here = placed.where("is_left = 1").select("block", F.col("v").alias("s"), "at")
+    scored = lambda df: df.withColumn("score", score(F.col("s"), F.col("v")))
+    near = here.withColumnRenamed("at", "__at").withColumn("k", F.explode(F.array(*map(F.lit, (-2, -1, 0, 1))))).withColumn("at", F.col("__at") + F.col("k"))
+    near = cut_lineage(scored(near.join(there, ["at", "block"])).select("block", "s", "__at", "k", "score", "n", "first"))
+    odd, any_ = values.where(~_finite("v")), wanted.where(~_finite("s"))
+    entries = near.unionByName(scored(wanted.where(_finite("s")).join(odd, "block")), allowMissingColumns=True).unionByName(scored(any_.join(values, "block")), allowMissingColumns=True).select("block", "s", "score", "n", "first")
+    best = cut_lineage(_two_best(entries, ["block", "s"]))
+    # values beyond the two of a side are looked at only where the outer one of these has the best score
+    outer = near.where("k IN (-2, 1)").join(best.select("block", "s", F.col("score").alias("best")), ["block", "s"]).where("score = best")
+    walks = outer.select("block", "s", "best", F.when(F.col("k") < 0, -1).otherwise(1).alias("side"), (F.col("__at") + F.when(F.col("k") < 0, -3).otherwise(2)).alias("at"))
+    more = _smallest_along(there, walks.withColumn("at", F.col("at") * F.col("side")), score)
+    best = best.join(more.groupBy("block", F.col("s").alias("__s")).agg(F.min("least").alias("least")).withColumnRenamed("block", "__b"), (F.col("block") == F.col("__b")) & (F.col("s") == F.col("__s")), "left")
+    best = best.select(F.col("block").alias("__block"), "s", "score", "n", F.least("first", "least").alias("first"), "__next")
+    met = left.join(best, (F.col(block) == F.col("__block")) & F.col(left_value).cast("double").eqNullSafe(F.col("s"))).select(left_id, "score", "n", "first", "__next")
+    # rows of one id stand for it together
+    seconds = met.where("n = 1 AND __next IS NOT NULL").select(left_id, F.col("__next").alias("score"), F.lit(1).cast("long").alias("n"), F.lit(None).cast(met.schema["first"].dataType).alias("first"))
+    found = _two_best(met.drop("__next").unionByName(seconds), [left_id])
+    return _claimed(found.select(left_id, F.col("first").alias("best_id"), F.col("score").alias("best_score"), "__next"), margin).drop("__next")
+
+
+def _smallest_along(there: DataFrame, walks: DataFrame, score: Callable[[Column, Column], Column]) -> DataFrame:
+    """(block, s, least): for each of walks(block, s, best, side, at) the smallest ``first`` of the values that follow from place ``at`` on and have the score ``best``.
+
+    Runs of 1, 2, 4, … values with their smallest id and last value are made while some walk passes a whole run, then walked in
+    shorter and shorter ones. Side -1 counts places downwards.
+    """
+    walks = cut_lineage(walks.withColumn("least", F.lit(None).cast(there.schema["first"].dataType)))
+    if walks.isEmpty():
+        return walks.select("block", "s", "least")
+    sides = there.withColumn("side", F.explode(F.array(F.lit(-1), F.lit(1)))).join(walks.select("block").distinct(), "block", "left_semi")
+    level = cut_lineage(sides.select("block", "side", (F.col("at") * F.col("side")).alias("at"), F.col("first").alias("run"), F.col("v").alias("end")))
+    levels = []
+
+    def step(runs: DataFrame, length: int) -> DataFrame:
+        passed = F.coalesce(score(F.col("s"), F.col("end")) == F.col("best"), F.lit(False))
+        met = walks.join(runs, ["block", "side", "at"], "left").withColumn("passed", passed)
+        return cut_lineage(met.select("block", "s", "best", "side", (F.col("at") + F.when(F.col("passed"), length).otherwise(0)).alias("at"), F.when(F.col("passed"), F.least("least", "run")).otherwise(F.col("least")).alias("least"), "passed"))
+
+    while True:
+        levels.append(level)
+        walked = step(level, 1 << (len(levels) - 1))
+        walks = walked.drop("passed")
+        if walked.where("passed").isEmpty():
+            break
+        after = level.select("block", "side", (F.col("at") - (1 << (len(levels) - 1))).alias("at"), F.col("run").alias("__run"), F.col("end").alias("__end"))
+        level = cut_lineage(level.join(after, ["block", "side", "at"]).select("block", "side", "at", F.least("run", "__run").alias("run"), F.col("__end").alias("end")))
+    for k in reversed(range(len(levels) - 1)):
+        walks = step(levels[k], 1 << k).drop("passed")
+    return walks.select("block", "s", "least")
 
 
 def overlay(base: DataFrame, review: DataFrame, key: str, columns: list[str], gate: Column, newest: list[str]) -> DataFrame:

@@ -51,6 +51,20 @@ def test_margin_and_claims(spark):
     assert got(joins.margin_match(df, "l", "r", "s", 0.1).select("l", "status")) == [(1, "matched"), (2, "ambiguous_margin"), (3, "ambiguous_claim"), (4, "ambiguous_claim")]
 
 
+def test_nearest_margin_gives_what_all_pairs_give_without_making_them(spark):
+    odd = [None, float("nan"), float("inf"), float("-inf")]
+    left = frame(spark, "l long, b int, x double", *[(k, k % 4, (k * 37 % 101) * 0.7) for k in range(60)], *[(100 + k, k % 2, v) for k, v in enumerate([*odd, *odd, 1e9, -1e9, 1e9, 5000.0])], (200, 1, 3.0), (200, 1, 55.5), (201, 7, 1.0), (202, None, 1.0), (203, 5, 1.0), (204, 6, 2.0))
+    right = frame(spark, "r long, b int, y double", *[((k * 61) % 211, k % 4, (k * 53 % 97) * 0.9) for k in range(211)], *[(300 + k, 0, v) for k, v in enumerate([*odd, None])], (400, 5, None), (401, 5, None), (402, 6, 1.5), (403, 6, None), (404, None, 1.0), (405, 1, 4.0), (406, 1, 4.0))
+    score = lambda s, c: F.round(1 / (1 + F.abs(s - c)), 4)
+    pairs = left.join(right, "b").select("l", "r", score(F.col("x"), F.col("y")).alias("s"))
+    found = joins.nearest_margin(left, right, "b", "l", "r", "x", "y", score, 0.001)
+    assert sorted(map(str, found.collect())) == sorted(map(str, joins.margin_match(pairs, "l", "r", "s", 0.001).collect()))
+    crowd = spark.range(20_000).select(F.col("id").alias("r"), F.lit(1).alias("b"), (F.col("id") % 40).cast("double").alias("y"))
+    many = spark.range(20_000).select(F.col("id").alias("l"), F.lit(1).alias("b"), (1e9 + F.col("id") % 7_000).alias("x"))
+    # 400 million pairs, all of score 0
+    assert got(joins.nearest_margin(many, crowd, "b", "l", "r", "x", "y", score, 0.001).groupBy("best_id", "best_score", "status").count()) == [(0, 0.0, "ambiguous_margin", 20_000)]
+
+
 def test_overlay_is_gated_and_takes_the_newest(spark):
     base = frame(spark, "k int, v string", (1, "a"), (2, "b"), (3, "c"))
     review = frame(spark, "k int, v string, d int, access string", (1, "x", 1, "opened"), (1, "y", 2, "opened"), (2, "z", 1, "none"), (9, "q", 1, "opened"))
