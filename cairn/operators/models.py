@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cairn.operators.scoring import pair_auc
+from cairn.sources.scratch import cut_lineage
 
 
 def learner(kind: str, columns: list[str], *, reg: float = 0.01, l1: float = 0.0, degree: int = 1, seed: int = 7) -> Pipeline:
@@ -39,8 +40,8 @@ def fold_of(key: Column, folds: int, repeat: int = 0) -> Column:
 
 
 def cross_predict(df: DataFrame, columns: list[str], label: str, key: Column, *, folds: int = 5, kind: str = "logistic", **options) -> DataFrame:
-    """M2, M5: out-of-fold predictions p."""
-    rows = df.withColumn("label", F.col(label).cast("double")).withColumn("fold", fold_of(key, folds))
+    """M2, M5: out-of-fold predictions p. A fit reads its rows many times, so they are written once and what made them isn't done again."""
+    rows = cut_lineage(df.withColumn("label", F.col(label).cast("double")).withColumn("fold", fold_of(key, folds)))
     out = None
     for k in range(folds):
         part = predict(learner(kind, columns, **options).fit(rows.where(F.col("fold") != k)), rows.where(F.col("fold") == k)).select(*df.columns, "fold", "p")
@@ -50,7 +51,7 @@ def cross_predict(df: DataFrame, columns: list[str], label: str, key: Column, *,
 
 def forward_holdout(df: DataFrame, columns: list[str], label: str, year: str, cut: int, **options) -> DataFrame:
     """M5: fitted on years before the cut only, predicted for the rest."""
-    rows = df.withColumn("label", F.col(label).cast("double"))
+    rows = cut_lineage(df.withColumn("label", F.col(label).cast("double")))
     return predict(learner(options.pop("kind", "logistic"), columns, **options).fit(rows.where(F.col(year) < cut)), rows.where(F.col(year) >= cut)).select(*df.columns, "p")
 
 
@@ -67,7 +68,7 @@ def recalibrate(df: DataFrame, p: str, label: str, key: Column, folds: int = 5)
 
 def stable_columns(df: DataFrame, columns: list[str], label: str, key: Column, folds: int = 5) -> list[str]:
     """M3: columns whose coefficient keeps its sign in every fold."""
-    rows = df.withColumn("label", F.col(label).cast("double")).withColumn("fold", fold_of(key, folds))
+    rows = cut_lineage(df.withColumn("label", F.col(label).cast("double")).withColumn("fold", fold_of(key, folds)))
     found = [learner("logistic", columns).fit(rows.where(F.col("fold") != k)).stages[-1].coefficients.toArray() for k in range(folds)]
     return [c for i, c in enumerate(columns) if len({f[i] > 0 for f in found}) == 1]
 

@@ -99,3 +99,10 @@ def test_models_dont_leak(spark):
     later = models.forward_holdout(df, ["x", "z"], "y", "year", 2007)
     assert later.where("year < 2007").count() == 0 and models.auc(later, "y") > 0.85
     assert "x" in models.stable_columns(df, ["x", "z"], "y", F.col("id"), 3)
+
+
+def test_fits_read_their_rows_from_a_table_and_not_through_what_made_them(spark):
+    df = spark.range(300).select("id", (F.col("id") % 7 > 2).cast("int").alias("y"), (F.col("id") % 7 + F.col("id") % 3).cast("double").alias("x")).groupBy("id", "y").agg(F.max("x").alias("x"))
+    made = models.cross_predict(df, ["x"], "y", F.col("id"), folds=2)
+    assert "Aggregate" in df._jdf.queryExecution().toString() and "Aggregate" not in made._jdf.queryExecution().toString()
+    assert made.count() == 300
