@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cairn.operators.windows import running_sum
+from cairn.operators.windows import numbered, running_sum
 from cairn.sources.scratch import cut_lineage
 
 #: A fit has settled when no coefficient moves by more than this.
@@ -31,14 +31,16 @@ def stratified_folds(df: DataFrame, key: Column, label: str, folds: int, repeats
     same number of them, give or take one, on every engine. The order is global and cut into ranges. Keys are distinct
     and not null.
     """
-    keyed = cut_lineage(df.withColumn("__key", key.cast("string")))
+    keyed = cut_lineage(df.withColumn("__key", key))
     runs = keyed.select("__key", F.col(label).alias("__y"), F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("__repeat"))
-    runs = runs.withColumn("__hash", F.md5(F.concat_ws(":", F.lit(seed), F.col("__repeat").cast("string"), "__key")))
-    placed = cut_lineage(running_sum(runs, [F.col("__repeat"), F.col("__y"), F.col("__hash"), F.col("__key")], F.lit(1)))
+    hashed = F.md5(F.concat_ws(":", F.lit(seed), F.col("__repeat").cast("string"), F.col("__key").cast("string")))
+    placed = numbered(runs, ["__repeat", "__y", "__hash", F.col("__key").cast("string")], {"__hash": hashed})
     first = placed.groupBy(F.col("__repeat").alias("__r"), F.col("__y").alias("__label")).agg(F.min("__below").alias("__first"))
     # one row per repeat and label
     dealt = placed.join(F.broadcast(first), (F.col("__repeat") == F.col("__r")) & F.col("__y").eqNullSafe(F.col("__label"))).select("__key", "__repeat", ((F.col("__below") - F.col("__first")) % folds).cast("int").alias("__fold"))
-    arrays = dealt.groupBy("__key").agg(F.transform(F.array_sort(F.collect_list(F.struct("__repeat", "__fold"))), lambda s: s["__fold"]).alias("folds"))
+    # a repeat's fold is a column of its own until it is joined: no list travels
+    each = dealt.groupBy("__key").agg(*(F.max(F.when(F.col("__repeat") == r, F.col("__fold"))).alias(f"__f{r}") for r in range(repeats)))
+    arrays = each.select("__key", F.array(*(f"__f{r}" for r in range(repeats))).alias("folds"))
     return keyed.join(arrays, "__key").drop("__key")
 
 
@@ -264,7 +266,21 @@ def select(rows: DataFrame, pool: list[str], key: str, *, grid: tuple[float, ...
     return Selection(found, chosen, cost, chosen is None or cost > alarm_at)
 
 
-def out_of_fold(rows: DataFrame, names: list[str], key: str, *, c: float, folds: int, repeats: int) -> DataFrame:
-    """M2: (key, y, p): the mean over repeats of what the models that left a row out say of it."""
+def out_of_fold(rows: DataFrame, names: list[str], key: str, *, c: float, folds: int, repeats: int, others: tuple[str, ...] = ()) -> DataFrame:
+    """M2: (key, others, y, p): the mean over repeats of what the models that left a row out say of it; ``others`` are columns kept beside the key."""
     models = fit(rows, names, [Model(tuple(names), c, r, f) for r in range(repeats) for f in range(folds)])
-    return held_out(rows, names, models, key).groupBy(key, "y").agg(F.avg("p").alias("p"))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # all repeats of a row are at hand with it, so nothing is gathered by key
+        for frame in frames:
+            part = Rows(frame, names)
+            total = np.zeros(len(frame))
+            for m in models:
+                mask = part.mask(m, test=True)
+                if mask.any():
+                    total[mask] += probability(part.design(m, mask), m.beta)
+            yield pd.DataFrame({**{k: frame[k] for k in kept}, "y": part.y.astype(int), "p": total / repeats})
+
+    kept = [key, *others]
+    shape = ", ".join(f"{k} {rows.schema[k].dataType.simpleString()}" for k in kept)
+    return rows.select(*kept, *(n for n in names if n not in kept), "y", "folds").mapInPandas(run, f"{shape}, y int, p double")

@@ -46,8 +46,8 @@ def q_model_folds(t):
     at = F.row_number().over(W.partitionBy("l_orderkey").orderBy(*TIES))
     lines = t.lineitem.select("l_orderkey", "l_linenumber", (F.col("l_orderkey") * 1000000 + at).alias("id"), (F.col("l_returnflag") == "R").cast("int").alias("y"), "l_quantity", "l_extendedprice", "l_discount")
     rows = selection.cut_lineage(selection.stratified_folds(lines, F.col("id"), "y", FOLDS, REPEATS))
-    p = selection.out_of_fold(rows, ["l_quantity", "l_extendedprice", "l_discount"], "id", c=C, folds=FOLDS, repeats=REPEATS)
-    return rows.select("id", "l_orderkey", "l_linenumber", "y").join(p.select("id", "p"), "id").select("l_orderkey", "l_linenumber", "y", F.round("p", 6).alias("p"))
+    p = selection.out_of_fold(rows, ["l_quantity", "l_extendedprice", "l_discount"], "id", c=C, folds=FOLDS, repeats=REPEATS, others=("l_orderkey", "l_linenumber"))
+    return p.select("l_orderkey", "l_linenumber", "y", F.round("p", 6).alias("p"))
 
 
 @query()

@@ -117,3 +117,21 @@ def test_an_alarm_is_raised_by_cost_and_for_want_of_a_stable_round(rows):
     even = rows.withColumn("noise", F.pmod(F.hash("k"), F.lit(2)) * 0.0 + F.when(F.col("folds")[0] < 2, F.col("y")).otherwise(1 - F.col("y")))
     shaky = S.select(even, ["noise"], "k", grid=(1.0,), folds=4, repeats=1)
     assert shaky.chosen is None and shaky.cost is None and shaky.alarm and not shaky.rounds[0].stable
+
+
+def test_predictions_of_all_repeats_are_met_without_an_exchange(spark):
+    df = spark.range(90).select(F.col("id").alias("k"), (F.col("id") % 10).alias("g"), (F.col("id") % 3 == 0).cast("int").alias("y"), F.sin("id").alias("x"))
+    rows = S.cut_lineage(S.stratified_folds(df, F.col("k"), "y", 3, 2))
+    models = S.fit(rows, ["x"], [S.Model(("x",), 1.0, r, f) for r in range(2) for f in range(3)])
+    wanted = S.held_out(rows, ["x"], models, "k").groupBy("k").agg(F.round(F.avg("p"), 9).alias("p"))
+    found = S.out_of_fold(rows, ["x"], "k", c=1.0, folds=3, repeats=2, others=("g",))
+    assert "Exchange" not in found._jdf.queryExecution().toString()
+    assert sorted(found.select("k", F.round("p", 9).alias("p")).collect()) == sorted(wanted.collect()) and found.where("g <> k % 10").count() == 0
+
+
+def test_numbers_of_rows_follow_the_order_over_all_ranges(spark):
+    df = spark.range(1000).repartition(7).select("id", F.md5(F.col("id").cast("string")).alias("h"))
+    found = S.numbered(df.select("id"), [F.col("id") % 2, "h", F.desc("id")], {"h": F.md5(F.col("id").cast("string"))}).collect()
+    hashes = {r.id: r.h for r in df.collect()}
+    wanted = sorted(hashes, key=lambda i: (i % 2, hashes[i]))
+    assert [r.id for r in sorted(found, key=lambda r: r["__below"])] == wanted and {r["__n"] for r in found} == {1000} and {r["__below"] for r in found} == set(range(1000))
