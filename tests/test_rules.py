@@ -96,3 +96,34 @@ def test_distances_and_names_in_hand_made_texts(spark):
     assert [tuple(r) for r in s.collect()] == [(2640.0, 1.1, 45.0), (500.0, 0.0, 0.0), (300.0, 0.0, 0.0), (0.0, 0.0, 0.0)]
     names = spark.createDataFrame([("Blue Ridge Wind Farm", "Ridge Blue Solar LLC"), ("Garrison Buje", "Garrison Bute"), ("Prairie", "Ocean"), (None, "Ocean")], "a string, b string")
     assert [(round(r.score, 6) if r.score else None, r.basis) for r in R.name_scores(names, "a", "b").collect()] == [(1.0, "name"), (0.923077, "spelling"), (None, None), (None, None)]
+
+
+def test_every_match_of_a_concern_holds_one_of_its_pieces(spark):
+    import itertools
+    import re
+    from re import _parser as parser
+
+    def said(part):
+        """Texts that a pattern matches, all branches of it and each repeat at its least and once more."""
+        kinds = []
+        for op, value in part:
+            name = str(op)
+            if name == "LITERAL":
+                kinds.append([chr(value)])
+            elif name == "BRANCH":
+                kinds.append([x for b in value[1] for x in said(b)])
+            elif name == "SUBPATTERN":
+                kinds.append(said(value[-1]))
+            elif name == "MAX_REPEAT":
+                kinds.append([x for n in (value[0], value[0] + 1) for x in map("".join, itertools.product(said(value[2]), repeat=n))])
+            elif name == "IN":
+                kinds.append(["q"])
+            else:
+                assert name == "AT"
+        return ["".join(x) for x in itertools.product(*kinds)]
+
+    assert set(R.CONCERN_PIECES) == set(R.CONCERNS)
+    texts = [(n, x) for n, p in R.CONCERNS.items() for x in said(parser.parse(p))]
+    assert all(re.search(R.CONCERNS[n], x) and any(piece in x for piece in R.CONCERN_PIECES[n]) for n, x in texts)
+    found = spark.createDataFrame(texts, "n string, text string").select("n", "text", R.concerns(F.upper("text")).alias("tags")).collect()
+    assert [(r.text, r.tags) for r in found] == [(r.text, [n for n, p in sorted(R.CONCERNS.items()) if re.search(p, r.text)]) for r in found]
