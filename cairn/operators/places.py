@@ -116,15 +116,17 @@ def named_spans(texts: DataFrame, gazetteer: DataFrame, longest: int = 3) -> Dat
     name go on to the next, so few of the words get beyond the first. Then each text's matches are read in order and a match
     that starts before the end of the last one taken is passed over.
     """
-    tokens = F.filter(F.split(F.lower("text"), "[^a-z0-9]+"), lambda w: w != "")
-    reach = texts.select("text_id", tokens.alias("w"))
-    at = reach.select("text_id", F.posexplode(F.transform("w", lambda _, k: F.slice("w", k + 1, longest))).alias("start", "ahead"))
+    # a word's row has the words after it in columns of their own, so that no list is made for a word
+    words = [f"w{n}" for n in range(longest)]
+    reach = texts.select("text_id", F.array_remove(F.split(F.lower("text"), "[^a-z0-9]+"), "").alias("w0"))
+    ahead = F.arrays_zip("w0", *(F.slice("w0", n + 1, F.size("w0")).alias(f"w{n}") for n in range(1, longest)))
+    at = reach.where(F.size("w0") > 0).select("text_id", F.posexplode(ahead).alias("start", "ahead")).select("text_id", "start", *(F.col("ahead").getField(w).alias(w) for w in words))
     found = None
     for n, level in enumerate(name_trie(gazetteer, longest), 1):
-        at = at.where(F.size("ahead") >= n).withColumn("prefix", F.array_join(F.slice("ahead", 1, n), " ")).join(level, "prefix")
+        at = at.where(F.col(words[n - 1]).isNotNull()).withColumn("prefix", F.concat_ws(" ", *words[:n])).join(level, "prefix")
         here = at.where("places IS NOT NULL").select("text_id", F.struct("start", F.lit(n).alias("words"), "places", "place_id").alias("m"))
         found = here if found is None else found.unionByName(here)
-        at = at.where("goes_on").select("text_id", "start", "ahead")
+        at = at.where("goes_on").select("text_id", "start", *words)
     longest_here = found.groupBy("text_id", F.col("m.start").alias("start")).agg(F.max(F.struct(F.col("m.words").alias("words"), "m")).alias("best"))
     lists = longest_here.groupBy("text_id").agg(F.array_sort(F.collect_list("best.m")).alias("all"))
     empty = F.slice("all", 1, 0)

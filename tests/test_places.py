@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 
+from cairn.operators import places
 from cairn.operators.places import points_in_polygons, polygon_cells, ring_edges
 
 
@@ -46,3 +47,12 @@ def test_only_boundary_cells_hold_edges(spark):
     cells = polygon_cells(ring_edges(spark.createDataFrame(ring, "id int, ring int, n int, x double, y double")), 1.0)
     rows = cells.selectExpr("edges IS NULL AS whole", "coalesce(size(edges), 0) AS n").groupBy("whole").agg({"*": "count", "n": "max"}).collect()
     assert {r.whole: (r["count(1)"], r["max(n)"]) for r in rows} == {True: (98 * 98, 0), False: (4 * 99, 2)}
+
+
+def test_no_list_is_made_for_a_word_of_a_text(spark):
+    texts = spark.createDataFrame([(1, "New York City, and york; York City"), (2, "york"), (3, ""), (4, None), (5, "new")], "text_id int, text string")
+    names = spark.createDataFrame([("new york city", 7), ("york", 8), ("York", 9), ("york city", 8)], "name string, place_id int")
+    found = places.named_spans(texts, names, 3)
+    assert sorted(map(tuple, found.collect())) == [(1, 0, 3, 1, 7), (1, 4, 1, 2, 8), (1, 5, 2, 1, 8), (2, 0, 1, 2, 8)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode(arrays_zip" in plan and "explode(transform" not in plan
