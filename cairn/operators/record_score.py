@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cairn.operators.windows import deciles
+from cairn.sources.scratch import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -164,7 +165,8 @@ def record_scores(rows: DataFrame, places: DataFrame, projects: DataFrame, rules
     r = r or Rubric()
     county = F.coalesce(F.col("jurisdiction_type").isin(*r.county_types), F.lit(False))
     one = instruments(rows).withColumn("county_wide", county)
-    placed = rows.select("instrument_id", "node").distinct().join(one, "instrument_id").join(places.select("node", "state"), "node")
+    # read for the local score, the capped one and the counts: written once
+    placed = cut_lineage(rows.select("instrument_id", "node").distinct().join(one, "instrument_id").join(places.select("node", "state"), "node"))
     scored = lambda df: df.withColumn("points", instrument_points(r))
     bare = placed.withColumn("capped", F.lit(None).cast("array<struct<technology:string,severity:int>>"))
     worth = _weight(F.col("outcome"), r.outcomes)

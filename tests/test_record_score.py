@@ -62,3 +62,17 @@ def test_priors_tiers_and_bases(spark):
     assert (got[1].basis, got[1].tier, got[1].combined) == ("profile_only", "no_record", 17.5) and got[20].combined == 0 and got[20].profile_decile is None
     assert got[0].evidence_weight == 0.7 and got[0].combined == 29.75
     assert sorted(r.combined_decile for r in got.values()).count(10) == 2
+
+
+def test_instruments_are_gathered_once_for_both_scores(spark, monkeypatch):
+    written, cut = [], R.cut_lineage
+    monkeypatch.setattr(R, "cut_lineage", lambda df: written.append(df.columns) or cut(df))
+    kinds = "instrument_id long, seq long, node long, technology string, severity int, restriction_type string, currency string, jurisdiction_type string, jurisdiction string, verified boolean, term string, extensions int, months_in_force double, drafting string"
+    one = (1, 1, 5, "wind", 3, "ban", "in_force", "County", "J", True, "permanent", 0, 0.0, "")
+    rows = spark.createDataFrame([one], kinds)
+    places = spark.createDataFrame([(5, "S", 1.0, True, 0.0), (6, "S", 2.0, False, 0.0)], "node long, state string, profile double, checked boolean, organized double")
+    projects = spark.createDataFrame([], "node long, outcome string")
+    rules = spark.createDataFrame([], "state string, label string, technology string, ceiling int, binds string, bounds boolean")
+    found = R.record_scores(rows, places, projects, rules)
+    assert [(r.node, r.instruments) for r in found.orderBy("node").collect()] == [(5, 1), (6, 0)]
+    assert len(written) == 1 and "technologies" in written[0]
