@@ -81,3 +81,20 @@ def test_containing_joins_on_rare_words_only(spark):
     assert got == {k: round(v, 9) for k, v in share.items() if v >= 0.9}
     held = Counter(r.element for r in similar._rarest(frame(right, "r").where("size(words) > 30"), "r", "words", F.lit(3)).collect())
     assert not set(held) & set(common)
+
+
+def test_close_words_meet_by_few_keys_and_only_close_ones_travel(spark):
+    rng = random.Random(13)
+    syllables = ["an", "en", "er", "st", "the", "in", "on", "ing", "ei", "ch"]  # few letter pairs, so that any of them is common
+    made = sorted({"".join(rng.choices(syllables, k=rng.randint(1, 7))) for _ in range(400)} | {"x" * 400, "x" * 401 + "y", "é" * 9, "e" + "é" * 8})
+    one, two = made[::4], made
+    a, b = spark.createDataFrame([(x,) for x in one], "a string"), spark.createDataFrame([(x,) for x in two], "b string")
+    for distance in (0, 1, 2):
+        got = [(r.a, r.b) for r in similar.close_candidates(a, b, distance).collect()]
+        assert len(got) == len(set(got)) and set(got) == {(x, y) for x in one for y in two if abs(len(x) - len(y)) <= distance and edits(x, y) <= distance}
+    limits = similar.BROADCAST_ROWS
+    similar.BROADCAST_ROWS = 0
+    try:
+        assert sorted((r.a, r.b) for r in similar.close_candidates(a, b, 2).collect()) == sorted(got)
+    finally:
+        similar.BROADCAST_ROWS = limits
