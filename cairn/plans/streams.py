@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cairn.plans.base import query
 from cairn.plans.files import _fresh
-from cairn.streaming.attempts import run_attempts
+from cairn.streaming.attempts import buckets_for, run_attempts
 
 RUNS, RECHECK, MOST = 3, 3, 3
 
@@ -30,12 +30,12 @@ def q_attempt_log(t):
         F.concat(F.lit("u"), "user_id").alias("url"), F.col("event_id").alias("id"), F.col("ts").cast("timestamp").alias("at"), (F.col("user_id") % 11 == 0).alias("redirect"), (F.col("event_type") != "error").alias("answered"),
         ((F.col("event_type") == "purchase") & (F.col("event_id") % 7 == 0)).alias("found"), F.col("event_type").isin("click", "view").alias("saved"),
     )
-    first, last = lookups.agg(F.min("at"), F.max("at")).first()
+    first, last, addresses = lookups.agg(F.min("at"), F.max("at"), F.approx_count_distinct("url")).first()
     schema, source = lookups.schema, f"{folder}/in"
     lookups.limit(0).write.parquet(source)
     for run in range(RUNS if first else 0):
         after, until = first + (last - first) / RUNS * run, first + (last - first) / RUNS * (run + 1)
         within = (F.col("at") >= F.lit(after)) & ((F.col("at") < F.lit(until)) if run < RUNS - 1 else F.lit(True))
         lookups.where(within).write.mode("append").parquet(source)
-        run_attempts(t.spark.readStream.schema(schema).parquet(source), f"{folder}/out", f"{folder}/state", recheck_days=RECHECK, max_attempts=MOST).awaitTermination()
+        run_attempts(t.spark.readStream.schema(schema).parquet(source), f"{folder}/out", f"{folder}/state", recheck_days=RECHECK, max_attempts=MOST, buckets=buckets_for(addresses)).awaitTermination()
     return t.spark.read.schema("url string, at timestamp, status string, attempts int").parquet(f"{folder}/out") if first else t.spark.createDataFrame([], "url string, at timestamp, status string, attempts int")

@@ -1,6 +1,8 @@
 import datetime as dt
 
-from cairn.streaming.attempts import run_attempts
+import pandas as pd
+
+from cairn.streaming.attempts import Attempts, run_attempts
 
 SCHEMA = "url string, id int, at timestamp, redirect boolean, answered boolean, found boolean, saved boolean"
 
@@ -40,3 +42,56 @@ def test_equal_times_go_by_id_and_one_batch_overtakes_its_timers(spark, tmp_path
     run_attempts(spark.readStream.schema(SCHEMA).parquet(src), str(tmp_path / "out"), str(tmp_path / "state"), recheck_days=10, max_attempts=2).awaitTermination()
     assert sorted((r.at, r.status) for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [(day(0), "requested"), (day(10), "archived"), (day(10), "due")]
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider")
+
+
+class Handle:
+    """A state store that counts visits."""
+
+    def __init__(self):
+        self.value, self.timers, self.visits = None, set(), 0
+
+    def getValueState(self, name, schema):
+        return self
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        self.visits += 1
+        return self.value
+
+    def update(self, value):
+        self.visits, self.value = self.visits + 1, value
+
+    def registerTimer(self, at):
+        assert at not in self.timers
+        self.visits += 1
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.visits += 1
+        self.timers.remove(at)
+
+
+class Passed:
+    def __init__(self, at):
+        self.getCurrentWatermarkInMs = self.getExpiryTimeInMs = lambda: at
+
+
+def test_a_bucket_of_addresses_is_one_visit_to_the_store():
+    handle, job = Handle(), Attempts(10, 2)
+    job.init(handle)
+    micros = lambda n: int(day(n).replace(tzinfo=dt.UTC).timestamp()) * 1_000_000
+    frame = lambda rows: pd.DataFrame([(u, k, micros(n), False, True, found, True) for u, k, n, found in rows], columns=["url", "id", "at_us", "redirect", "answered", "found", "saved"])
+    out = pd.concat(job.handleInputRows((0,), iter([frame([(f"u{k}", k, k % 4, False) for k in range(400)]), frame([(None, 400, 0, False)])]), None))
+    assert len(out) == 401 and set(out["status"]) == {"requested"} and out["url"].isna().sum() == 1
+    assert handle.visits <= 4 and handle.timers == {micros(10) // 1000}
+    # two of four days have passed: their addresses are announced together, and the timer goes on to the next
+    handle.timers.clear()
+    due = pd.concat(job.handleExpiredTimer((0,), Passed(micros(11) // 1000), Passed(micros(10) // 1000)))
+    assert len(due) == 201 and set(due["status"]) == {"due"} and sorted(set(due["at_us"])) == [micros(10), micros(11)]
+    assert handle.timers == {micros(12) // 1000} and handle.visits <= 8
+    # a lookup overtakes the timer of one address, a copy ends another; the rest stay as they were
+    out = pd.concat(job.handleInputRows((0,), iter([frame([("u2", 500, 12, True), ("u1", 501, 12, True), ("u3", 502, 12, True)])]), None))
+    assert sorted(zip(out["url"], out["status"])) == [("u1", "archived"), ("u2", "archived"), ("u2", "due")]
+    assert handle.timers == {micros(12) // 1000} and len(handle.value[0]) == 401
