@@ -2,13 +2,15 @@
 
 Paragraphs become sparse indicators of the word uni- and bigrams known from licence notices; a
 multinomial logistic regression names the licence family or none, and a family counts only above a
-threshold calibrated on held-out paragraphs without licences, for a rate of false positives. Every line is scored as a paragraph;
+threshold calibrated on held-out paragraphs without licences, for a rate of false positives. All lines of the table take part. Every line is scored as a paragraph;
 as notices are often wrapped, lines with a word of notices are scored once more, joined with those around them up to a
 blank one. DataFrame and SQL functions only.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import CountVectorizerModel, NGram
 from pyspark.ml.functions import vector_to_array
@@ -68,17 +70,23 @@ TEMPLATES = (
     (UNKNOWN, "The fishing licence is granted free of charge by the national park."),
 )
 FAMILIES = (UNKNOWN, *sorted({f for f, _ in TEMPLATES} - {UNKNOWN}))
-#: Paragraphs of the corpus that stand for no licence in training: the ones with the smallest hashes.
-SAMPLE_ROWS = 3000
+#: What all lines of the corpus that stand for no licence weigh together in training; worn notices weigh one each.
+PLAIN_WEIGHT = 3000
+#: First words of a line that may stand beside a worn notice.
+HEAD = 20
+#: Steps between 0 and 1 in which the threshold is found.
+STEPS = 100_000
 #: Worn copies of every notice in training: each lacks about one word in eight, some stand among other words.
 COPIES = 24
 #: Share of a template's bigrams that a paragraph must hold.
 CONTAINED = 0.8
 #: Share of the held-out paragraphs without a licence that may pass the threshold.
 FALSE_POSITIVES = 0.005
-#: Sampled paragraphs with such a word or pair may be notices that no template words; they don't stand for no licence.
+#: Paragraphs with such a word or pair may be notices that no template words; they don't stand for no licence.
 CUE_WORDS = r"^(un|sub|re)?licen[cs](e|es|ed|ee|or|ing)$|^copyright(ed|s)?$|^copyleft$|^warrant(y|ies)$|^redistribut"
 CUE_PAIRS = ("rights reserved", "public domain")
+#: A line with a cue has one of these in lower case.
+CUE_PIECES = ("licen", "copyright", "copyleft", "warrant", "redistribut", "reserved", "domain")
 #: Lines before a line with such a word that may belong to its notice; twice as many may follow it.
 AROUND = 8
 WRAPPED = r"(?i)licen[cs]e|copyright|warrant|redistribut|permission|permitted|software|creative commons|public domain|rights reserved|apache\.org"
@@ -117,36 +125,74 @@ def vectorize(rows: DataFrame, vocabulary: list[str]) -> DataFrame:
     return CountVectorizerModel.from_vocabulary(vocabulary, inputCol="grams", outputCol="features", binary=True).transform(grams).drop("grams")
 
 
-def train(found: DataFrame, known: DataFrame) -> tuple[list[str], LogisticRegressionModel, float]:
-    """Vocabulary, model and threshold: the family probability that a share FALSE_POSITIVES of the held-out paragraphs without a licence reach."""
-    spark = found.sparkSession
+def vocabulary_of(known: DataFrame) -> list[str]:
+    """The uni- and bigrams of the notices, a few hundred."""
     real = known.where(F.col("family") != UNKNOWN)
-    vocabulary = sorted(r[0] for r in real.select(F.explode(F.concat("words", "bigrams"))).distinct().collect())
-    # lines are drawn before they are split into words, which costs far more than a hash, and thinned out by
-    # their count first, so that no task gets a full sample from every partition
-    share = 4 * SAMPLE_ROWS / max(1, found.count())
-    drawn = found.select("body").where(F.pmod(F.xxhash64(F.lit("draw"), "body"), F.lit(1 << 40)) < int(share * (1 << 40))).distinct()
-    plain = drawn.orderBy(F.xxhash64("body"), "body").limit(SAMPLE_ROWS).select(license_words(F.col("body")).alias("words"))
-    plain = materialize(materialize(plain).withColumn("at", F.pmod(F.xxhash64(F.lit("at"), "words"), F.lit(997)).cast("int")).withColumn("pairs", F.array_distinct(bigrams(F.col("words")))))
+    return sorted(r[0] for r in real.select(F.explode(F.concat("words", "bigrams"))).distinct().collect())
+
+
+def featured(found: DataFrame, known: DataFrame, vocabulary: list[str]) -> DataFrame:
+    """(doc_id, paragraph, line, head, features, plain) of the paragraphs, written once for training and scoring.
+
+    line is the hash of the body, head its first words. plain is false for lines that may be notices: with a cue, or with
+    CONTAINED of a template's bigrams.
+    """
+    rows = found.select("doc_id", "paragraph", F.xxhash64("body").alias("line"), F.lower("body").alias("low"), license_words(F.coalesce("body", F.lit(""))).alias("words"))
+    rows = NGram(n=2, inputCol="words", outputCol="pairs").transform(rows)
+    # the exact rules look at few lines only: at those with a piece of a cue, and those with one of so many bigrams of a template that not all may be missing
+    piece = F.lit(False)
+    for part in CUE_PIECES:
+        piece = piece | F.contains("low", F.lit(part))
     cued = F.exists("words", lambda w: w.rlike(CUE_WORDS)) | F.arrays_overlap("pairs", F.array(*map(F.lit, CUE_PAIRS)))
-    plain = plain.where(~cued)
-    # a sampled paragraph that holds a notice isn't one without a licence
-    wanted = F.broadcast(real.select("template", F.size("bigrams").alias("n"), F.explode("bigrams").alias("pair")))
-    shared = plain.select("words", F.explode("pairs").alias("pair")).join(wanted, "pair").groupBy("words", "template", "n").agg(F.count_distinct("pair").alias("held"))
-    holding = shared.where(F.col("held") >= F.lit(CONTAINED) * F.col("n")).select("words").distinct()
-    plain = materialize(plain.join(F.broadcast(holding), "words", "left_anti").select("words", "at"))
+    notices = [r[0] for r in known.where(F.col("family") != UNKNOWN).select("bigrams").collect()]
+    held = [math.ceil(CONTAINED * len(pairs) - 1e-9) for pairs in notices]
+    index = sorted({p for pairs, n in zip(notices, held, strict=True) for p in sorted(pairs, key=lambda p: (-len(p), p))[: len(pairs) - n + 1]})
+    templates_ = F.array(*(F.struct(F.array(*map(F.lit, pairs)).alias("pairs"), F.lit(n).alias("n")) for pairs, n in zip(notices, held, strict=True)))
+    holds = F.exists(templates_, lambda c: F.size(F.array_intersect(c["pairs"], F.col("pairs"))) >= c["n"])
+    near = F.arrays_overlap("pairs", F.array(*map(F.lit, index)))
+    notice = F.when(piece, cued).otherwise(False) | F.when(near, holds).otherwise(False)
+    grams = rows.select("doc_id", "paragraph", "line", F.slice("words", 1, HEAD).alias("head"), (~notice).alias("plain"), F.concat("words", "pairs").alias("grams"))
+    return materialize(CountVectorizerModel.from_vocabulary(vocabulary, inputCol="grams", outputCol="features", binary=True).transform(grams).drop("grams"))
+
+
+def train(found: DataFrame, known: DataFrame, lines: DataFrame | None = None) -> tuple[list[str], LogisticRegressionModel, float]:
+    """Vocabulary, model and threshold: the family probability that a share FALSE_POSITIVES at most of the held-out paragraphs without a licence reach.
+
+    Every distinct line that may stand for no licence takes part, one in four of them held out. Those fitted weigh PLAIN_WEIGHT together,
+    so the balance with the worn notices doesn't depend on the size of the table. ``lines`` are ``featured`` paragraphs.
+    """
+    vocabulary = vocabulary_of(known)
+    lines = featured(found, known, vocabulary) if lines is None else lines
+    real = lines.where("plain").groupBy("line").agg(F.first("features").alias("features"))
+    plain = materialize(real.withColumn("held_out", F.pmod(F.xxhash64(F.lit("held"), "line"), F.lit(4)) == 0))
+    at = F.pmod(F.xxhash64(F.lit("at"), "line"), F.lit(997)).cast("int")
+    noise = materialize(lines.where("plain").groupBy(at.alias("at")).agg(F.min("head").alias("noise")))
     copies = known.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))))
     worn = F.filter("words", lambda w, k: (F.col("copy") % 2 == 0) | (F.pmod(F.xxhash64(w, k, F.col("copy")), F.lit(8)) > 0))
     copies = copies.withColumn("worn", worn).withColumn("at", F.pmod(F.xxhash64("template", "copy"), F.lit(997)).cast("int"))
-    noise = F.broadcast(plain.groupBy("at").agg(F.min("words").alias("noise")))
     beside = F.slice(F.coalesce("noise", F.array().cast("array<string>")), 1, F.lit(4) * (F.col("copy") % 6))
-    notices = copies.join(noise, "at", "left").select(F.concat("worn", beside).alias("words"), "family", "copy")
-    rows = notices.unionByName(plain.select("words", F.lit(UNKNOWN).alias("family"), F.col("at").alias("copy")))
+    notices = copies.join(F.broadcast(noise), "at", "left").select(F.concat("worn", beside).alias("words"), "family", "copy")
     label = (F.array_position(F.array(*map(F.lit, FAMILIES)), F.col("family")) - 1).cast("double")
-    rows = materialize(vectorize(rows.withColumn("label", label).withColumn("held_out", F.pmod(F.xxhash64("words", "copy"), F.lit(4)) == 0), vocabulary))
-    model = LogisticRegression(family="multinomial", regParam=0.002, elasticNetParam=0.5, maxIter=60).fit(rows.where(~F.col("held_out")).select("features", "label").coalesce(2))
-    scored = model.transform(rows.where(F.col("held_out") & (F.col("family") == UNKNOWN))).select(F.array_max(F.slice(vector_to_array("probability"), 2, len(FAMILIES))).alias("p"))
-    return vocabulary, model, max(0.5, scored.agg(F.percentile("p", F.lit(1 - FALSE_POSITIVES))).first()[0] or 0.0)
+    rows = vectorize(notices.withColumn("label", label).withColumn("held_out", F.pmod(F.xxhash64("words", "copy"), F.lit(4)) == 0), vocabulary)
+    rows = materialize(rows.select("features", "label", F.lit(1.0).alias("weight"), "held_out"))
+    fitted, held = (n or 0 for n in plain.agg(F.count_if(~F.col("held_out")), F.count_if("held_out")).first())
+    weight = min(1.0, PLAIN_WEIGHT / max(1, fitted))
+    plain = plain.select("features", F.lit(0.0).alias("label"), F.lit(weight).alias("weight"), "held_out")
+    # copies of the notices are few and lie in one partition, so what they add up to doesn't depend on the cluster
+    data = rows.coalesce(1).unionByName(plain).where(~F.col("held_out")).select("features", "label", "weight")
+    model = LogisticRegression(family="multinomial", regParam=0.002, elasticNetParam=0.5, maxIter=60, weightCol="weight").fit(data)
+    apart = rows.where(F.col("held_out") & (F.col("label") == 0)).unionByName(plain.where("held_out"))
+    p = F.array_max(F.slice(vector_to_array("probability"), 2, len(FAMILIES)))
+    steps = model.transform(apart).select(F.floor(p * STEPS).alias("step")).groupBy("step").count()
+    tail = {r["step"]: r["count"] for r in steps.where(F.col("step") >= STEPS // 2).collect()}
+    allowed = FALSE_POSITIVES * (held + rows.where(F.col("held_out") & (F.col("label") == 0)).count())
+    passing, threshold = 0, 1.0
+    for step in range(STEPS, STEPS // 2 - 1, -1):
+        passing += tail.get(step, 0)
+        if passing > allowed:
+            break
+        threshold = step / STEPS
+    return vocabulary, model, threshold
 
 
 def scan_licenses(docs: DataFrame) -> DataFrame:
@@ -163,21 +209,27 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     known = templates(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     found = paragraphs(docs)
-    vocabulary, model, threshold = train(found, known)
+    vocabulary = vocabulary_of(known)
+    scored_once = featured(found, known, vocabulary)
+    _, model, threshold = train(found, known, scored_once)
     model = model.setPredictionCol("").setRawPredictionCol("")
 
     def judged(rows: DataFrame) -> DataFrame:
-        """The rows(doc_id, paragraph, body) that are predicted to name a licence, compared with its templates."""
-        words = rows.select("doc_id", "paragraph", license_words(F.coalesce("body", F.lit(""))).alias("words"))
-        scored = model.transform(vectorize(words, vocabulary)).withColumn("p", vector_to_array("probability"))
-        best = scored.select("doc_id", "paragraph", "words", "p", F.array_max(F.slice("p", 2, len(FAMILIES))).alias("probability"))
+        """The rows(doc_id, paragraph, features) that are predicted to name a licence, compared with its templates."""
+        scored = model.transform(rows.select("doc_id", "paragraph", "features")).withColumn("p", vector_to_array("probability"))
+        best = scored.select("doc_id", "paragraph", "features", "p", F.array_max(F.slice("p", 2, len(FAMILIES))).alias("probability"))
         named = best.where((F.col("probability") >= threshold) & (F.col("probability") == F.array_max("p")))
         family = F.get(F.array(*map(F.lit, FAMILIES)), (F.array_position("p", F.col("probability")) - 1).cast("int"))
-        return compared(named.select("doc_id", "paragraph", "probability", F.array_distinct(bigrams(F.col("words"))).alias("pairs"), family.alias("family")), known)
+        # the features of a line name all bigrams of templates that it holds
+        grams = F.transform(vector_to_array("features"), lambda x, i: F.when(x > 0, F.get(F.array(*map(F.lit, vocabulary)), i)))
+        return compared(named.select("doc_id", "paragraph", "probability", F.filter(grams, lambda g: F.contains(g, F.lit(" "))).alias("pairs"), family.alias("family")), known)
+
+    def worded(rows: DataFrame) -> DataFrame:
+        return vectorize(rows.select("doc_id", "paragraph", license_words(F.coalesce("body", F.lit(""))).alias("words")), vocabulary)
 
     sure = F.col("overlap") >= CONTAINED
-    lines = materialize(judged(found))
-    joined = materialize(judged(wrapped(docs, lines.where(sure))).where(sure).groupBy("doc_id", "paragraph").agg(F.max_by(F.struct("family", "probability", "overlap", "template"), "overlap").alias("r")).select("doc_id", "paragraph", "r.*"))
+    lines = materialize(judged(scored_once))
+    joined = materialize(judged(worded(wrapped(docs, lines.where(sure)))).where(sure).groupBy("doc_id", "paragraph").agg(F.max_by(F.struct("family", "probability", "overlap", "template"), "overlap").alias("r")).select("doc_id", "paragraph", "r.*"))
     rest = lines.join(joined.select("doc_id", "paragraph"), ["doc_id", "paragraph"], "left_anti")
     return rest.unionByName(joined, allowMissingColumns=True).select("doc_id", F.col("paragraph").cast("long").alias("paragraph"), "family", "probability", F.col("template").cast("long").alias("template"), "overlap", sure.alias("confirmed"))
 

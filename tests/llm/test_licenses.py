@@ -82,3 +82,14 @@ def test_joined_lines(spark):
     for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).where("confirmed").collect():
         got.setdefault(r.doc_id, set()).add((r.paragraph, r.family))
     assert got == {1: {(0, "mit")}, 3: {(0, "mit"), (1, "mit")}}
+
+
+def test_every_line_without_a_licence_takes_part_in_training(spark, monkeypatch):
+    lines = [f"the river number {k} runs past house {k * 7} on its way" for k in range(5000)]
+    notices = [*NOTICES, "a licensed plumber came by", "this is the public domain of birds"]  # held or cued: none of them stands for no licence
+    df = spark.createDataFrame([(k, "\n".join(lines[k::10] + notices + lines[:3])) for k in range(10)], "doc_id long, text string")
+    seen, fit = [], licenses.LogisticRegression.fit
+    monkeypatch.setattr(licenses.LogisticRegression, "fit", lambda self, data: (seen.extend(data.select("label", "weight").collect()), fit(self, data))[1])
+    licenses.train(licenses.paragraphs(df), licenses.templates(spark))
+    weights = [r.weight for r in seen if r.weight < 1]
+    assert 3600 < len(weights) < 3900 and len(set(weights)) == 1 and abs(sum(weights) - licenses.PLAIN_WEIGHT) < 1e-6  # three in four; the rest are held out
