@@ -13,7 +13,6 @@ from cairn.plans.files import _fresh
 from cairn.plans.rules import STATUSES, listed, pick
 from cairn.sources import sinks
 from cairn.sources.engine import Engine
-from cairn.sources.scratch import cut_lineage
 
 KINDS = (("ban", "setback"), ("ban_or_moratorium",), ("moratorium", "height_limit"), ("setback", "noise_limit"), ("height_limit", "setback"), ("noise_limit",), ("size_cap",), ("siting_standard", "zoning_restriction"))
 TECHNOLOGIES = ("wind", "solar", "battery_storage")
@@ -187,9 +186,9 @@ def q_forward_holdout(t):
 def q_learners(t):
     """M4, M6, M7: out-of-fold by boosted trees, by logistic regression over squares and products, and the latter recalibrated."""
     columns = ["l_quantity", "l_discount"]
-    rows = cut_lineage(_lines(t).select("id", "y", *columns))
-    boosted = models.cross_predict(rows, columns, "y", F.col("id"), folds=2, kind="boosted").select(F.lit("boosted").alias("kind"), "id", "y", "p")
-    squares = models.cross_predict(rows, columns, "y", F.col("id"), folds=2, degree=2)
+    rows = models.folded(_lines(t).select("id", "y", *columns), "y", F.col("id"), 2)
+    boosted = models.out_of_fold(rows, columns, 2, kind="boosted").select(F.lit("boosted").alias("kind"), "id", "y", "p")
+    squares = models.out_of_fold(rows, columns, 2, degree=2)
     again = models.recalibrate(squares.select("id", "y", "p"), "p", "y", F.col("id"), folds=2)
     both = boosted.unionByName(squares.select(F.lit("squares").alias("kind"), "id", "y", "p")).unionByName(again.select(F.lit("recalibrated").alias("kind"), "id", "y", "p"))
     return both.select("kind", "id", "y", F.round("p", 3).alias("p"))

@@ -1,5 +1,6 @@
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.ml.feature import Imputer, PolynomialExpansion, StandardScaler, VectorAssembler
 from pyspark.sql import functions as F
 
 from cairn.functions import scalars as S
@@ -106,3 +107,42 @@ def test_fits_read_their_rows_from_a_table_and_not_through_what_made_them(spark)
     made = models.cross_predict(df, ["x"], "y", F.col("id"), folds=2)
     assert "Aggregate" in df._jdf.queryExecution().toString() and "Aggregate" not in made._jdf.queryExecution().toString()
     assert made.count() == 300
+
+
+def test_equal_rows_are_fitted_as_one_with_their_number(spark, monkeypatch):
+    df = spark.range(4000).select("id", (F.col("id") % 7).cast("double").alias("x"), F.when(F.col("id") % 5 > 0, F.col("id") % 3).cast("double").alias("z"), (F.xxhash64("id") % 9 > F.col("id") % 7 - 3).cast("int").alias("y"))
+    read, fit = [], models.Pipeline.fit
+
+    def counted(self, dataset):
+        read.append((dataset.count(), dataset.agg(F.sum("weight")).first()[0]))
+        return fit(self, dataset)
+
+    monkeypatch.setattr(models.Pipeline, "fit", counted)
+    made = {kind: models.cross_predict(df, ["x", "z"], "y", F.col("id"), folds=2, kind=kind, degree=degree).select("id", "fold", "p").cache() for kind, degree in (("boosted", 1), ("logistic", 2))}
+    assert max(n for n, _ in read) <= 70 and [sum(w for _, w in read[k : k + 2]) for k in (0, 2)] == [4000, 4000]
+    rows = df.withColumn("label", F.col("y").cast("double")).withColumn("fold", models.fold_of(F.col("id"), 2)).withColumn("weight", F.lit(1.0)).cache()
+    # the fit of all rows one by one, standardised beforehand
+    whole = {"boosted": models.GBTClassifier(maxIter=20, maxDepth=3, seed=7), "logistic": models.LogisticRegression(regParam=0.01, maxIter=50)}
+    for kind, classifier in whole.items():
+        filled = [Imputer(strategy="median", inputCols=["x", "z"], outputCols=["fx", "fz"]), VectorAssembler(inputCols=["fx", "fz"], outputCol="raw")]
+        wide = [PolynomialExpansion(degree=2 if kind == "logistic" else 1, inputCol="raw", outputCol="poly"), StandardScaler(withMean=True, inputCol="poly", outputCol="features"), classifier]
+        for k in range(2):
+            wanted = models.predict(fit(models.Pipeline(stages=[*filled, *wide]), rows.where(F.col("fold") != k)), rows.where(F.col("fold") == k)).select("id", F.col("p").alias("q"))
+            both = wanted.join(made[kind].where(F.col("fold") == k), "id", "full")
+            assert both.where("p IS NULL OR q IS NULL").count() == 0 and both.agg(F.max(F.abs(F.col("p") - F.col("q")))).first()[0] < 1e-4
+
+
+def test_many_distinct_rows_are_scored_one_by_one_to_the_same_end(spark, monkeypatch):
+    df = spark.range(300).select("id", F.when(F.col("id") % 4 > 0, F.col("id") % 11).cast("double").alias("x"), (F.col("id") % 11 > 4).cast("int").alias("y"), (2000 + F.col("id") % 9).alias("year"))
+    run = lambda: [sorted(f.select("id", F.round("p", 9)).collect()) for f in (models.cross_predict(df, ["x"], "y", F.col("id"), folds=3), models.forward_holdout(df, ["x"], "y", "year", 2005))]
+    few = run()
+    monkeypatch.setattr(models, "FEW", 0)
+    assert run() == few and [len(f) for f in few] == [300, df.where("year >= 2005").count()]
+    net = models.cross_predict(df, ["x"], "y", F.col("id"), folds=2, kind="mlp")
+    assert net.count() == 300 and models.auc(net, "y") > 0.8
+
+
+def test_medians_are_those_of_all_rows(spark):
+    nan = float("nan")
+    rows = frame(spark, "a double, b int, c double, weight double", (1.0, 1, None, 3.0), (2.0, None, nan, 2.0), (9.0, 4, None, 1.0), (nan, 7, None, 2.0), (None, None, None, 5.0))
+    assert models.medians(rows, ["a", "b", "c"]) == {"a": 1.5, "b": 2.5, "c": 0.0} and models.medians(rows, []) == {}
